@@ -55,6 +55,17 @@ def _norm(v, digits: int | None):
     return v
 
 
+_TYPE_MAP = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+             "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP", "date": "DATE",
+             "timestamp": "TIMESTAMP WITH TIME ZONE", "float": "FLOAT", "smallint": "SMALLINT"}
+
+
+def _types_agree(spark_type: str, duck_type: str) -> bool:
+    want = _TYPE_MAP.get(spark_type)
+    return want is None or want == duck_type.upper() or (
+        spark_type.startswith("array") and duck_type.endswith("[]"))
+
+
 def rows_multiset(cols: list[str], rows: list, digits: int | None) -> Counter:
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return Counter(tuple(_norm(r[i], digits) for i in order) for r in rows)
@@ -69,11 +80,17 @@ def compare(spark, sf_dir: str, key: str, query, sql: str, con=None) -> dict:
     t1 = time.time()
     res = con.execute(sql)
     d_cols = [c[0] for c in res.description]
+    d_types = {c[0]: str(c[1]) for c in res.description}
     d_rows = res.fetchall()
     t2 = time.time()
     out = {"key": key, "spark_rows": len(s_rows), "duck_rows": len(d_rows),
            "spark_sec": round(t1 - t0, 2), "duck_sec": round(t2 - t1, 2),
            "cols_match": sorted(s_cols) == sorted(d_cols)}
+    s_types = dict(sdf.dtypes)
+    bad_types = {c: (s_types[c], d_types.get(c)) for c in s_cols
+                 if c in d_types and not _types_agree(s_types[c], d_types[c])}
+    if bad_types:
+        out["type_mismatch"] = bad_types
     if not out["cols_match"]:
         out["spark_cols"], out["duck_cols"] = sorted(s_cols), sorted(d_cols)
         out["exact"] = out["close"] = False

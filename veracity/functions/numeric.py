@@ -33,3 +33,13 @@ def mean_rounded(col: Column, digits: int, half_even: bool = True) -> Column:
 def round6(col: Column) -> Column:
     """Report precision for unrounded statistics (means, deviations)."""
     return F.round(col, 6)
+
+
+def mean6(col: Column) -> Column:
+    """Aggregate: mean of ``col`` at report precision (6 dp, half-up, scaled)."""
+    return scaled_round(F.sum(col), F.count(col), 6, half_even=False)
+
+
+def ratio6(numerator: Column, denominator: Column) -> Column:
+    """numerator / denominator at report precision (6 dp, half-up, scaled)."""
+    return scaled_round(numerator, denominator, 6, half_even=False)

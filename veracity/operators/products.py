@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from veracity.functions import dates as dt
 from veracity.functions import lexicons as lx
-from veracity.functions.numeric import mean_rounded, round6, scaled_round
+from veracity.functions.numeric import mean6, mean_rounded, ratio6, round6, scaled_round
 from veracity.operators.signals import lexicon_signals
 
 SENTIMENT_COLUMNS = ["review_id", "product_asin", "reviewer_id", "rating", "body", "word_count",
@@ -48,14 +48,14 @@ def product_fraud_summary(sentiments: DataFrame, with_stddev: bool = True) -> Da
     """
     n = F.count(F.lit(1))
     aggs = [n.alias("total_reviews"),
-            round6(F.avg("rating")).alias("avg_rating")]
+            mean6(F.col("rating")).alias("avg_rating")]
     if with_stddev:
         aggs.append(round6(F.stddev_pop("rating")).alias("rating_stddev"))
     spam = F.count_if(F.col("spam_flag"))
     aggs += [spam.alias("spam_reviews"),
              scaled_round(spam * 100, n, 2, half_even=False).alias("spam_percentage"),
              F.sum("rating_sentiment_mismatch").alias("sentiment_mismatches"),
-             round6(F.sum("score_tenths") / (n * 10.0))
+             ratio6(F.sum("score_tenths"), n * 10)
              .alias("avg_fraud_exposure" if with_stddev else "avg_fraud_score")]
     return (sentiments.groupBy("product_asin").agg(*aggs)
             .orderBy(F.col("spam_percentage").desc(), "product_asin"))
@@ -76,7 +76,7 @@ def daily_review_bursts(sentiments: DataFrame, min_count: int = 11, day: str = "
         raise ValueError(f"unknown day form {day!r}")
     return (sentiments.groupBy("product_asin", key).agg(
         F.count(F.lit(1)).alias("daily_count"),
-        round6(F.avg("rating")).alias("daily_avg_rating"),
+        mean6(F.col("rating")).alias("daily_avg_rating"),
         F.count_if(F.col("spam_flag")).alias("daily_spam_count"))
         .filter(F.col("daily_count") >= min_count)
         .orderBy(F.col("daily_count").desc(), "product_asin"))
@@ -96,7 +96,7 @@ def hourly_bursts(scored: DataFrame, window_hours: int = 1, threshold: int = 5,
                        bucket.alias("bucket"), "rating", fake.alias("is_fake"))
          .groupBy("product_asin", "bucket").agg(
              F.count(F.lit(1)).alias("review_count"),
-             round6(F.avg("rating")).alias("avg_rating"),
+             mean6(F.col("rating")).alias("avg_rating"),
              F.count_if(F.col("is_fake")).alias("fake_count")))
     return (g.filter(F.col("review_count") >= threshold)
             .select("product_asin", F.date_format("bucket", "yyyy-MM-dd-HH").alias("hour"),

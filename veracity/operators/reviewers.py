@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from veracity.functions import dates as dt
 from veracity.functions import lexicons as lx
-from veracity.functions.numeric import mean_rounded, round6, scaled_round
+from veracity.functions.numeric import mean6, mean_rounded, ratio6, round6, scaled_round
 from veracity.operators.signals import review_signals, with_review_defaults
 
 
@@ -120,9 +120,9 @@ def suspicious_reviewers(sentiments: DataFrame, min_reviews: int = 4) -> DataFra
     """
     return (sentiments.groupBy("reviewer_id").agg(
         F.count(F.lit(1)).alias("review_count"),
-        round6(F.avg("rating")).alias("avg_rating"),
+        mean6(F.col("rating")).alias("avg_rating"),
         F.count_if(F.col("spam_flag")).alias("spam_count"),
-        round6(F.sum("score_tenths") / (F.count(F.lit(1)) * 10.0)).alias("avg_fraud_score"),
+        ratio6(F.sum("score_tenths"), F.count(F.lit(1)) * 10).alias("avg_fraud_score"),
         F.sum("rating_sentiment_mismatch").alias("mismatches"))
         .filter(F.col("review_count") >= min_reviews)
         .orderBy(F.col("avg_fraud_score").desc(), "reviewer_id"))
@@ -140,13 +140,13 @@ def reviewer_frequency(scored: DataFrame, min_reviews: int = 3, threshold: float
     fake = F.coalesce(F.col(score_col) >= threshold, F.lit(False))
     g = scored.groupBy("reviewer_id").agg(
         F.count(F.lit(1)).alias("total_reviews"),
-        round6(F.avg("rating")).alias("avg_rating"),
+        mean6(F.col("rating")).alias("avg_rating"),
         F.count_distinct(F.coalesce(F.col("product_asin"), F.lit(lx.UNKNOWN_ID))).alias("unique_products"),
         F.count_if(fake).alias("fake_count"),
         F.min("scraped_at").alias("first_review_at"),
         F.max("scraped_at").alias("last_review_at"),
     )
-    return (g.withColumn("fake_ratio", round6(F.col("fake_count") / F.col("total_reviews")))
+    return (g.withColumn("fake_ratio", ratio6(F.col("fake_count"), F.col("total_reviews")))
             .filter(F.col("total_reviews") >= min_reviews)
             .orderBy(F.col("fake_ratio").desc(), "reviewer_id"))
 

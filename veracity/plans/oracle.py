@@ -70,7 +70,7 @@ bursts AS (
 FLAGS_CTE = f"""
 stats AS (
   SELECT reviewer_id, CAST(count(*) AS INTEGER) AS total_reviews,
-    round_even(100.0 * sum(rating) / count(rating), 0) / 100 AS avg_rating,
+    round_even(CAST(sum(rating) AS DOUBLE) * 1e2 / count(rating), 0) / 1e2 AS avg_rating,
     round_even(stddev_pop(rating), 2) AS rating_std,
     bool_and(rating IN (1.0, 5.0)) AS all_extreme_ratings,
     CAST(count(*) FILTER (WHERE NOT verified_purchase) AS DOUBLE) / count(*) AS unverified_ratio,
@@ -113,9 +113,191 @@ ORACLE["reviewer_flags"] = _base("""
 SELECT reviewer_id, total_reviews, avg_rating, rating_std, all_extreme_ratings, burst_activity,
        unverified_ratio FROM flags""")
 
-ORACLE["fraud_scores"] = _base("""
+
+def sround(num: str, den: str, digits: int, even: bool = True) -> str:
+    """SQL twin of ``functions.numeric.scaled_round``: round(num/den, digits) on the scaled quotient."""
+    fn = "round_even" if even else "round"
+    return f"({fn}(CAST({num} AS DOUBLE) * 1e{digits} / NULLIF({den}, 0), 0) / 1e{digits})"
+
+
+def mean6(col: str) -> str:
+    return sround(f"sum({col})", f"count({col})", 6, even=False)
+
+
+POS_B, NEG_B = _bounded(lx.POSITIVE_WORDS), _bounded(lx.NEGATIVE_WORDS)
+POS_S, NEG_S, MIS_S = _substr(lx.POSITIVE_WORDS), _substr(lx.NEGATIVE_WORDS), _substr(lx.MISMATCH_WORDS_SQL)
+
+
+def sentiments_cte(name: str, preset: str) -> str:
+    if preset == "hql":
+        pos, neg, mis, where = POS_S, NEG_S, MIS_S, "WHERE body IS NOT NULL AND length(body) > 10"
+    else:
+        pos, neg, mis, where = POS_B, NEG_B, NEG_B, ""
+    return f"""
+{name} AS (
+  SELECT review_id, coalesce(product_asin, 'UNKNOWN') AS product_asin, reviewer_id, rating, body,
+    word_count, spam_flag, CAST(score_tenths AS DOUBLE) / 10 AS reviewer_fraud_score,
+    CAST(regexp_matches(body, '{pos}') AS INTEGER) AS positive_signal,
+    CAST(regexp_matches(body, '{neg}') AS INTEGER) AS negative_signal,
+    CAST(rating >= 4.0 AND regexp_matches(body, '{mis}') AS INTEGER) AS rating_sentiment_mismatch,
+    date AS review_date, score_tenths
+  FROM scored {where})"""
+
+
+def _scored(body: str, *extra: str) -> str:
+    return _q([SIGNALS_CTE, BURSTS_CTE, FLAGS_CTE, *extra], body)
+
+
+ORACLE["fraud_scores"] = _scored("""
 SELECT review_id, reviewer_id, product_asin, spam_flag, total_reviews, avg_rating, rating_std,
        all_extreme_ratings, burst_activity, unverified_ratio,
-       score_tenths / 10.0 AS reviewer_fraud_score,
+       CAST(score_tenths AS DOUBLE) / 10 AS reviewer_fraud_score,
        CASE WHEN score_tenths >= 5 THEN 'FAKE' ELSE 'GENUINE' END AS verdict
 FROM scored""")
+
+ORACLE["lexicon_signals"] = with_reviews(f"""
+SELECT review_id,
+  CAST(regexp_matches(b, '{POS_B}') AS INTEGER) AS positive_signal,
+  CAST(regexp_matches(b, '{NEG_B}') AS INTEGER) AS negative_signal,
+  CAST(r >= 4.0 AND regexp_matches(b, '{NEG_B}') AS INTEGER) AS rating_sentiment_mismatch,
+  CAST(regexp_matches(b, '{POS_S}') AS INTEGER) AS positive_signal_hql,
+  CAST(regexp_matches(b, '{NEG_S}') AS INTEGER) AS negative_signal_hql,
+  CAST(r >= 4.0 AND regexp_matches(b, '{MIS_S}') AS INTEGER) AS rating_sentiment_mismatch_hql
+FROM (SELECT review_id, coalesce(body, '') AS b, coalesce(rating, 3.0) AS r FROM reviews)""")
+
+ORACLE["review_sentiments"] = _scored("""
+SELECT review_id, product_asin, reviewer_id, rating, body, word_count, spam_flag,
+       reviewer_fraud_score, positive_signal, negative_signal, rating_sentiment_mismatch, review_date
+FROM sent""", sentiments_cte("sent", "hql"))
+
+
+def _suspicious(min_reviews: int, preset: str) -> str:
+    return _scored(f"""
+SELECT reviewer_id, count(*) AS review_count, {mean6('rating')} AS avg_rating,
+  count(*) FILTER (WHERE spam_flag) AS spam_count,
+  {sround('sum(score_tenths)', 'count(*) * 10', 6, even=False)} AS avg_fraud_score,
+  CAST(sum(rating_sentiment_mismatch) AS BIGINT) AS mismatches
+FROM sent GROUP BY reviewer_id HAVING count(*) >= {min_reviews}""", sentiments_cte("sent", preset))
+
+
+ORACLE["suspicious_reviewers"] = _suspicious(4, "hql")
+ORACLE["suspicious_reviewers_min2"] = _suspicious(2, "word")
+
+
+def _product_summary(with_std: bool, preset: str) -> str:
+    std = "round(stddev_pop(rating), 6) AS rating_stddev," if with_std else ""
+    score_name = "avg_fraud_exposure" if with_std else "avg_fraud_score"
+    return _scored(f"""
+SELECT product_asin, count(*) AS total_reviews, {mean6('rating')} AS avg_rating, {std}
+  count(*) FILTER (WHERE spam_flag) AS spam_reviews,
+  {sround('count(*) FILTER (WHERE spam_flag) * 100', 'count(*)', 2, even=False)} AS spam_percentage,
+  CAST(sum(rating_sentiment_mismatch) AS BIGINT) AS sentiment_mismatches,
+  {sround('sum(score_tenths)', 'count(*) * 10', 6, even=False)} AS {score_name}
+FROM sent GROUP BY product_asin""", sentiments_cte("sent", preset))
+
+
+ORACLE["product_fraud_summary"] = _product_summary(True, "hql")
+ORACLE["product_fraud_summary_basic"] = _product_summary(False, "word")
+
+ORACLE["daily_review_bursts"] = _scored(f"""
+SELECT product_asin, review_date, count(*) AS daily_count, {mean6('rating')} AS daily_avg_rating,
+  count(*) FILTER (WHERE spam_flag) AS daily_spam_count
+FROM sent GROUP BY product_asin, review_date HAVING count(*) > 10""", sentiments_cte("sent", "hql"))
+
+ORACLE["daily_review_bursts_min3"] = _scored(f"""
+SELECT product_asin, date_clean, count(*) AS daily_count, {mean6('rating')} AS daily_avg_rating,
+  count(*) FILTER (WHERE spam_flag) AS daily_spam_count
+FROM (SELECT *, CASE WHEN contains(coalesce(review_date, ''), ' on ')
+                     THEN trim(string_split(review_date, ' on ')[-1]) ELSE 'Unknown' END AS date_clean
+      FROM sent)
+GROUP BY product_asin, date_clean HAVING count(*) >= 3""", sentiments_cte("sent", "word"))
+
+FREQ_SQL = f"""
+SELECT reviewer_id, count(*) AS total_reviews, {mean6('rating')} AS avg_rating,
+  count(DISTINCT coalesce(product_asin, 'UNKNOWN')) AS unique_products,
+  count(*) FILTER (WHERE fake_probability >= 0.5) AS fake_count,
+  min(scraped_at) AS first_review_at, max(scraped_at) AS last_review_at,
+  {sround("count(*) FILTER (WHERE fake_probability >= 0.5)", "count(*)", 6, even=False)} AS fake_ratio
+FROM scored GROUP BY reviewer_id HAVING count(*) >= 3"""
+ORACLE["reviewer_frequency"] = _scored(FREQ_SQL)
+
+HOURLY_SQL = f"""
+SELECT coalesce(product_asin, 'UNKNOWN') AS product_asin,
+  strftime(date_trunc('hour', scraped_at), '%Y-%m-%d-%H') AS hour,
+  count(*) AS review_count, {mean6('rating')} AS avg_rating,
+  count(*) FILTER (WHERE fake_probability >= 0.5) AS fake_count
+FROM scored GROUP BY 1, 2 HAVING count(*) >= 5"""
+ORACLE["hourly_bursts"] = _scored(HOURLY_SQL)
+
+
+def _deviation(fake_cond: str, require_both: bool) -> str:
+    having = "HAVING count(*) FILTER (WHERE f) > 0 AND count(*) FILTER (WHERE NOT f) > 0" if require_both else ""
+    nf = "greatest(fake_review_count, 1)"
+    ng = "greatest(genuine_review_count, 1)"
+    return f"""
+SELECT product_asin, total_reviews,
+  {sround('s_all', 'total_reviews', 2)} AS overall_avg,
+  {sround('s_gen', ng, 2)} AS genuine_avg,
+  {sround('s_fake', nf, 2)} AS fake_avg,
+  {sround(f's_fake * {ng} - s_gen * {nf}', f'{nf} * {ng}', 2)} AS rating_inflation,
+  fake_review_count, genuine_review_count
+FROM (SELECT product_asin, count(*) AS total_reviews, sum(rating) AS s_all,
+        count(*) FILTER (WHERE f) AS fake_review_count,
+        coalesce(sum(rating) FILTER (WHERE f), 0.0) AS s_fake,
+        count(*) FILTER (WHERE NOT f) AS genuine_review_count,
+        coalesce(sum(rating) FILTER (WHERE NOT f), 0.0) AS s_gen
+      FROM (SELECT coalesce(product_asin, 'UNKNOWN') AS product_asin, rating,
+                   coalesce({fake_cond}, false) AS f FROM scored)
+      GROUP BY product_asin {having})"""
+
+
+DEVIATION_SQL = _deviation("fake_probability >= 0.5", True)
+ORACLE["rating_deviation"] = _scored(DEVIATION_SQL)
+ORACLE["rating_inflation_report"] = _scored(_deviation("score_tenths >= 5", False))
+
+ORACLE["analytics_snapshot"] = _scored(f"""
+SELECT * FROM (
+  SELECT 'reviewer_frequency' AS section, reviewer_id AS item_key, CAST(fake_ratio AS DOUBLE) AS metric,
+         CAST(total_reviews AS BIGINT) AS item_count
+  FROM ({FREQ_SQL}) ORDER BY fake_ratio DESC, reviewer_id LIMIT 50)
+UNION ALL
+SELECT 'burst_events', concat_ws('|', product_asin, hour), CAST(avg_rating AS DOUBLE),
+       CAST(review_count AS BIGINT) FROM ({HOURLY_SQL})
+UNION ALL
+SELECT * FROM (
+  SELECT 'rating_deviations', product_asin, CAST(rating_inflation AS DOUBLE), CAST(total_reviews AS BIGINT)
+  FROM ({DEVIATION_SQL}) ORDER BY abs(rating_inflation) DESC, product_asin LIMIT 50)""")
+
+ORACLE["overall_summary"] = _scored(f"""
+SELECT count(*) AS total_reviews,
+  count(*) FILTER (WHERE score_tenths >= 5) AS fake_reviews,
+  count(*) FILTER (WHERE score_tenths < 5) AS genuine_reviews,
+  count(*) FILTER (WHERE spam_flag) AS spam_flagged,
+  {sround('count(*) FILTER (WHERE score_tenths >= 5) * 100', 'greatest(count(*), 1)', 2)} AS fake_percentage,
+  count(DISTINCT reviewer_id) AS distinct_reviewers
+FROM scored""")
+
+REPORT_SQL = f"""
+SELECT reviewer_id, count(*) AS review_count,
+  {sround('sum(rating)', 'count(rating)', 2)} AS avg_rating,
+  bool_and(rating IN (1.0, 5.0)) AS all_extreme_ratings,
+  {sround('sum(score_tenths)', 'count(*) * 10', 2)} AS avg_fraud_score,
+  count(*) FILTER (WHERE NOT verified_purchase) AS unverified_count
+FROM scored GROUP BY reviewer_id"""
+ORACLE["reviewer_report"] = _scored(f"""
+SELECT * FROM ({REPORT_SQL}) ORDER BY avg_fraud_score DESC, reviewer_id LIMIT 5""")
+ORACLE["burst_reviewers"] = _scored(f"""
+SELECT * FROM ({REPORT_SQL}) WHERE review_count >= 3 AND avg_fraud_score >= 0.5
+ORDER BY avg_fraud_score DESC, reviewer_id LIMIT 5""")
+
+ORACLE["top_suspicious_reviews"] = _scored("""
+SELECT review_id, reviewer_id, product_asin, rating, CAST(score_tenths AS DOUBLE) / 10 AS reviewer_fraud_score,
+  spam_flag, word_count, round_even(caps_ratio, 4) AS caps_ratio, exclamation_count, burst_activity,
+  all_extreme_ratings, unverified_ratio, total_reviews, body
+FROM scored ORDER BY score_tenths DESC, review_id LIMIT 5""")
+
+ORACLE["feature_preview"] = _scored("""
+SELECT review_id, body, word_count, round_even(caps_ratio, 3) AS caps_ratio, exclamation_count, has_url,
+  spam_flag, CAST(score_tenths AS DOUBLE) / 10 AS reviewer_fraud_score,
+  CASE WHEN score_tenths >= 5 THEN 'FAKE' ELSE 'GENUINE' END AS verdict
+FROM scored ORDER BY review_id LIMIT 5""")

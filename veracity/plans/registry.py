@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veracity.operators import products as pr
+from veracity.operators import reports as rp
 from veracity.operators import reviewers as rv
 from veracity.operators import signals as sg
 from veracity.sources.fixture import reviews_from_tables
@@ -60,3 +62,108 @@ def q_fraud_scores(spark, sf_dir):
     return p.select("review_id", "reviewer_id", "product_asin", "spam_flag",
                     *[F.col(f"reviewer_flags.{c}").alias(c) for c in rv.FLAG_FIELDS],
                     "reviewer_fraud_score", "verdict")
+
+
+def sentiments(spark: SparkSession, sf_dir: str, preset: str = "hql") -> DataFrame:
+    """The sentiment table: SQL form (body > 10 chars, substring lists) or local form."""
+    p = processed(spark, sf_dir)
+    if preset == "hql":
+        return pr.review_sentiments(p, min_body_length=10, preset="hql")
+    return pr.review_sentiments(p, min_body_length=None, preset="word")
+
+
+@register("lexicon_signals")
+def q_lexicon_signals(spark, sf_dir):
+    r = reviews(spark, sf_dir).select("review_id", "body", "rating")
+    cols = ["positive_signal", "negative_signal", "rating_sentiment_mismatch"]
+    w = sg.lexicon_signals(r, preset="word")
+    h = sg.lexicon_signals(w.select("review_id", "body", "rating", *[F.col(c).alias(c + "_word") for c in cols]),
+                           preset="hql")
+    return h.select("review_id", *[F.col(c + "_word").alias(c) for c in cols],
+                    *[F.col(c).alias(c + "_hql") for c in cols])
+
+
+@register("review_sentiments")
+def q_review_sentiments(spark, sf_dir):
+    return sentiments(spark, sf_dir, "hql").select(*pr.SENTIMENT_COLUMNS)
+
+
+@register("suspicious_reviewers")
+def q_suspicious_reviewers(spark, sf_dir):
+    return rv.suspicious_reviewers(sentiments(spark, sf_dir, "hql"), min_reviews=4)
+
+
+@register("suspicious_reviewers_min2")
+def q_suspicious_reviewers_min2(spark, sf_dir):
+    return rv.suspicious_reviewers(sentiments(spark, sf_dir, "word"), min_reviews=2)
+
+
+@register("product_fraud_summary")
+def q_product_fraud_summary(spark, sf_dir):
+    return pr.product_fraud_summary(sentiments(spark, sf_dir, "hql"), with_stddev=True)
+
+
+@register("product_fraud_summary_basic")
+def q_product_fraud_summary_basic(spark, sf_dir):
+    return pr.product_fraud_summary(sentiments(spark, sf_dir, "word"), with_stddev=False)
+
+
+@register("daily_review_bursts")
+def q_daily_review_bursts(spark, sf_dir):
+    return pr.daily_review_bursts(sentiments(spark, sf_dir, "hql"), min_count=11, day="raw")
+
+
+@register("daily_review_bursts_min3")
+def q_daily_review_bursts_min3(spark, sf_dir):
+    return pr.daily_review_bursts(sentiments(spark, sf_dir, "word"), min_count=3, day="clean")
+
+
+@register("reviewer_frequency")
+def q_reviewer_frequency(spark, sf_dir):
+    return rv.reviewer_frequency(processed(spark, sf_dir))
+
+
+@register("hourly_bursts")
+def q_hourly_bursts(spark, sf_dir):
+    return pr.hourly_bursts(processed(spark, sf_dir), window_hours=1, threshold=5)
+
+
+@register("rating_deviation")
+def q_rating_deviation(spark, sf_dir):
+    return pr.rating_deviation(processed(spark, sf_dir))
+
+
+@register("rating_inflation_report")
+def q_rating_inflation_report(spark, sf_dir):
+    return pr.rating_deviation(processed(spark, sf_dir), by="score_tenths", threshold=5,
+                               require_both=False)
+
+
+@register("analytics_snapshot")
+def q_analytics_snapshot(spark, sf_dir):
+    return rp.snapshot(processed(spark, sf_dir), k=50).drop("generated_at")
+
+
+@register("overall_summary")
+def q_overall_summary(spark, sf_dir):
+    return rp.overall_summary(processed(spark, sf_dir))
+
+
+@register("reviewer_report")
+def q_reviewer_report(spark, sf_dir):
+    return rv.reviewer_report(processed(spark, sf_dir), n=5)
+
+
+@register("burst_reviewers")
+def q_burst_reviewers(spark, sf_dir):
+    return rv.burst_reviewers(processed(spark, sf_dir), n=5)
+
+
+@register("top_suspicious_reviews")
+def q_top_suspicious_reviews(spark, sf_dir):
+    return rp.top_suspicious_reviews(processed(spark, sf_dir), n=5)
+
+
+@register("feature_preview")
+def q_feature_preview(spark, sf_dir):
+    return rp.feature_preview(processed(spark, sf_dir), n=5)
