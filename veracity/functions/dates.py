@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from veracity.functions import lexicons as lx
+from veracity.functions.text import strip
 
 
 def date_tail(col: Column) -> Column:
@@ -16,7 +17,7 @@ def date_tail(col: Column) -> Column:
 def review_day_text(col: Column) -> Column:
     """Day label of the local SQL summary: trimmed tail after ' on ', else 'Unknown'."""
     c = F.coalesce(col, F.lit(""))
-    return F.when(F.instr(c, " on ") > 0, F.trim(date_tail(c))).otherwise(F.lit("Unknown"))
+    return F.when(F.instr(c, " on ") > 0, strip(date_tail(c))).otherwise(F.lit("Unknown"))
 
 
 def review_day(col: Column) -> Column:

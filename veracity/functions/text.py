@@ -25,6 +25,14 @@ TOKEN_PATTERN = r"(?U)[^\s\u001C-\u001F]+"
 WHITESPACE_CLASS = (r"\t\n\x0B\f\r\x1C-\x1F \x85\xA0\x{1680}\x{2000}-\x{200A}"
                     r"\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}")
 
+# Every character Python's str.strip() removes (derived, not listed).
+WHITESPACE_CHARS = "".join(ch for ch in map(chr, range(0x3001)) if ch.isspace())
+
+
+def strip(col: Column) -> Column:
+    """Remove leading and trailing whitespace (Python's definition)."""
+    return F.btrim(col, F.lit(WHITESPACE_CHARS))
+
 
 def _alternation(words: Sequence[str]) -> str:
     # Lexicon entries are plain lowercase words and spaces: no escaping needed.

@@ -301,3 +301,92 @@ SELECT review_id, body, word_count, round_even(caps_ratio, 3) AS caps_ratio, exc
   spam_flag, CAST(score_tenths AS DOUBLE) / 10 AS reviewer_fraud_score,
   CASE WHEN score_tenths >= 5 THEN 'FAKE' ELSE 'GENUINE' END AS verdict
 FROM scored ORDER BY review_id LIMIT 5""")
+
+
+# --- normalisation, dates, weak labels ------------------------------------
+from veracity.functions.text import WHITESPACE_CHARS  # noqa: E402
+from veracity.sources.fixture import REVIEW_SOURCE_SQL  # noqa: E402
+
+WS_LIT = "'" + WHITESPACE_CHARS.replace("'", "''") + "'"
+
+
+def words_sql(c: str) -> str:
+    return f"len(regexp_extract_all({c}, '[^{WHITESPACE_CLASS}]+'))"
+
+
+def upper_sql(c: str) -> str:
+    return rf"(length({c}) - length(regexp_replace({c}, '\p{{Lu}}', '', 'g')))"
+
+
+def excl_sql(c: str) -> str:
+    return f"(length({c}) - length(replace({c}, '!', '')))"
+
+
+def lexicon_count_sql(c: str, words) -> str:
+    return (rf"len(list_filter(regexp_extract_all({c}, '[\p{{L}}\p{{N}}_]+'), "
+            f"lambda x: regexp_full_match(x, '(?i)({'|'.join(words)})')))")
+
+
+def label_points_sql(t: str, r: str) -> str:
+    w = words_sql(t)
+    return f"""((CASE WHEN {w} < 5 AND {r} IN (1.0, 5.0) THEN 35 ELSE 0 END)
+  + (CASE WHEN {excl_sql(t)} > 4 THEN 20 ELSE 0 END)
+  + (CASE WHEN {upper_sql(t)} * 10 > greatest(length({t}), 1) * 3 THEN 20 ELSE 0 END)
+  + (CASE WHEN regexp_matches({t}, '{_bounded(lx.SPAM_WORDS_LOADER)}') THEN 30 ELSE 0 END)
+  + (CASE WHEN {r} >= 4.0 AND regexp_matches({t}, '{_bounded(lx.NEGATIVE_WORDS_LOADER)}') THEN 35 ELSE 0 END)
+  + (CASE WHEN {w} < 8 AND {r} = 5.0 THEN 15 ELSE 0 END)
+  + (CASE WHEN {lexicon_count_sql(t, lx.POSITIVE_WORDS_LOADER)} >= 3 AND {w} < 15 THEN 20 ELSE 0 END))"""
+
+
+NORMALISED_SQL = f"""
+WITH src AS ({REVIEW_SOURCE_SQL}),
+kept AS (
+  SELECT * FROM src
+  WHERE "reviews.text" IS NOT NULL AND "reviews.rating" IS NOT NULL
+    AND trim("reviews.text", {WS_LIT}) <> '' AND trim("reviews.text", {WS_LIT}) <> 'nan'),
+p AS (
+  SELECT *, TRY_CAST("reviews.rating" AS DOUBLE) AS rnum,
+    try_strptime("reviews.date", '%Y-%m-%d %H:%M:%S') AS ts,
+    coalesce(TRY_CAST(trunc(TRY_CAST("reviews.numHelpful" AS DOUBLE)) AS INTEGER), 0) AS helpful
+  FROM kept),
+normalised AS (
+  SELECT upper(substr(sha256(CAST(source_row AS VARCHAR)), 1, 16)) AS review_id,
+    coalesce(substr(asins, 1, 20), 'UNKNOWN') AS product_asin,
+    coalesce(substr("reviews.username", 1, 20), 'UNKNOWN') AS reviewer_id,
+    coalesce("reviews.username", 'Anonymous') AS reviewer_name,
+    least(5.0, greatest(1.0, coalesce(rnum, 3.0))) AS rating,
+    coalesce(substr("reviews.title", 1, 100), '') AS title,
+    trim("reviews.text", {WS_LIT}) AS body,
+    CASE WHEN ts IS NOT NULL THEN 'Reviewed in the United States on ' || strftime(ts, '%B %d, %Y')
+         ELSE 'Reviewed in the United States on January 01, 2024' END AS date,
+    helpful > 0 AS verified_purchase, helpful AS helpful_votes,
+    coalesce(substr(name, 1, 100), '') AS product_name,
+    coalesce(substr(brand, 1, 50), '') AS brand,
+    coalesce(substr("primaryCategories", 1, 50), '') AS category,
+    CAST({label_points_sql('"reviews.text"', 'coalesce(rnum, 3.0)')} >= 50 AS INTEGER) AS is_fake_ground_truth
+  FROM p)"""
+
+ORACLE["normalise_reviews"] = NORMALISED_SQL + "\nSELECT * FROM normalised"
+
+ORACLE["sample_reviews"] = NORMALISED_SQL + """
+SELECT review_id, reviewer_id, rating, is_fake_ground_truth FROM normalised
+ORDER BY md5(review_id || '42'), review_id LIMIT 5000"""
+
+ORACLE["rating_distribution"] = NORMALISED_SQL + f"""
+SELECT CAST(floor(rating) AS INTEGER) AS star, count(*) AS review_count, o.*
+FROM normalised CROSS JOIN (
+  SELECT {sround('sum(rating)', 'count(rating)', 2)} AS overall_avg_rating,
+    count(*) FILTER (WHERE is_fake_ground_truth = 1) AS fake_labels,
+    count(*) FILTER (WHERE is_fake_ground_truth = 0) AS genuine_labels FROM normalised) o
+GROUP BY ALL"""
+
+ORACLE["review_dates"] = with_reviews(f"""
+SELECT review_id,
+  CASE WHEN contains(coalesce(date, ''), ' on ') THEN trim(tail, {WS_LIT}) ELSE 'Unknown' END AS date_clean,
+  {DAY_EXPR} AS review_day
+FROM (SELECT review_id, date, string_split(coalesce(date, ''), ' on ')[-1] AS tail FROM reviews)""")
+
+ORACLE["weak_labels"] = with_reviews(f"""
+SELECT review_id, label_points, CAST(label_points >= 50 AS INTEGER) AS is_fake_ground_truth
+FROM (SELECT review_id, {label_points_sql('b', 'r')} AS label_points
+      FROM (SELECT review_id, coalesce(body, '') AS b, coalesce(rating, 3.0) AS r FROM reviews))""")

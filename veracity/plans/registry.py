@@ -17,7 +17,8 @@ from veracity.operators import products as pr
 from veracity.operators import reports as rp
 from veracity.operators import reviewers as rv
 from veracity.operators import signals as sg
-from veracity.sources.fixture import reviews_from_tables
+from veracity.operators import normalise as nm
+from veracity.sources.fixture import review_source_from_tables, reviews_from_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -167,3 +168,37 @@ def q_top_suspicious_reviews(spark, sf_dir):
 @register("feature_preview")
 def q_feature_preview(spark, sf_dir):
     return rp.feature_preview(processed(spark, sf_dir), n=5)
+
+
+def normalised(spark: SparkSession, sf_dir: str, sample_n: int | None = None) -> DataFrame:
+    """The CSV-layout source through the normaliser (scrape time fixed for comparison)."""
+    src = review_source_from_tables(spark, sf_dir)
+    return nm.normalise_reviews(src, key_col="source_row", sample_n=sample_n, seed=42,
+                                scraped_at=F.lit("2024-02-01 00:00:00").cast("timestamp"))
+
+
+@register("normalise_reviews")
+def q_normalise_reviews(spark, sf_dir):
+    return normalised(spark, sf_dir).drop("scraped_at")
+
+
+@register("sample_reviews")
+def q_sample_reviews(spark, sf_dir):
+    return normalised(spark, sf_dir, sample_n=5000).select(
+        "review_id", "reviewer_id", "rating", "is_fake_ground_truth")
+
+
+@register("rating_distribution")
+def q_rating_distribution(spark, sf_dir):
+    return rp.rating_distribution(normalised(spark, sf_dir))
+
+
+@register("review_dates")
+def q_review_dates(spark, sf_dir):
+    return nm.parse_review_dates(reviews(spark, sf_dir)).select("review_id", "date_clean", "review_day")
+
+
+@register("weak_labels")
+def q_weak_labels(spark, sf_dir):
+    return sg.weak_labels(reviews(spark, sf_dir)).select("review_id", "label_points",
+                                                          "is_fake_ground_truth")

@@ -139,3 +139,72 @@ LEFT JOIN labels l ON l.doc_id = d.doc_id
 def with_reviews(sql: str) -> str:
     """Prefix an oracle query with the ``reviews`` CTE."""
     return f"WITH reviews AS ({REVIEWS_SQL})\n{sql}"
+
+
+def review_source_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A review dump in the layout of a public CSV export (dotted column names).
+
+    Maps every ``events`` row (with the whole text of one document) onto the
+    source columns a normaliser has to resolve, including the kinds of bad
+    values such dumps contain: blank and "nan" texts, unparseable ratings and
+    dates, out-of-range ratings, fractional vote counts, over-long names and
+    missing ids. All values are strings, as a CSV reader yields them.
+    """
+    events = read_table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "value")
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    n_docs = docs.agg(F.count(F.lit(1)).alias("n_docs"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    e = (events.crossJoin(F.broadcast(n_docs))
+         .withColumn("doc_key", F.pmod(F.col("event_id"), F.col("n_docs"))).drop("n_docs")
+         .repartition(parts, "doc_key"))
+    j = e.join(docs, e["doc_key"] == docs["doc_id"], "inner")
+    eid, uid = F.col("event_id"), F.col("user_id")
+
+    def m(k):
+        return F.pmod(eid, F.lit(k))
+    none = F.lit(None).cast("string")
+    return j.select(
+        eid.alias("source_row"),
+        F.when(m(23) == 0, F.lit("   ")).when(m(31) == 0, F.lit("nan")).when(m(37) == 0, none)
+         .otherwise(F.concat(F.lit("  "), F.col("text"), F.lit(" "))).alias("reviews.text"),
+        F.when(m(11) == 0, F.lit("x")).when(m(11) == 1, F.lit("0")).when(m(11) == 2, F.lit("7"))
+         .when(m(11) == 3, none).when(m(11) == 4, F.lit("4.5"))
+         .otherwise((F.lit(1) + m(5)).cast("string")).alias("reviews.rating"),
+        F.when(m(5) == 0, none).otherwise(F.concat(F.col("lang"), F.lit(" "), F.col("source"), F.lit(" "),
+                                                   F.repeat(F.lit("t"), m(120).cast("int")))).alias("reviews.title"),
+        F.when(m(19) == 0, none).otherwise(F.concat(F.lit("shopper_"), uid.cast("string"),
+                                                    F.repeat(F.lit("z"), m(9).cast("int")))).alias("reviews.username"),
+        F.when(m(13) == 0, F.lit("not a date"))
+         .otherwise(F.date_format("ts", "yyyy-MM-dd HH:mm:ss")).alias("reviews.date"),
+        F.when(m(17) == 0, F.lit("x"))
+         .otherwise(F.concat(F.floor("value").cast("bigint").cast("string"), F.lit(".7"))).alias("reviews.numHelpful"),
+        F.when(m(43) == 0, none).otherwise(F.concat(F.lit("B"), F.lpad(F.pmod(uid, F.lit(50)).cast("string"), 9, "0"))).alias("asins"),
+        F.concat(F.lit("Product "), F.pmod(uid, F.lit(50)).cast("string")).alias("name"),
+        F.col("source").alias("brand"),
+        F.col("lang").alias("primaryCategories"),
+    )
+
+
+REVIEW_SOURCE_SQL = """
+SELECT e.event_id AS source_row,
+  CASE WHEN e.event_id % 23 = 0 THEN '   ' WHEN e.event_id % 31 = 0 THEN 'nan'
+       WHEN e.event_id % 37 = 0 THEN NULL ELSE '  ' || d.text || ' ' END AS "reviews.text",
+  CASE WHEN e.event_id % 11 = 0 THEN 'x' WHEN e.event_id % 11 = 1 THEN '0' WHEN e.event_id % 11 = 2 THEN '7'
+       WHEN e.event_id % 11 = 3 THEN NULL WHEN e.event_id % 11 = 4 THEN '4.5'
+       ELSE CAST(1 + e.event_id % 5 AS VARCHAR) END AS "reviews.rating",
+  CASE WHEN e.event_id % 5 = 0 THEN NULL
+       ELSE d.lang || ' ' || d.source || ' ' || repeat('t', CAST(e.event_id % 120 AS INTEGER)) END AS "reviews.title",
+  CASE WHEN e.event_id % 19 = 0 THEN NULL
+       ELSE 'shopper_' || CAST(e.user_id AS VARCHAR) || repeat('z', CAST(e.event_id % 9 AS INTEGER)) END AS "reviews.username",
+  CASE WHEN e.event_id % 13 = 0 THEN 'not a date' ELSE strftime(e.ts, '%Y-%m-%d %H:%M:%S') END AS "reviews.date",
+  CASE WHEN e.event_id % 17 = 0 THEN 'x'
+       ELSE CAST(CAST(floor(e.value) AS BIGINT) AS VARCHAR) || '.7' END AS "reviews.numHelpful",
+  CASE WHEN e.event_id % 43 = 0 THEN NULL
+       ELSE 'B' || lpad(CAST(e.user_id % 50 AS VARCHAR), 9, '0') END AS asins,
+  'Product ' || CAST(e.user_id % 50 AS VARCHAR) AS name,
+  d.source AS brand,
+  d.lang AS "primaryCategories"
+FROM (SELECT ev.*, ev.event_id % n.n_docs AS doc_key
+      FROM events ev CROSS JOIN (SELECT count(*) AS n_docs FROM documents) n) e
+JOIN documents d ON d.doc_id = e.doc_key
+"""
