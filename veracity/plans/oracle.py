@@ -390,3 +390,97 @@ ORACLE["weak_labels"] = with_reviews(f"""
 SELECT review_id, label_points, CAST(label_points >= 50 AS INTEGER) AS is_fake_ground_truth
 FROM (SELECT review_id, {label_points_sql('b', 'r')} AS label_points
       FROM (SELECT review_id, coalesce(body, '') AS b, coalesce(rating, 3.0) AS r FROM reviews))""")
+
+
+# --- ML tables --------------------------------------------------------------
+FEATURES_SQL = f"""
+SELECT review_id, CAST({WORDS} AS INTEGER) AS word_count,
+  {sround(UPPER, 'greatest(length(body), 1)', 4)} AS caps_ratio,
+  CAST({EXCL} AS INTEGER) AS exclamation_count,
+  CAST(regexp_matches(body, 'https?://') AS INTEGER) AS has_url,
+  CAST(regexp_matches(body, '{_bounded(lx.SPAM_WORDS_TRAINER)}') AS INTEGER) AS spam_word_hit,
+  CAST(regexp_matches(body, '{POS_B}') AS INTEGER) AS positive_signal,
+  CAST(regexp_matches(body, '{NEG_B}') AS INTEGER) AS negative_signal,
+  CAST(rating >= 4.0 AND regexp_matches(body, '{NEG_B}') AS INTEGER) AS sentiment_mismatch,
+  CAST(all_extreme_ratings AS INTEGER) AS all_extreme, CAST(burst_activity AS INTEGER) AS burst_activity,
+  unverified_ratio, total_reviews, CAST(verified_purchase AS INTEGER) AS verified_purchase, rating,
+  CAST({label_points_sql('body', 'rating')} >= 50 AS INTEGER) AS label
+FROM scored"""
+FT_CTE = f"ft AS ({FEATURES_SQL})"
+
+ORACLE["feature_table"] = _scored("SELECT * FROM ft", FT_CTE)
+
+PROXY_SQL = """SELECT review_id, CASE WHEN CAST(score_tenths AS DOUBLE) / 10 > 0.5 THEN 1.0e0 ELSE 0.0e0 END AS label
+FROM scored"""
+ORACLE["proxy_labels"] = _scored(PROXY_SQL)
+ORACLE["class_balance"] = _scored(f"SELECT label, count(*) AS n FROM ({PROXY_SQL}) GROUP BY label")
+
+_TDF = r"""
+tk AS (SELECT review_id, regexp_extract_all(lower(coalesce(body, '')), '[\p{L}\p{N}_]{2,}') AS t FROM reviews),
+terms AS (
+  SELECT review_id, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term
+  FROM tk)
+SELECT term, count(*) AS term_freq, count(DISTINCT review_id) AS doc_freq
+FROM terms GROUP BY term HAVING count(DISTINCT review_id) >= 2
+ORDER BY term_freq DESC, term LIMIT 300"""
+ORACLE["term_doc_freq"] = with_reviews("").rstrip() + "," + _TDF
+
+ORACLE["balanced_counts"] = _scored("""
+SELECT review_id, label,
+  CASE WHEN label = ml THEN big // m + CASE WHEN rk < big % m THEN 1 ELSE 0 END ELSE 1 END AS copies
+FROM (SELECT review_id, label,
+        row_number() OVER (PARTITION BY label ORDER BY md5(review_id || '42'), review_id) - 1 AS rk FROM ft) r,
+     (SELECT label AS ml, n AS m FROM (SELECT label, count(*) AS n FROM ft GROUP BY label)
+      ORDER BY n, CAST(label AS VARCHAR) LIMIT 1) mi,
+     (SELECT n AS big FROM (SELECT label, count(*) AS n FROM ft GROUP BY label)
+      ORDER BY n DESC, CAST(label AS VARCHAR) DESC LIMIT 1) ma""", FT_CTE)
+
+ORACLE["stratified_split"] = _scored("""
+SELECT review_id, label,
+  row_number() OVER (PARTITION BY label ORDER BY md5(review_id || '42'), review_id) - 1
+    < ceil(0.2 * count(*) OVER (PARTITION BY label)) AS is_test
+FROM ft""", FT_CTE)
+
+ORACLE["label_noise"] = _scored("""
+SELECT review_id, CASE WHEN flip THEN 1 - label ELSE label END AS label, flip AS noise_flipped
+FROM (SELECT review_id, label,
+        row_number() OVER (ORDER BY md5(review_id || '42'), review_id) - 1
+          < greatest(1, floor(count(*) OVER () * 0.05)) AS flip FROM ft)""", FT_CTE)
+
+EVAL_CTE = f"""
+lab AS (SELECT review_id, CAST({label_points_sql('b', 'r')} >= 50 AS INTEGER) AS label, fake_probability AS score
+        FROM (SELECT review_id, coalesce(body, '') AS b, coalesce(rating, 3.0) AS r, fake_probability FROM reviews)),
+ev AS (SELECT label = 1 AS pos, score, score >= 0.5 AS pred FROM lab WHERE score IS NOT NULL),
+ps AS (SELECT score, count(*) FILTER (WHERE pos) AS pos, count(*) FILTER (WHERE NOT pos) AS neg FROM ev GROUP BY score),
+cum AS (SELECT *,
+          coalesce(sum(pos) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS pos_below,
+          coalesce(sum(neg) OVER (ORDER BY score ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS neg_below
+        FROM ps)"""
+
+
+def _eval(body: str) -> str:
+    return with_reviews("").rstrip() + "," + EVAL_CTE + "\n" + body
+
+
+def _rate(num: str, den: str) -> str:
+    return f"coalesce({sround(num, den, 4)}, 0.0e0)"
+
+
+ORACLE["classifier_metrics"] = _eval(f"""
+SELECT n, tp, fp, tn, fn,
+  {_rate('tp + tn', 'n')} AS accuracy, {_rate('tp', 'tp + fp')} AS precision,
+  {_rate('tp', 'tp + fn')} AS recall, {_rate('2 * tp', '2 * tp + fp + fn')} AS f1,
+  {_rate('u2', '2 * (tp + fn) * (fp + tn)')} AS auc_roc
+FROM (SELECT count(*) AS n, count(*) FILTER (WHERE pos AND pred) AS tp,
+        count(*) FILTER (WHERE NOT pos AND pred) AS fp, count(*) FILTER (WHERE NOT pos AND NOT pred) AS tn,
+        count(*) FILTER (WHERE pos AND NOT pred) AS fn FROM ev) c,
+     (SELECT coalesce(sum(pos * (2 * neg_below + neg)), 0) AS u2 FROM cum) u""")
+
+ORACLE["confusion_matrix"] = _eval("""
+SELECT CAST(pos AS INTEGER) AS label, CAST(pred AS INTEGER) AS prediction, count(*) AS n
+FROM ev GROUP BY 1, 2""")
+
+ORACLE["roc_curve"] = _eval("""
+SELECT score AS threshold, CAST(P - pos_below AS BIGINT) AS tp, CAST(N - neg_below AS BIGINT) AS fp,
+  CAST(P - pos_below AS DOUBLE) / NULLIF(P, 0) AS tpr, CAST(N - neg_below AS DOUBLE) / NULLIF(N, 0) AS fpr
+FROM cum, (SELECT sum(pos) AS P, sum(neg) AS N FROM ps) t""")

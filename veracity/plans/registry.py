@@ -17,7 +17,10 @@ from veracity.operators import products as pr
 from veracity.operators import reports as rp
 from veracity.operators import reviewers as rv
 from veracity.operators import signals as sg
+from veracity.ml import evaluate as ev
+from veracity.ml import features as mf
 from veracity.operators import normalise as nm
+from veracity.operators import sampling as sm
 from veracity.sources.fixture import review_source_from_tables, reviews_from_tables
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -202,3 +205,66 @@ def q_review_dates(spark, sf_dir):
 def q_weak_labels(spark, sf_dir):
     return sg.weak_labels(reviews(spark, sf_dir)).select("review_id", "label_points",
                                                           "is_fake_ground_truth")
+
+
+def features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mf.feature_table(processed(spark, sf_dir))
+
+
+@register("feature_table")
+def q_feature_table(spark, sf_dir):
+    return features(spark, sf_dir).drop("body")
+
+
+@register("proxy_labels")
+def q_proxy_labels(spark, sf_dir):
+    return mf.proxy_labels(processed(spark, sf_dir)).select("review_id", "label")
+
+
+@register("class_balance")
+def q_class_balance(spark, sf_dir):
+    return rp.class_balance(mf.proxy_labels(processed(spark, sf_dir)))
+
+
+@register("term_doc_freq")
+def q_term_doc_freq(spark, sf_dir):
+    return mf.term_doc_freq(reviews(spark, sf_dir), min_df=2, top=300)
+
+
+@register("balanced_counts")
+def q_balanced_counts(spark, sf_dir):
+    b = sm.balance_exact(features(spark, sf_dir).select("review_id", "label"), seed=42)
+    return b.groupBy("review_id", "label").agg(F.count(F.lit(1)).alias("copies"))
+
+
+@register("stratified_split")
+def q_stratified_split(spark, sf_dir):
+    return sm.stratified_split(features(spark, sf_dir).select("review_id", "label"),
+                               test_frac=0.2, seed=42)
+
+
+@register("label_noise")
+def q_label_noise(spark, sf_dir):
+    return sm.label_noise(features(spark, sf_dir).select("review_id", "label"), frac=0.05, seed=42)
+
+
+def evaluation_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weak labels against the reviews' model-like ``fake_probability``."""
+    return sg.weak_labels(reviews(spark, sf_dir)).select(
+        "review_id", F.col("is_fake_ground_truth").alias("label"), F.col("fake_probability").alias("score"))
+
+
+@register("classifier_metrics")
+def q_classifier_metrics(spark, sf_dir):
+    return ev.classifier_metrics(evaluation_input(spark, sf_dir), threshold=0.5)
+
+
+@register("confusion_matrix")
+def q_confusion_matrix(spark, sf_dir):
+    d = evaluation_input(spark, sf_dir).filter(F.col("score").isNotNull())
+    return ev.confusion_matrix(d.withColumn("prediction", (F.col("score") >= 0.5).cast("int")))
+
+
+@register("roc_curve")
+def q_roc_curve(spark, sf_dir):
+    return ev.roc_curve(evaluation_input(spark, sf_dir))
