@@ -484,3 +484,15 @@ ORACLE["roc_curve"] = _eval("""
 SELECT score AS threshold, CAST(P - pos_below AS BIGINT) AS tp, CAST(N - neg_below AS BIGINT) AS fp,
   CAST(P - pos_below AS DOUBLE) / NULLIF(P, 0) AS tpr, CAST(N - neg_below AS DOUBLE) / NULLIF(N, 0) AS fpr
 FROM cum, (SELECT sum(pos) AS P, sum(neg) AS N FROM ps) t""")
+
+
+# --- stored pages -------------------------------------------------------------
+ORACLE["extract_page_records"] = r"""
+SELECT page_id, url, block_no,
+  trim(regexp_replace(regexp_replace(regexp_extract(block, '(?s)<h1[^>]*>(.*?)</h1>', 1), '<[^>]*>', ' ', 'g'),
+                      '[ \t\n\r\f]+', ' ', 'g')) AS title,
+  trim(regexp_replace(regexp_replace(regexp_replace(block, '(?s)<h1[^>]*>.*?</h1>', ' ', 'g'), '<[^>]*>', ' ', 'g'),
+                      '[ \t\n\r\f]+', ' ', 'g')) AS body,
+  CAST(len(regexp_extract_all(block, '<p[ >]')) AS INTEGER) AS n_paragraphs
+FROM (SELECT page_id, url, unnest(bl) AS block, CAST(unnest(range(0, len(bl))) AS INTEGER) AS block_no
+      FROM (SELECT page_id, url, regexp_extract_all(html, '(?s)<article[^>]*>(.*?)</article>', 1) AS bl FROM pages))"""

@@ -21,7 +21,9 @@ from veracity.ml import evaluate as ev
 from veracity.ml import features as mf
 from veracity.operators import normalise as nm
 from veracity.operators import sampling as sm
+from veracity.sources import pages as pg
 from veracity.sources.fixture import review_source_from_tables, reviews_from_tables
+from veracity.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -268,3 +270,9 @@ def q_confusion_matrix(spark, sf_dir):
 @register("roc_curve")
 def q_roc_curve(spark, sf_dir):
     return ev.roc_curve(evaluation_input(spark, sf_dir))
+
+
+@register("extract_page_records")
+def q_extract_page_records(spark, sf_dir):
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return pg.extract_page_records(pages, layout="article")
