@@ -34,7 +34,9 @@ def review_sentiments(processed: DataFrame, min_body_length: int | None = 10,
     if min_body_length is not None:
         df = df.filter(F.col("body").isNotNull() & (F.length("body") > min_body_length))
     df = df.withColumn("product_asin", F.coalesce(F.col("product_asin"), F.lit(lx.UNKNOWN_ID)))
-    s = lexicon_signals(df, preset=preset)
+    have = {"positive_signal", "negative_signal", "rating_sentiment_mismatch"} <= set(df.columns)
+    # Signals computed upstream (before the reviewer join, see plans.jobs) are reused.
+    s = df if have else lexicon_signals(df, preset=preset)
     return s.select(*[c for c in SENTIMENT_COLUMNS if c != "review_date"],
                     F.col("date").alias("review_date"), "score_tenths")
 

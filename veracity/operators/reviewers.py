@@ -3,9 +3,9 @@
 Skew: one reviewer (e.g. 'UNKNOWN') may own a third of all reviews. Nothing
 here collects a reviewer's reviews into one task. Aggregates are partial
 (map-side) hash aggregates, burst detection aggregates over (reviewer,
-anchor day) pairs, and the join that attaches flags to reviews is left to
-AQE, which broadcasts the flag table when its measured size allows and
-otherwise splits skewed partitions of the review side.
+anchor day) pairs, and the join that attaches flags to reviews broadcasts
+the flag table when a count shows it is small, and otherwise is a shuffle
+join whose skewed partitions AQE splits.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ from veracity.functions import dates as dt
 from veracity.functions import lexicons as lx
 from veracity.functions.numeric import mean6, mean_rounded, ratio6, round6, scaled_round
 from veracity.operators.signals import review_signals, with_review_defaults
+from veracity.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, attach_summary
 
 
 def reviewer_bursts(df: DataFrame, k: int = 5, hours: int = 24) -> DataFrame:
@@ -90,16 +91,19 @@ def score_tenths(flags_prefix: str = "") -> "F.Column":
 
 
 def fraud_scores(df: DataFrame, threshold: float = 0.5, k: int = 5, hours: int = 24,
-                 spam: str = "scoring") -> DataFrame:
+                 spam: str = "scoring", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
     """Processed reviews: signals + reviewer_flags struct + reviewer_fraud_score.
 
     Score = 0.3 all-extreme + 0.3 burst + 0.2 unverified > 0.8 + 0.2 spam,
     capped at 1, kept as integer tenths so it is exact. ``verdict`` is FAKE
-    at score >= ``threshold``.
+    at score >= ``threshold``. Signals are computed before the join, so the
+    text only crosses a shuffle when a later step asks for it; the flag table
+    is broadcast when it has at most ``max_broadcast_rows`` rows (measured).
+    Columns the input already carries (e.g. sentiment signals) pass through.
     """
     sig = review_signals(df, spam=spam)
     flags = reviewer_flags(sig, k=k, hours=hours)
-    joined = sig.join(flags, "reviewer_id", "left")
+    joined = attach_summary(sig, flags, "reviewer_id", "left", max_rows=max_broadcast_rows)
     tenths = score_tenths()
     out = joined.select(
         *[F.col(c) for c in sig.columns],

@@ -1,0 +1,23 @@
+"""Joining a per-key summary back onto wide rows.
+
+A per-reviewer (or per-product) table is small next to the reviews, but it
+grows with the number of keys, so it is broadcast only after its size has
+been measured: one count of the (narrow, aggregated) table. Below
+``max_rows`` the wide side is never shuffled; above it, the join is a
+shuffle join whose skewed partitions AQE splits.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# About 64 bytes per flag row: 4M rows stay well under a 512 MB broadcast.
+DEFAULT_MAX_BROADCAST_ROWS = 4_000_000
+
+
+def attach_summary(wide: DataFrame, summary: DataFrame, on: str | list[str], how: str = "left",
+                   max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+    """``wide.join(summary, on, how)``, broadcasting ``summary`` when it has at most ``max_rows`` rows."""
+    small = summary.limit(max_rows + 1).count() <= max_rows
+    return wide.join(F.broadcast(summary) if small else summary, on, how)

@@ -71,8 +71,12 @@ def q_fraud_scores(spark, sf_dir):
 
 
 def sentiments(spark: SparkSession, sf_dir: str, preset: str = "hql") -> DataFrame:
-    """The sentiment table: SQL form (body > 10 chars, substring lists) or local form."""
-    p = processed(spark, sf_dir)
+    """The sentiment table: SQL form (body > 10 chars, substring lists) or local form.
+
+    Sentiment signals are added to the reviews before scoring, so they are
+    computed where the text is read and never need the text after the join.
+    """
+    p = rv.fraud_scores(sg.lexicon_signals(reviews(spark, sf_dir), preset=preset))
     if preset == "hql":
         return pr.review_sentiments(p, min_body_length=10, preset="hql")
     return pr.review_sentiments(p, min_body_length=None, preset="word")
@@ -276,3 +280,20 @@ def q_roc_curve(spark, sf_dir):
 def q_extract_page_records(spark, sf_dir):
     pages = read_table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return pg.extract_page_records(pages, layout="article")
+
+
+@register("model_scores")
+def q_model_scores(spark, sf_dir):
+    """Train the local gradient-boosting model (reference settings) and score the held-out part.
+
+    Rows-only check: no SQL statement can express the trained model.
+    """
+    from veracity.ml import train as tr
+    ft = features(spark, sf_dir)
+    gbt = {"Gradient Boosting": tr.local_models()["Gradient Boosting"]}
+    fitted, _ = tr.train_models(ft, models=gbt, cv_folds=None)
+    _, test = tr.prepare_local(ft)
+    from veracity.ml.score import score_reviews
+    return score_reviews(test.withColumn("label", F.col("label").cast("double")),
+                         fitted["Gradient Boosting"]).select("review_id", "label", "prediction",
+                                                             "fake_probability")
