@@ -40,6 +40,12 @@ def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reviews_from_tables(spark, sf_dir)
 
 
+def scored_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Reviews with a model's ``fake_probability``: what the three document-store
+    analyses read (they use no reviewer flag or fraud score)."""
+    return reviews(spark, sf_dir)
+
+
 def processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews through the scoring job: signals, reviewer flags, score."""
     return rv.fraud_scores(reviews(spark, sf_dir))
@@ -130,17 +136,17 @@ def q_daily_review_bursts_min3(spark, sf_dir):
 
 @register("reviewer_frequency")
 def q_reviewer_frequency(spark, sf_dir):
-    return rv.reviewer_frequency(processed(spark, sf_dir))
+    return rv.reviewer_frequency(scored_reviews(spark, sf_dir))
 
 
 @register("hourly_bursts")
 def q_hourly_bursts(spark, sf_dir):
-    return pr.hourly_bursts(processed(spark, sf_dir), window_hours=1, threshold=5)
+    return pr.hourly_bursts(scored_reviews(spark, sf_dir), window_hours=1, threshold=5)
 
 
 @register("rating_deviation")
 def q_rating_deviation(spark, sf_dir):
-    return pr.rating_deviation(processed(spark, sf_dir))
+    return pr.rating_deviation(scored_reviews(spark, sf_dir))
 
 
 @register("rating_inflation_report")
@@ -151,7 +157,7 @@ def q_rating_inflation_report(spark, sf_dir):
 
 @register("analytics_snapshot")
 def q_analytics_snapshot(spark, sf_dir):
-    return rp.snapshot(processed(spark, sf_dir), k=50).drop("generated_at")
+    return rp.snapshot(scored_reviews(spark, sf_dir), k=50).drop("generated_at")
 
 
 @register("overall_summary")
