@@ -91,8 +91,9 @@ def hourly_bursts(scored: DataFrame, window_hours: int = 1, threshold: int = 5,
     Buckets are tumbling windows of ``window_hours`` hours over ``scraped_at``
     (1 hour: the calendar hour), labelled 'yyyy-MM-dd-HH' by their start.
     """
-    ts = F.col("scraped_at").cast("timestamp")
-    bucket = F.window(ts, f"{int(window_hours)} hours").start
+    # Windows on the naive event time itself, so buckets do not depend on the
+    # session time zone.
+    bucket = F.window(F.col("scraped_at"), f"{int(window_hours)} hours").start
     fake = F.coalesce(F.col(score_col) >= fake_at, F.lit(False))
     g = (scored.select(F.coalesce(F.col("product_asin"), F.lit(lx.UNKNOWN_ID)).alias("product_asin"),
                        bucket.alias("bucket"), "rating", fake.alias("is_fake"))
