@@ -115,19 +115,21 @@ def fraud_scores(df: DataFrame, threshold: float = 0.5, k: int = 5, hours: int =
         .otherwise(F.lit("GENUINE")))
 
 
-def suspicious_reviewers(sentiments: DataFrame, min_reviews: int = 4) -> DataFrame:
+def suspicious_reviewers(sentiments: DataFrame, min_reviews: int = 4,
+                         mismatch_col: str = "mismatches") -> DataFrame:
     """Reviewers with at least ``min_reviews`` rows in the sentiment table.
 
-    review_count, avg_rating, spam_count, avg_fraud_score, mismatches; ordered
-    by avg_fraud_score desc, reviewer_id. (SQL ``HAVING COUNT(*) > 3`` is
-    ``min_reviews=4``; the local run used 2.)
+    review_count, avg_rating, spam_count, avg_fraud_score and the mismatch
+    count (``mismatches`` in the SQL form, ``mismatch_count`` in the local
+    one); ordered by avg_fraud_score desc, reviewer_id. (SQL
+    ``HAVING COUNT(*) > 3`` is ``min_reviews=4``; the local run used 2.)
     """
     return (sentiments.groupBy("reviewer_id").agg(
         F.count(F.lit(1)).alias("review_count"),
         mean6(F.col("rating")).alias("avg_rating"),
         F.count_if(F.col("spam_flag")).alias("spam_count"),
         ratio6(F.sum("score_tenths"), F.count(F.lit(1)) * 10).alias("avg_fraud_score"),
-        F.sum("rating_sentiment_mismatch").alias("mismatches"))
+        F.sum("rating_sentiment_mismatch").alias(mismatch_col))
         .filter(F.col("review_count") >= min_reviews)
         .orderBy(F.col("avg_fraud_score").desc(), "reviewer_id"))
 

@@ -171,17 +171,17 @@ SELECT review_id, product_asin, reviewer_id, rating, body, word_count, spam_flag
 FROM sent""", sentiments_cte("sent", "hql"))
 
 
-def _suspicious(min_reviews: int, preset: str) -> str:
+def _suspicious(min_reviews: int, preset: str, mismatch_col: str) -> str:
     return _scored(f"""
 SELECT reviewer_id, count(*) AS review_count, {mean6('rating')} AS avg_rating,
   count(*) FILTER (WHERE spam_flag) AS spam_count,
   {sround('sum(score_tenths)', 'count(*) * 10', 6, even=False)} AS avg_fraud_score,
-  CAST(sum(rating_sentiment_mismatch) AS BIGINT) AS mismatches
+  CAST(sum(rating_sentiment_mismatch) AS BIGINT) AS {mismatch_col}
 FROM sent GROUP BY reviewer_id HAVING count(*) >= {min_reviews}""", sentiments_cte("sent", preset))
 
 
-ORACLE["suspicious_reviewers"] = _suspicious(4, "hql")
-ORACLE["suspicious_reviewers_min2"] = _suspicious(2, "word")
+ORACLE["suspicious_reviewers"] = _suspicious(4, "hql", "mismatches")
+ORACLE["suspicious_reviewers_min2"] = _suspicious(2, "word", "mismatch_count")
 
 
 def _product_summary(with_std: bool, preset: str) -> str:

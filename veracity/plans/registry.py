@@ -111,7 +111,8 @@ def q_suspicious_reviewers(spark, sf_dir):
 
 @register("suspicious_reviewers_min2")
 def q_suspicious_reviewers_min2(spark, sf_dir):
-    return rv.suspicious_reviewers(sentiments(spark, sf_dir, "word"), min_reviews=2)
+    return rv.suspicious_reviewers(sentiments(spark, sf_dir, "word"), min_reviews=2,
+                                   mismatch_col="mismatch_count")
 
 
 @register("product_fraud_summary")

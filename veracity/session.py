@@ -66,3 +66,23 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     path = tempfile.mkdtemp(prefix="veracity-ckpt-")
     sc.setCheckpointDir(path)
     return path
+
+
+def cluster_conf(input_bytes: int, executor_cores_total: int,
+                 target_partition_bytes: int = 256 * 1024 * 1024) -> dict[str, str]:
+    """Shuffle and scan sizing for a cluster run over ``input_bytes`` of input.
+
+    Shuffle partitions start at ~one per ``target_partition_bytes`` of input
+    (and at least 3 waves of the available cores); AQE then coalesces small
+    ones and splits skewed ones. Pass the result to the session builder.
+    """
+    parts = max(3 * executor_cores_total, -(-input_bytes // target_partition_bytes))
+    conf = dict(BASE_CONF)
+    conf.update({
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes // 2),
+        "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    })
+    return conf
