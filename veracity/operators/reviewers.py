@@ -20,56 +20,77 @@ from veracity.operators.signals import review_signals, with_review_defaults
 from veracity.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, attach_summary
 
 
-def reviewer_bursts(df: DataFrame, k: int = 5, hours: int = 24) -> DataFrame:
-    """reviewer_id, burst_activity, max_reviews_in_window.
+def reviewer_days(df: DataFrame) -> DataFrame:
+    """Per (reviewer, review day) partial statistics; the day is NULL when undated.
+
+    n, s1 = sum(rating), s2 = sum(rating^2), all_extreme, unverified. Both the
+    reviewer flags and burst detection are computed from this one narrow
+    aggregate, and a hot reviewer is spread over its days.
+    """
+    d = with_review_defaults(df.select(*[c for c in ("reviewer_id", "rating", "verified_purchase", "date")
+                                         if c in df.columns]))
+    if "date" not in d.columns:
+        d = d.withColumn("date", F.lit(None).cast("string"))
+    r = F.col("rating")
+    return (d.groupBy("reviewer_id", dt.day_number(dt.review_day(F.col("date"))).alias("day_no"))
+            .agg(F.count(F.lit(1)).alias("n"), F.sum(r).alias("s1"), F.sum(r * r).alias("s2"),
+                 F.bool_and(r.isin(*lx.EXTREME_RATINGS)).alias("all_extreme"),
+                 F.count_if(~F.col("verified_purchase")).alias("unverified")))
+
+
+def bursts_from_days(days: DataFrame, k: int = 5, hours: int = 24) -> DataFrame:
+    """reviewer_id, burst_activity, max_reviews_in_window from ``reviewer_days``.
 
     Burst: some ``k`` dated reviews of the reviewer lie within ``hours``
     hours, inclusive. Review dates are whole days (parsed from text), so a
     span of at most ``hours`` means a day difference of at most
-    ``hours // 24``. Each dated review counts toward every window
-    [a, a + span] that holds it (anchors a = day - span .. day); a burst is a
-    window count >= k. This is two partial aggregations and never orders or
-    collects one reviewer's reviews, so a hot reviewer does not skew it.
+    ``hours // 24``. Each day's count goes to every window [a, a + span] that
+    holds the day (anchors a = day - span .. day); a burst is a window total
+    >= k. Aggregations only: one reviewer's reviews are never ordered or
+    collected, so a hot reviewer does not skew it.
     """
     span = hours // 24
-    d = with_review_defaults(df.select("reviewer_id", "date"))
-    day_no = dt.day_number(dt.review_day(F.col("date")))
-    anchors = (d.select("reviewer_id", day_no.alias("day_no"))
-               .select("reviewer_id", F.explode_outer(
-                   F.when(F.col("day_no").isNotNull(),
-                          F.sequence(F.col("day_no") - span, F.col("day_no")))).alias("anchor")))
-    per_window = anchors.groupBy("reviewer_id", "anchor").agg(F.count(F.lit(1)).alias("n"))
-    return (per_window.groupBy("reviewer_id")
-            .agg(F.coalesce(F.max(F.when(F.col("anchor").isNotNull(), F.col("n"))), F.lit(0))
-                 .alias("max_reviews_in_window"))
-            .withColumn("burst_activity", F.col("max_reviews_in_window") >= k)
-            .select("reviewer_id", "burst_activity", "max_reviews_in_window"))
+    anchors = days.select("reviewer_id", "n", F.explode_outer(
+        F.when(F.col("day_no").isNotNull(), F.sequence(F.col("day_no") - span, F.col("day_no")))).alias("anchor"))
+    per_window = (anchors.filter(F.col("anchor").isNotNull())
+                  .groupBy("reviewer_id", "anchor").agg(F.sum("n").alias("w")))
+    return (days.select("reviewer_id").distinct()
+            .join(per_window.groupBy("reviewer_id").agg(F.max("w").alias("max_reviews_in_window")),
+                  "reviewer_id", "left")
+            .select("reviewer_id",
+                    (F.coalesce(F.col("max_reviews_in_window"), F.lit(0)) >= k).alias("burst_activity"),
+                    F.coalesce(F.col("max_reviews_in_window"), F.lit(0)).alias("max_reviews_in_window")))
+
+
+def reviewer_bursts(df: DataFrame, k: int = 5, hours: int = 24) -> DataFrame:
+    """Burst flag per reviewer (see ``bursts_from_days``)."""
+    return bursts_from_days(reviewer_days(df), k=k, hours=hours)
 
 
 def reviewer_flags(df: DataFrame, k: int = 5, hours: int = 24) -> DataFrame:
     """One row per reviewer: the scoring job's reviewer flags.
 
-    total_reviews, avg_rating (2 dp, half-even), rating_std (population, 2 dp),
-    all_extreme_ratings, burst_activity, unverified_ratio, plus
-    ``unverified_over_limit`` (ratio > 0.8, compared exactly).
+    total_reviews, avg_rating (2 dp, half-even), rating_std (population,
+    2 dp), all_extreme_ratings, burst_activity, unverified_ratio, plus
+    ``unverified_over_limit`` (ratio > 0.8, compared exactly). The std is
+    sqrt(N*S2 - S1^2) / N over the summed moments: exact for whole-star
+    ratings, and free of a second pass over the reviews.
     """
-    d = with_review_defaults(df.select(*[c for c in ("reviewer_id", "rating", "verified_purchase")
-                                         if c in df.columns]))
-    stats = d.groupBy("reviewer_id").agg(
-        F.count(F.lit(1)).alias("total_reviews"),
-        mean_rounded(F.col("rating"), 2).alias("avg_rating"),
-        F.bround(F.stddev_pop("rating"), 2).alias("rating_std"),
-        F.bool_and(F.col("rating").isin(*lx.EXTREME_RATINGS)).alias("all_extreme_ratings"),
-        F.count_if(~F.col("verified_purchase")).alias("unverified_count"),
-    )
+    days = reviewer_days(df)
+    t = days.groupBy("reviewer_id").agg(
+        F.sum("n").alias("N"), F.sum("s1").alias("S1"), F.sum("s2").alias("S2"),
+        F.bool_and("all_extreme").alias("all_extreme_ratings"), F.sum("unverified").alias("unverified_count"))
+    n = F.col("N")
+    var_n2 = F.greatest(n * F.col("S2") - F.col("S1") * F.col("S1"), F.lit(0.0))
     num, den = lx.UNVERIFIED_RATIO_LIMIT
-    stats = stats.select(
-        "reviewer_id", F.col("total_reviews").cast("int").alias("total_reviews"), "avg_rating",
-        "rating_std", "all_extreme_ratings",
-        (F.col("unverified_count") / F.col("total_reviews")).alias("unverified_ratio"),
-        (F.col("unverified_count") * den > F.col("total_reviews") * num).alias("unverified_over_limit"),
-    )
-    bursts = reviewer_bursts(df, k=k, hours=hours).select("reviewer_id", "burst_activity")
+    stats = t.select(
+        "reviewer_id", n.cast("int").alias("total_reviews"),
+        scaled_round(F.col("S1"), n, 2).alias("avg_rating"),
+        F.bround(F.sqrt(var_n2) / n, 2).alias("rating_std"),
+        "all_extreme_ratings",
+        (F.col("unverified_count") / n).alias("unverified_ratio"),
+        (F.col("unverified_count") * den > n * num).alias("unverified_over_limit"))
+    bursts = bursts_from_days(days, k=k, hours=hours).select("reviewer_id", "burst_activity")
     # Both sides are hash-partitioned on reviewer_id by their aggregations.
     return stats.join(bursts, "reviewer_id", "left").select(
         "reviewer_id", "total_reviews", "avg_rating", "rating_std", "all_extreme_ratings",

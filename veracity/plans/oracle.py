@@ -71,7 +71,7 @@ FLAGS_CTE = f"""
 stats AS (
   SELECT reviewer_id, CAST(count(*) AS INTEGER) AS total_reviews,
     round_even(CAST(sum(rating) AS DOUBLE) * 1e2 / count(rating), 0) / 1e2 AS avg_rating,
-    round_even(stddev_pop(rating), 2) AS rating_std,
+    round_even(sqrt(greatest(count(*) * sum(rating * rating) - sum(rating) * sum(rating), 0)) / count(*), 2) AS rating_std,
     bool_and(rating IN (1.0, 5.0)) AS all_extreme_ratings,
     CAST(count(*) FILTER (WHERE NOT verified_purchase) AS DOUBLE) / count(*) AS unverified_ratio,
     count(*) FILTER (WHERE NOT verified_purchase) * 5 > count(*) * 4 AS unverified_over_limit
