@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from veracity.functions import dates as dt
 from veracity.functions import lexicons as lx
-from veracity.functions.numeric import mean6, mean_rounded, ratio6, round6, scaled_round
+from veracity.functions.numeric import mean6, ratio6, round6, scaled_round
 from veracity.operators.signals import lexicon_signals
 
 SENTIMENT_COLUMNS = ["review_id", "product_asin", "reviewer_id", "rating", "body", "word_count",

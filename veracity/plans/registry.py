@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from veracity.operators import products as pr
@@ -304,3 +305,36 @@ def q_model_scores(spark, sf_dir):
     return score_reviews(test.withColumn("label", F.col("label").cast("double")),
                          fitted["Gradient Boosting"]).select("review_id", "label", "prediction",
                                                              "fake_probability")
+
+
+@register("hashed_features")
+def q_hashed_features(spark, sf_dir):
+    """Cluster text features: tokenise, stop words, hashed TF (5000), IDF, assemble, scale.
+
+    Rows-only check (vectors): one row per review with the vector size and non-zeros.
+    """
+    p = mf.proxy_labels(processed(spark, sf_dir))
+    out = mf.hashed_text_pipeline().fit(p).transform(p)
+    arr = vector_to_array("features")
+    return out.select("review_id", "label", F.size(arr).alias("n_features"),
+                      F.size(F.filter(arr, lambda x: x != 0.0)).alias("n_nonzero"))
+
+
+@register("vocab_features")
+def q_vocab_features(spark, sf_dir):
+    """Local text features: uni+bigram counts over a 300-term vocabulary, IDF, L2, + 14 numerics.
+
+    Rows-only check (vectors).
+    """
+    ft = features(spark, sf_dir)
+    out = mf.vocab_text_pipeline().fit(ft).transform(ft)
+    arr = vector_to_array("features")
+    return out.select("review_id", "label", F.size(arr).alias("n_features"),
+                      F.size(F.filter(arr, lambda x: x != 0.0)).alias("n_nonzero"))
+
+
+@register("oversampled_labels")
+def q_oversampled_labels(spark, sf_dir):
+    """Cluster trainer's oversampling of the proxy-positive class (random, seeded): rows-only."""
+    return sm.oversample(mf.proxy_labels(processed(spark, sf_dir)).select("review_id", "label"),
+                         cap=5.0, seed=42)
