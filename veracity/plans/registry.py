@@ -11,6 +11,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -225,6 +226,14 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mf.feature_table(processed(spark, sf_dir))
 
 
+def reused(df: DataFrame) -> DataFrame:
+    """Persist an input that several passes read (ML fits, rank histogram + rows).
+
+    MEMORY_AND_DISK: blocks lost with an executor are recomputed from lineage.
+    """
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 @register("feature_table")
 def q_feature_table(spark, sf_dir):
     return features(spark, sf_dir).drop("body")
@@ -247,19 +256,19 @@ def q_term_doc_freq(spark, sf_dir):
 
 @register("balanced_counts")
 def q_balanced_counts(spark, sf_dir):
-    b = sm.balance_exact(features(spark, sf_dir).select("review_id", "label"), seed=42)
+    b = sm.balance_exact(reused(features(spark, sf_dir).select("review_id", "label")), seed=42)
     return b.groupBy("review_id", "label").agg(F.count(F.lit(1)).alias("copies"))
 
 
 @register("stratified_split")
 def q_stratified_split(spark, sf_dir):
-    return sm.stratified_split(features(spark, sf_dir).select("review_id", "label"),
+    return sm.stratified_split(reused(features(spark, sf_dir).select("review_id", "label")),
                                test_frac=0.2, seed=42)
 
 
 @register("label_noise")
 def q_label_noise(spark, sf_dir):
-    return sm.label_noise(features(spark, sf_dir).select("review_id", "label"), frac=0.05, seed=42)
+    return sm.label_noise(reused(features(spark, sf_dir).select("review_id", "label")), frac=0.05, seed=42)
 
 
 def evaluation_input(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -313,7 +322,8 @@ def q_hashed_features(spark, sf_dir):
 
     Rows-only check (vectors): one row per review with the vector size and non-zeros.
     """
-    p = mf.proxy_labels(processed(spark, sf_dir))
+    p = reused(mf.proxy_labels(processed(spark, sf_dir)).select(
+        "review_id", "label", "body", *mf.CLUSTER_NUMERIC_FEATURES))
     out = mf.hashed_text_pipeline().fit(p).transform(p)
     arr = vector_to_array("features")
     return out.select("review_id", "label", F.size(arr).alias("n_features"),
@@ -326,7 +336,7 @@ def q_vocab_features(spark, sf_dir):
 
     Rows-only check (vectors).
     """
-    ft = features(spark, sf_dir)
+    ft = reused(features(spark, sf_dir))
     out = mf.vocab_text_pipeline().fit(ft).transform(ft)
     arr = vector_to_array("features")
     return out.select("review_id", "label", F.size(arr).alias("n_features"),
@@ -336,5 +346,5 @@ def q_vocab_features(spark, sf_dir):
 @register("oversampled_labels")
 def q_oversampled_labels(spark, sf_dir):
     """Cluster trainer's oversampling of the proxy-positive class (random, seeded): rows-only."""
-    return sm.oversample(mf.proxy_labels(processed(spark, sf_dir)).select("review_id", "label"),
+    return sm.oversample(reused(mf.proxy_labels(processed(spark, sf_dir)).select("review_id", "label")),
                          cap=5.0, seed=42)
