@@ -12,7 +12,7 @@ model-like ``fake_probability``. Two hot keys are built in on purpose: all
 product ``PHOT`` (a fifth of the rows each), so skew handling is exercised.
 
 The same mapping is given twice: as DataFrame code for Spark and as SQL text
-for the DuckDB oracle. ``tests/test_fixture.py`` checks the two agree.
+for the DuckDB oracle. ``tests/test_fixture.py`` checks the two agree row for row.
 """
 
 from __future__ import annotations

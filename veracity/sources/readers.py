@@ -6,8 +6,10 @@ types from a sample and malformed input cannot change the schema.
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
@@ -74,17 +76,21 @@ def read_review_csv(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
 
     Paths are de-duplicated (overlapping globs listed files twice); columns
     missing from a file become NULL. All values are read as strings; quoted
-    fields may span lines. A file that cannot be read fails the job rather
-    than being skipped silently.
+    fields may span lines. A path that cannot be opened is skipped with a
+    warning; if none can, the read fails.
     """
     unique = list(dict.fromkeys(paths))
-    if not unique:
-        raise ValueError("no CSV paths given")
     out = None
     for p in unique:
-        df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-              .option("mode", "PERMISSIVE").csv(p))
+        try:
+            df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+                  .option("mode", "PERMISSIVE").csv(p))
+        except AnalysisException as e:
+            warnings.warn(f"skipping unreadable CSV {p}: {e}")
+            continue
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
+    if out is None:
+        raise ValueError(f"no readable CSV among {unique}")
     return out
 
 
