@@ -20,7 +20,7 @@ from veracity.operators.signals import review_signals, with_review_defaults
 from veracity.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, attach_summary
 
 
-def reviewer_days(df: DataFrame) -> DataFrame:
+def reviewer_days(df: DataFrame, clean_keys: bool = False) -> DataFrame:
     """Per (reviewer, review day) partial statistics; the day is NULL when undated.
 
     n, s1 = sum(rating), s2 = sum(rating^2), all_extreme, unverified. Both the
@@ -28,7 +28,7 @@ def reviewer_days(df: DataFrame) -> DataFrame:
     aggregate, and a hot reviewer is spread over its days.
     """
     d = with_review_defaults(df.select(*[c for c in ("reviewer_id", "rating", "verified_purchase", "date")
-                                         if c in df.columns]))
+                                         if c in df.columns]), clean_keys=clean_keys)
     if "date" not in d.columns:
         d = d.withColumn("date", F.lit(None).cast("string"))
     r = F.col("rating")
@@ -67,7 +67,7 @@ def reviewer_bursts(df: DataFrame, k: int = 5, hours: int = 24) -> DataFrame:
     return bursts_from_days(reviewer_days(df), k=k, hours=hours)
 
 
-def reviewer_flags(df: DataFrame, k: int = 5, hours: int = 24) -> DataFrame:
+def reviewer_flags(df: DataFrame, k: int = 5, hours: int = 24, clean_keys: bool = False) -> DataFrame:
     """One row per reviewer: the scoring job's reviewer flags.
 
     total_reviews, avg_rating (2 dp, half-even), rating_std (population,
@@ -76,7 +76,7 @@ def reviewer_flags(df: DataFrame, k: int = 5, hours: int = 24) -> DataFrame:
     sqrt(N*S2 - S1^2) / N over the summed moments: exact for whole-star
     ratings, and free of a second pass over the reviews.
     """
-    days = reviewer_days(df)
+    days = reviewer_days(df, clean_keys=clean_keys)
     t = days.groupBy("reviewer_id").agg(
         F.sum("n").alias("N"), F.sum("s1").alias("S1"), F.sum("s2").alias("S2"),
         F.bool_and("all_extreme").alias("all_extreme_ratings"), F.sum("unverified").alias("unverified_count"))
@@ -112,7 +112,8 @@ def score_tenths(flags_prefix: str = "") -> "F.Column":
 
 
 def fraud_scores(df: DataFrame, threshold: float = 0.5, k: int = 5, hours: int = 24,
-                 spam: str = "scoring", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                 spam: str = "scoring", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                 clean_keys: bool = False) -> DataFrame:
     """Processed reviews: signals + reviewer_flags struct + reviewer_fraud_score.
 
     Score = 0.3 all-extreme + 0.3 burst + 0.2 unverified > 0.8 + 0.2 spam,
@@ -121,9 +122,12 @@ def fraud_scores(df: DataFrame, threshold: float = 0.5, k: int = 5, hours: int =
     text only crosses a shuffle when a later step asks for it; the flag table
     is broadcast when it has at most ``max_broadcast_rows`` rows (measured).
     Columns the input already carries (e.g. sentiment signals) pass through.
+    On a table bucketed by reviewer_id (``sources.sinks.save_bucketed``)
+    with ``clean_keys=True`` and ``max_broadcast_rows=0``, every step keeps
+    the scan's partitioning and the plan has no shuffle at all.
     """
-    sig = review_signals(df, spam=spam)
-    flags = reviewer_flags(sig, k=k, hours=hours)
+    sig = review_signals(df, spam=spam, clean_keys=clean_keys)
+    flags = reviewer_flags(sig, k=k, hours=hours, clean_keys=True)
     joined = attach_summary(sig, flags, "reviewer_id", "left", max_rows=max_broadcast_rows)
     tenths = score_tenths()
     out = joined.select(

@@ -13,14 +13,19 @@ from veracity.functions import lexicons as lx
 from veracity.functions import text as tx
 
 
-def with_review_defaults(df: DataFrame) -> DataFrame:
+def with_review_defaults(df: DataFrame, clean_keys: bool = False) -> DataFrame:
     """Missing or NULL fields take the scoring job's defaults.
 
     body '', rating 3.0, reviewer 'UNKNOWN', helpful votes 0, not verified.
     A NULL is treated like an absent key (the original crashed on it).
+    ``clean_keys`` declares that ``reviewer_id`` has no NULLs (defaults were
+    applied when the table was written); it is then passed through untouched,
+    so a table bucketed on it keeps its partitioning.
     """
     defaults = {"body": F.lit(""), "rating": F.lit(3.0), "reviewer_id": F.lit(lx.UNKNOWN_ID),
                 "helpful_votes": F.lit(0), "verified_purchase": F.lit(False)}
+    if clean_keys and "reviewer_id" in df.columns:
+        defaults.pop("reviewer_id")
     out = df
     for name, value in defaults.items():
         if name in df.columns:
@@ -31,14 +36,14 @@ def with_review_defaults(df: DataFrame) -> DataFrame:
 
 
 def review_signals(df: DataFrame, spam: str = "scoring", min_len: int = 20,
-                   short_len: int = 50) -> DataFrame:
+                   short_len: int = 50, clean_keys: bool = False) -> DataFrame:
     """Adds spam_flag, word_count, has_url, exclamation_count, caps_ratio.
 
     ``spam_flag`` is true for a body shorter than ``min_len``, a spam-text hit,
     or a 1- or 5-star rating with no helpful votes and a body shorter than
     ``short_len``.
     """
-    d = with_review_defaults(df)
+    d = with_review_defaults(df, clean_keys=clean_keys)
     body = F.col("body")
     length = tx.char_length(body)
     extreme = F.col("rating").isin(*lx.EXTREME_RATINGS)

@@ -18,6 +18,11 @@ DEFAULT_MAX_BROADCAST_ROWS = 4_000_000
 
 def attach_summary(wide: DataFrame, summary: DataFrame, on: str | list[str], how: str = "left",
                    max_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
-    """``wide.join(summary, on, how)``, broadcasting ``summary`` when it has at most ``max_rows`` rows."""
+    """``wide.join(summary, on, how)``, broadcasting ``summary`` when it has at most ``max_rows`` rows.
+
+    ``max_rows=0`` never broadcasts (for inputs already partitioned on the key).
+    """
+    if max_rows <= 0:
+        return wide.join(summary, on, how)
     small = summary.limit(max_rows + 1).count() <= max_rows
     return wide.join(F.broadcast(summary) if small else summary, on, how)

@@ -57,3 +57,16 @@ def append_snapshot(scored: DataFrame, path: str, k: int = 50, fmt: str = "parqu
     from veracity.operators.reports import snapshot
     stamp = scored.sparkSession.sql("SELECT current_timestamp() AS t").first()["t"].isoformat()
     snapshot(scored, k=k, generated_at=stamp).write.mode("append").format(fmt).save(path)
+
+
+def save_bucketed(df: DataFrame, name: str, key: str = "reviewer_id", buckets: int = 512,
+                  path: str | None = None) -> None:
+    """Write a table bucketed and sorted on ``key`` (e.g. reviews by reviewer).
+
+    Later aggregations and joins on ``key`` read the buckets in place instead
+    of shuffling. Apply the key defaults before writing so the key has no NULLs.
+    """
+    w = df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
