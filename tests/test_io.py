@@ -5,7 +5,7 @@ import os
 
 from veracity.sources.readers import (read_declared_table, read_review_array, read_review_csv,
                                       read_review_lines)
-from veracity.sources.sinks import export_csv, replace_table, write_reviews
+from veracity.sources.sinks import export_csv, replace_table, save_as_table, write_reviews
 
 
 def test_json_array_and_lines(spark, tmp_dir):
@@ -48,3 +48,15 @@ def test_writers(spark, tmp_dir):
     assert replace_table(df.limit(1), os.path.join(tmp_dir, "t")) == 1
     export_csv(df, os.path.join(tmp_dir, "c"))
     assert len([f for f in os.listdir(os.path.join(tmp_dir, "c")) if f.endswith(".csv")]) == 1
+
+
+def test_save_as_table_modes(spark, tmp_dir):
+    a = spark.createDataFrame([("a",)], "k string")
+    b = spark.createDataFrame([("b",), ("c",)], "k string")
+    path = os.path.join(tmp_dir, "tbl")
+    save_as_table(a, "veracity_ctas_test", "replace", path=path)
+    save_as_table(b, "veracity_ctas_test", "keep", path=path)       # exists: kept as is
+    assert spark.table("veracity_ctas_test").count() == 1
+    save_as_table(b, "veracity_ctas_test", "replace", path=path)    # drop and create
+    assert spark.table("veracity_ctas_test").count() == 2
+    spark.sql("DROP TABLE veracity_ctas_test")

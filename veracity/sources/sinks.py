@@ -33,10 +33,16 @@ def append_table(df: DataFrame, path: str, fmt: str = "parquet", options: dict |
     w.save(path)
 
 
-def save_as_table(df: DataFrame, name: str, if_exists: str = "replace") -> None:
-    """Materialise a named table: ``replace`` (drop and create) or ``keep`` (create if absent)."""
+def save_as_table(df: DataFrame, name: str, if_exists: str = "replace", path: str | None = None) -> None:
+    """Materialise a named table: ``replace`` (drop and create) or ``keep`` (create if absent).
+
+    ``path`` places the table's files (an external table); otherwise the warehouse is used.
+    """
     mode = {"replace": "overwrite", "keep": "ignore"}[if_exists]
-    df.write.mode(mode).saveAsTable(name)
+    w = df.write.mode(mode)
+    if path:
+        w = w.option("path", path)
+    w.saveAsTable(name)
 
 
 def export_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
