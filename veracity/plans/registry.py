@@ -337,7 +337,7 @@ def q_vocab_features(spark, sf_dir):
     Rows-only check (vectors).
     """
     ft = reused(features(spark, sf_dir))
-    out = mf.vocab_text_pipeline().fit(ft).transform(ft)
+    out = mf.fit_vocab_text_features(ft).transform(ft)
     arr = vector_to_array("features")
     return out.select("review_id", "label", F.size(arr).alias("n_features"),
                       F.size(F.filter(arr, lambda x: x != 0.0)).alias("n_nonzero"))
