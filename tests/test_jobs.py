@@ -26,3 +26,27 @@ def test_score_summaries_snapshot(spark, tmp_dir):
     jobs.snapshot_job(spark, scored, os.path.join(tmp_dir, "snap"))
     snaps = spark.read.parquet(os.path.join(tmp_dir, "snap"))
     assert snaps.select("generated_at").distinct().count() == 2
+
+
+# FIXED VALUES: header lines of the three summary exports of the local run.
+LOCAL_HEADERS = {
+    "suspicious_reviewers": "reviewer_id,review_count,avg_rating,spam_count,avg_fraud_score,mismatch_count",
+    "product_fraud_summary": ("product_asin,total_reviews,avg_rating,spam_reviews,avg_fraud_score,"
+                              "sentiment_mismatches,spam_percentage"),
+    "daily_review_bursts": "product_asin,date_clean,daily_count,daily_avg_rating,daily_spam_count",
+}
+
+
+def test_local_exports_have_the_original_headers(spark, tmp_dir):
+    raw = os.path.join(tmp_dir, "raw")
+    reviews_from_tables(spark, SF_SMALL).drop("fake_probability") \
+        .withColumn("scraped_at", F.col("scraped_at").cast("string")).write.json(raw)
+    processed = os.path.join(tmp_dir, "processed")
+    jobs.score_job(spark, raw, processed)
+    out = os.path.join(tmp_dir, "summ")
+    jobs.summaries_job(spark, processed, out, preset="word")
+    for name, header in LOCAL_HEADERS.items():
+        d = os.path.join(out, name + "_csv")
+        part = [f for f in os.listdir(d) if f.endswith(".csv")][0]
+        with open(os.path.join(d, part)) as fh:
+            assert fh.readline().strip() == header, name

@@ -59,8 +59,12 @@ def product_fraud_summary(sentiments: DataFrame, with_stddev: bool = True) -> Da
              F.sum("rating_sentiment_mismatch").alias("sentiment_mismatches"),
              ratio6(F.sum("score_tenths"), n * 10)
              .alias("avg_fraud_exposure" if with_stddev else "avg_fraud_score")]
-    return (sentiments.groupBy("product_asin").agg(*aggs)
-            .orderBy(F.col("spam_percentage").desc(), "product_asin"))
+    out = sentiments.groupBy("product_asin").agg(*aggs)
+    if not with_stddev:
+        # The local form lists the share last.
+        out = out.select("product_asin", "total_reviews", "avg_rating", "spam_reviews", "avg_fraud_score",
+                         "sentiment_mismatches", "spam_percentage")
+    return out.orderBy(F.col("spam_percentage").desc(), "product_asin")
 
 
 def daily_review_bursts(sentiments: DataFrame, min_count: int = 11, day: str = "raw") -> DataFrame:

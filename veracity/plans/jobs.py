@@ -47,7 +47,8 @@ def summaries_job(spark: SparkSession, processed_path: str, out_dir: str, preset
                   "daily_review_bursts": pr.daily_review_bursts(sent, min_count=11, day="raw")}
     else:
         sent = pr.review_sentiments(lexicon_signals(processed, "word"), min_body_length=None, preset="word")
-        tables = {"suspicious_reviewers": rv.suspicious_reviewers(sent, min_reviews=2),
+        tables = {"suspicious_reviewers": rv.suspicious_reviewers(sent, min_reviews=2,
+                                                                  mismatch_col="mismatch_count"),
                   "product_fraud_summary": pr.product_fraud_summary(sent, with_stddev=False),
                   "daily_review_bursts": pr.daily_review_bursts(sent, min_count=3, day="clean")}
     sent.drop("score_tenths").write.mode("overwrite").parquet(os.path.join(out_dir, "review_sentiments"))
