@@ -50,3 +50,15 @@ def test_local_exports_have_the_original_headers(spark, tmp_dir):
         part = [f for f in os.listdir(d) if f.endswith(".csv")][0]
         with open(os.path.join(d, part)) as fh:
             assert fh.readline().strip() == header, name
+
+
+def test_append_summary_rows(spark, tmp_dir):
+    from veracity.operators.reviewers import fraud_scores
+    from veracity.sources.sinks import append_summary
+    p = fraud_scores(reviews_from_tables(spark, SF_SMALL))
+    path = os.path.join(tmp_dir, "summary")
+    append_summary(p, path)
+    append_summary(p, path)
+    rows = spark.read.parquet(path).collect()
+    assert len(rows) == 2 and all(r.total_reviews == 1000 for r in rows)
+    assert rows[0].fake_reviews + rows[0].genuine_reviews == 1000
