@@ -83,3 +83,8 @@ def test_score_all_combinations(spark):
     assert got == expected
     verdicts = {r.reviewer_id: r.verdict for r in fraud_scores(df).collect()}
     assert all((verdicts[k] == "FAKE") == (v >= 0.5) for k, v in expected.items())
+
+
+def test_tenths_threshold():
+    from veracity.functions.numeric import tenths_threshold
+    assert [tenths_threshold(x) for x in (0.5, 0.45, 0.55, 0.3, 0.0, 1.0)] == [5, 5, 6, 3, 0, 10]

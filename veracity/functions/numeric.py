@@ -8,6 +8,8 @@ the unscaled mean.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -43,3 +45,12 @@ def mean6(col: Column) -> Column:
 def ratio6(numerator: Column, denominator: Column) -> Column:
     """numerator / denominator at report precision (6 dp, half-up, scaled)."""
     return scaled_round(numerator, denominator, 6, half_even=False)
+
+
+def tenths_threshold(threshold: float) -> int:
+    """Smallest whole number of tenths t with t / 10 >= ``threshold``.
+
+    Scores are kept in integer tenths, so ``score >= threshold`` is
+    ``tenths >= tenths_threshold(threshold)`` exactly (e.g. 0.45 -> 5).
+    """
+    return math.ceil(round(threshold * 10, 9))

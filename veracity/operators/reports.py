@@ -9,14 +9,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veracity.functions.numeric import mean_rounded, round6, scaled_round
+from veracity.functions.numeric import mean_rounded, round6, scaled_round, tenths_threshold
 from veracity.operators.products import hourly_bursts, rating_deviation
 from veracity.operators.reviewers import reviewer_frequency
 
 
 def overall_summary(processed: DataFrame, threshold: float = 0.5) -> DataFrame:
     """One row: total, fake (score >= threshold), genuine, spam, fake % (2 dp), reviewers."""
-    t = int(round(threshold * 10))
+    t = tenths_threshold(threshold)
     n = F.count(F.lit(1))
     fake = F.count_if(F.col("score_tenths") >= t)
     return processed.agg(

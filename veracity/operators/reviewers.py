@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from veracity.functions import dates as dt
 from veracity.functions import lexicons as lx
-from veracity.functions.numeric import mean6, mean_rounded, ratio6, scaled_round
+from veracity.functions.numeric import mean6, mean_rounded, ratio6, scaled_round, tenths_threshold
 from veracity.operators.signals import review_signals, with_review_defaults
 from veracity.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, attach_summary
 
@@ -136,7 +136,7 @@ def fraud_scores(df: DataFrame, threshold: float = 0.5, k: int = 5, hours: int =
         tenths.alias("score_tenths"),
     ).withColumn("reviewer_fraud_score", F.col("score_tenths") / F.lit(10.0))
     return out.withColumn(
-        "verdict", F.when(F.col("score_tenths") >= int(round(threshold * 10)), F.lit("FAKE"))
+        "verdict", F.when(F.col("score_tenths") >= tenths_threshold(threshold), F.lit("FAKE"))
         .otherwise(F.lit("GENUINE")))
 
 
