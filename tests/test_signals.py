@@ -80,3 +80,21 @@ def test_weak_label_rules(spark):
     out = {r.review_id: (r.label_points, r.is_fake_ground_truth) for r in weak_labels(df).collect()}
     assert out == {"a": (50, 1), "b": (35, 0), "c": (15, 0), "d": (65, 1), "e": (20, 0),
                    "f": (20, 0), "g": (20, 0)}
+
+
+def test_non_breaking_space_separates_words(spark):
+    out = _sig(spark, [dict(body="one\xa0two three", rating=3.0, helpful_votes=0)])
+    assert out["0"].word_count == 3
+
+
+def test_sentiment_table_body_length_filter(spark):
+    from pyspark.sql import functions as F
+
+    from veracity.operators.products import review_sentiments
+    from veracity.operators.reviewers import fraud_scores
+    rows = [("a", "u1", "x" * 10, 3.0), ("b", "u1", "x" * 11, 3.0), ("c", "u1", None, 3.0)]
+    df = spark.createDataFrame(rows, "review_id string, reviewer_id string, body string, rating double") \
+        .withColumn("date", F.lit("Unknown")).withColumn("product_asin", F.lit("p"))
+    sql_form = {r.review_id for r in review_sentiments(fraud_scores(df), 10, "hql").collect()}
+    local_form = {r.review_id for r in review_sentiments(fraud_scores(df), None, "word").collect()}
+    assert sql_form == {"b"} and local_form == {"a", "b", "c"}
