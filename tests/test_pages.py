@@ -27,3 +27,11 @@ def test_review_layout(spark):
     assert (a.body, a.verified_purchase, a.helpful_votes, a.product_asin) == ("Solid build.", True, 12, "B0TEST1234")
     assert a.date.endswith("March 3, 2023")
     assert (b.reviewer_id, b.rating, b.helpful_votes, b.verified_purchase, b.title) == ("UNKNOWN", 0.0, 0, False, "")
+
+
+def test_custom_rules(spark):
+    pages = spark.createDataFrame([(1, "u", "<li><b>a</b> 1</li><li><b>b</b> 2</li>")],
+                                  "page_id long, url string, html string")
+    rules = {"block": r"<li>(.*?)</li>", "fields": {"name": r"<b>(.*?)</b>", "num": r"(\d+)"}}
+    got = [(r.block_no, r.name, r.num) for r in extract_page_records(pages, rules).orderBy("block_no").collect()]
+    assert got == [(0, "a", "1"), (1, "b", "2")]

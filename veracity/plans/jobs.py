@@ -5,6 +5,7 @@
     python -m veracity.plans.jobs snapshot  --input scored/ --output snapshots/
     python -m veracity.plans.jobs train     --input processed/ --output model/ [--trainer local|cluster]
     python -m veracity.plans.jobs predict   --model model/ --input processed/ --output scored/
+    python -m veracity.plans.jobs bursts-stream --input scored_dir/ --output bursts/ --checkpoint shared_dir/
 
 Each job reads, runs the operators and writes once; outputs are directories
 written through Spark's committers, so a retried task leaves nothing behind.
@@ -90,7 +91,8 @@ def predict_job(spark: SparkSession, model_path: str, input_path: str, target: s
 
 def main(argv: list[str] | None = None) -> None:
     ap = argparse.ArgumentParser(prog="veracity.plans.jobs")
-    ap.add_argument("job", choices=["score", "summaries", "snapshot", "train", "predict"])
+    ap.add_argument("job", choices=["score", "summaries", "snapshot", "train", "predict", "bursts-stream"])
+    ap.add_argument("--checkpoint", help="shared folder for the streaming query's state")
     ap.add_argument("--input", required=True)
     ap.add_argument("--output", required=True)
     ap.add_argument("--model")
@@ -107,8 +109,13 @@ def main(argv: list[str] | None = None) -> None:
         snapshot_job(spark, a.input, a.output)
     elif a.job == "train":
         train_job(spark, a.input, a.output, a.trainer).show(truncate=False)
-    else:
+    elif a.job == "predict":
         predict_job(spark, a.model, a.input, a.output, trainer=a.trainer)
+    else:
+        from veracity.streaming.bursts import start_hourly_bursts
+        if not a.checkpoint:
+            ap.error("bursts-stream needs --checkpoint on shared storage")
+        start_hourly_bursts(spark, a.input, a.output, a.checkpoint).awaitTermination()
 
 
 if __name__ == "__main__":

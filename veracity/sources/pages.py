@@ -90,7 +90,20 @@ def extract_articles(pages: DataFrame) -> DataFrame:
                          F.regexp_count(b, F.lit(r"<p[ >]")).cast("int").alias("n_paragraphs"))
 
 
-def extract_page_records(pages: DataFrame, layout: str = "review") -> DataFrame:
+def extract_with_rules(pages: DataFrame, block: str, fields: dict[str, str]) -> DataFrame:
+    """Generic extraction: one row per match of ``block`` (group 1 = block text)
+    and one string column per field pattern (group 1, trimmed; '' when absent)."""
+    blocks = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(block), 1))
+                          .alias("block_no", "block"))
+    return blocks.select("page_id", "url", "block_no",
+                         *[F.trim(_ex(F.col("block"), pat)).alias(name) for name, pat in fields.items()])
+
+
+def extract_page_records(pages: DataFrame, layout: str | dict = "review") -> DataFrame:
+    """Records from stored pages: a layout name (``review``, ``article``) or
+    rules ``{"block": pattern, "fields": {name: pattern}}``."""
+    if isinstance(layout, dict):
+        return extract_with_rules(pages, layout["block"], layout["fields"])
     if layout == "review":
         return extract_review_blocks(pages)
     if layout == "article":
