@@ -1,12 +1,11 @@
-"""The SQL summaries as Spark SQL over registered views.
-
-Users who ran the summary scripts as SQL can keep doing so:
-``register_review_views`` exposes processed reviews as ``raw_reviews`` and
-the sentiment table as ``review_sentiments``, and ``SUMMARY_SQL`` holds the
-three summaries in Spark SQL. Two changes from the original dialect: a
-boolean is counted with ``count_if`` (Spark does not sum booleans), and the
-population deviation is named ``stddev_pop``. Catalyst plans these exactly
-like the DataFrame operators in ``veracity.operators``.
+"""SQL access to the review tables through registered views.
+
+``register_review_views`` exposes processed reviews as ``raw_reviews`` (with
+``review_date``) and the sentiment table as ``review_sentiments``, so users
+who query these tables in SQL can run their statements with ``spark.sql``.
+Spark does not sum booleans: count a flag with ``count_if(spam_flag)``.
+The summaries themselves are the DataFrame operators in
+``veracity.operators`` (``summaries`` below runs them on the views).
 """
 
 from __future__ import annotations
@@ -14,36 +13,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veracity.operators.products import review_sentiments
+from veracity.operators import products as pr
+from veracity.operators import reviewers as rv
 from veracity.operators.signals import lexicon_signals
 
-SUMMARY_SQL = {
-    "suspicious_reviewers": """
-SELECT reviewer_id, COUNT(*) AS review_count, AVG(rating) AS avg_rating,
-       COUNT_IF(spam_flag) AS spam_count, AVG(reviewer_fraud_score) AS avg_fraud_score,
-       SUM(rating_sentiment_mismatch) AS mismatches
-FROM review_sentiments
-GROUP BY reviewer_id
-HAVING COUNT(*) > 3
-ORDER BY avg_fraud_score DESC, reviewer_id""",
-    "product_fraud_summary": """
-SELECT product_asin, COUNT(*) AS total_reviews, AVG(rating) AS avg_rating,
-       STDDEV_POP(rating) AS rating_stddev, COUNT_IF(spam_flag) AS spam_reviews,
-       ROUND(COUNT_IF(spam_flag) / COUNT(*) * 100, 2) AS spam_percentage,
-       SUM(rating_sentiment_mismatch) AS sentiment_mismatches,
-       AVG(reviewer_fraud_score) AS avg_fraud_exposure
-FROM review_sentiments
-GROUP BY product_asin
-ORDER BY spam_percentage DESC, product_asin""",
-    "daily_review_bursts": """
-SELECT product_asin, review_date, COUNT(*) AS daily_count, AVG(rating) AS daily_avg_rating,
-       COUNT_IF(spam_flag) AS daily_spam_count
-FROM review_sentiments
-GROUP BY product_asin, review_date
-HAVING COUNT(*) > 10
-ORDER BY daily_count DESC, product_asin""",
-}
-
 
 def register_review_views(processed: DataFrame, min_body_length: int | None = 10,
                           preset: str = "hql") -> DataFrame:
@@ -52,10 +25,14 @@ def register_review_views(processed: DataFrame, min_body_length: int | None = 10
     p = processed
     if "score_tenths" not in p.columns:
         p = p.withColumn("score_tenths", F.round(F.col("reviewer_fraud_score") * 10).cast("int"))
-    sent = review_sentiments(lexicon_signals(p, preset), min_body_length=min_body_length, preset=preset)
+    sent = pr.review_sentiments(lexicon_signals(p, preset), min_body_length=min_body_length, preset=preset)
     sent.createOrReplaceTempView("review_sentiments")
     return sent
 
 
-def run_summary_sql(spark: SparkSession, name: str) -> DataFrame:
-    return spark.sql(SUMMARY_SQL[name])
+def summaries(spark: SparkSession) -> dict[str, DataFrame]:
+    """The three SQL-form summaries computed from the registered sentiment view."""
+    sent = spark.table("review_sentiments")
+    return {"suspicious_reviewers": rv.suspicious_reviewers(sent, min_reviews=4),
+            "product_fraud_summary": pr.product_fraud_summary(sent, with_stddev=True),
+            "daily_review_bursts": pr.daily_review_bursts(sent, min_count=11, day="raw")}
