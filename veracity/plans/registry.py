@@ -324,7 +324,7 @@ def q_hashed_features(spark, sf_dir):
     """
     p = reused(mf.proxy_labels(processed(spark, sf_dir)).select(
         "review_id", "label", "body", *mf.CLUSTER_NUMERIC_FEATURES))
-    out = mf.hashed_text_pipeline().fit(p).transform(p)
+    _, out = mf.fit_hashed_text_features(p)
     arr = vector_to_array("features")
     return out.select("review_id", "label", F.size(arr).alias("n_features"),
                       F.size(F.filter(arr, lambda x: x != 0.0)).alias("n_nonzero"))
@@ -337,7 +337,7 @@ def q_vocab_features(spark, sf_dir):
     Rows-only check (vectors).
     """
     ft = reused(features(spark, sf_dir))
-    out = mf.fit_vocab_text_features(ft).transform(ft)
+    _, out = mf.fit_vocab_text_features(ft)
     arr = vector_to_array("features")
     return out.select("review_id", "label", F.size(arr).alias("n_features"),
                       F.size(F.filter(arr, lambda x: x != 0.0)).alias("n_nonzero"))
