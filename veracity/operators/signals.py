@@ -98,7 +98,8 @@ def label_points(body_col: str = "body", rating_col: str = "rating"):
         (tx.spam_hit(body, "loader"), lx.LABEL_POINTS_SPAM),
         ((rating >= 4.0) & tx.lexicon_hit(body, lx.NEGATIVE_WORDS_LOADER), lx.LABEL_POINTS_MISMATCH),
         ((words < 8) & (rating == 5.0), lx.LABEL_POINTS_GENERIC_FIVE),
-        ((tx.lexicon_count(body, lx.POSITIVE_WORDS_LOADER) >= 3) & (words < 15),
+        # Cheap test first: AND short-circuits, so the counting regex only runs on short texts.
+        ((words < 15) & (tx.lexicon_count(body, lx.POSITIVE_WORDS_LOADER) >= 3),
          lx.LABEL_POINTS_PRAISE_ONLY),
     ]
     total = F.lit(0)

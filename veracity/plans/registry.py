@@ -226,6 +226,12 @@ def features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mf.feature_table(processed(spark, sf_dir))
 
 
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """review_id and the weak label (rules on text and rating only: no reviewer flags needed)."""
+    return sg.weak_labels(reviews(spark, sf_dir)).select(
+        "review_id", F.col("is_fake_ground_truth").alias("label"))
+
+
 def reused(df: DataFrame) -> DataFrame:
     """Persist an input that several passes read (ML fits, rank histogram + rows).
 
@@ -256,19 +262,19 @@ def q_term_doc_freq(spark, sf_dir):
 
 @register("balanced_counts")
 def q_balanced_counts(spark, sf_dir):
-    b = sm.balance_exact(reused(features(spark, sf_dir).select("review_id", "label")), seed=42)
+    b = sm.balance_exact(reused(labelled(spark, sf_dir)), seed=42)
     return b.groupBy("review_id", "label").agg(F.count(F.lit(1)).alias("copies"))
 
 
 @register("stratified_split")
 def q_stratified_split(spark, sf_dir):
-    return sm.stratified_split(reused(features(spark, sf_dir).select("review_id", "label")),
+    return sm.stratified_split(reused(labelled(spark, sf_dir)),
                                test_frac=0.2, seed=42)
 
 
 @register("label_noise")
 def q_label_noise(spark, sf_dir):
-    return sm.label_noise(reused(features(spark, sf_dir).select("review_id", "label")), frac=0.05, seed=42)
+    return sm.label_noise(reused(labelled(spark, sf_dir)), frac=0.05, seed=42)
 
 
 def evaluation_input(spark: SparkSession, sf_dir: str) -> DataFrame:
