@@ -50,13 +50,16 @@ def hourly_bursts_stream(scored: DataFrame, window_hours: int = 1, threshold: in
 
 def start_hourly_bursts(spark: SparkSession, source: str, sink: str, checkpoint: str,
                         window_hours: int = 1, threshold: int = 5, lateness: str = "2 hours",
-                        trigger_seconds: int = 60):
+                        trigger_seconds: int = 60, available_now: bool = False):
     """Run the windowed query from ``source`` into parquet files at ``sink``.
 
     ``checkpoint`` must be on storage shared by the cluster so the query
-    restarts from its state after a failure.
+    restarts from its state after a failure. Windows are appended once the
+    watermark passes their end. ``available_now`` processes what is there
+    and stops (windows still open at that point stay in the state).
     """
     q = hourly_bursts_stream(read_scored_stream(spark, source), window_hours, threshold, lateness)
-    return (q.writeStream.outputMode("append").format("parquet").option("path", sink)
-            .option("checkpointLocation", checkpoint)
-            .trigger(processingTime=f"{trigger_seconds} seconds").start())
+    w = (q.writeStream.outputMode("append").format("parquet").option("path", sink)
+         .option("checkpointLocation", checkpoint))
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime=f"{trigger_seconds} seconds")
+    return w.start()
