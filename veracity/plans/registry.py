@@ -3,26 +3,28 @@
 Each query reads the driver's tables for ``sf_dir`` (through the
 ``reviews`` mapping), runs the library operator its name refers to, and
 projects flat, explicitly named columns that the DuckDB statement in
-``veracity.plans.oracle`` returns too.
+``veracity.plans.oracle`` returns too. Four ML keys (fitted feature
+pipelines, random oversampling, a trained model) have no SQL statement and
+get the driver's rows-only check.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veracity.operators import products as pr
-from veracity.operators import reports as rp
-from veracity.operators import reviewers as rv
-from veracity.operators import signals as sg
 from veracity.ml import evaluate as ev
 from veracity.ml import features as mf
 from veracity.operators import normalise as nm
+from veracity.operators import products as pr
+from veracity.operators import reports as rp
+from veracity.operators import reviewers as rv
 from veracity.operators import sampling as sm
+from veracity.operators import signals as sg
 from veracity.sources import pages as pg
 from veracity.sources.fixture import review_source_from_tables, reviews_from_tables
 from veracity.sources.tables import read_table
