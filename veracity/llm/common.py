@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from veracity.session import ensure_checkpoint_dir
 
 #: What one vectorised step over texts takes at once (a single longer text is taken alone).
-STEP_BYTES = 1 << 20
+STEP_BYTES = 1 << 18
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

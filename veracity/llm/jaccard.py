@@ -48,22 +48,27 @@ _BLOCK = 4096
 _BUCKETS = 64
 
 
-def _sets(batch: pa.RecordBatch, column: int, size: int) -> Iterator[tuple[int, np.ndarray]]:
+def _sets(batch: pa.RecordBatch, column: int, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(first row, the rows' sets one after the other, where each begins) a step of texts at a time."""
     data, offsets = binary_buffers(batch.column(column))
     for lo, hi in byte_steps(offsets):
         h, first, _, _ = W.words(data, offsets[lo:hi + 1], W.SPACED)
-        for k in range(hi - lo):
-            yield lo + k, W.shingle_set(h[first[k]:first[k + 1]], size)
+        yield lo, *W.shingle_sets(h, first, size)
 
 
-def _signature(s: np.ndarray) -> tuple[int, int]:
-    """128 bits of a set; equal sets have equal ones."""
-    if not len(s):
-        return 0, 0
-    with np.errstate(over="ignore"):
-        a = W.mix64(s ^ np.uint64(0xA5A5A5A5A5A5A5A5)).sum(dtype=np.uint64)
-        b = W.mix64(s + np.uint64(len(s)) * np.uint64(0x9E3779B97F4A7C15)).sum(dtype=np.uint64)
-    return int(a.view(np.int64)), int(b.view(np.int64))
+def _signatures(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """128 bits of each set (a row each); equal sets have equal ones, empty ones have zeros."""
+    n = np.diff(at)
+    out = np.zeros((len(n), 2), np.uint64)
+    full = np.flatnonzero(n)
+    if len(full):
+        with np.errstate(over="ignore"):
+            salt = np.repeat(n.astype(np.uint64) * np.uint64(W.MIX), n)
+            a = W.mix64(flat ^ salt)
+            out[full, 0] = np.add.reduceat(a, at[full])
+            out[full, 1] = np.add.reduceat(W.mix64(a + flat), at[full])
+            out = W.mix64(out)
+    return out.view(np.int64)
 
 
 def _bucket(s: np.ndarray) -> np.ndarray:
@@ -78,14 +83,14 @@ def shingle_profiles(docs: DataFrame, text_col: str, size: int) -> tuple[DataFra
         counts = np.zeros(1 << LOG2_COUNTERS, np.uint32)
         none = pa.nulls(0)
         for b in batches:
-            n, s1, s2 = (np.zeros(b.num_rows, np.int64) for _ in range(3))
-            for i, s in _sets(b, 1, size):
-                n[i] = len(s)
-                s1[i], s2[i] = _signature(s)
-                np.add.at(counts, _bucket(s), 1)
+            n, sig = np.zeros(b.num_rows, np.int64), np.zeros((b.num_rows, 2), np.int64)
+            for lo, flat, at in _sets(b, 1, size):
+                n[lo:lo + len(at) - 1] = np.diff(at)
+                sig[lo:lo + len(at) - 1] = _signatures(flat, at)
+                counts += np.bincount(_bucket(flat), minlength=len(counts)).astype(np.uint32)
             none = b.column(0).slice(0, 0)
             yield pa.RecordBatch.from_arrays(
-                [b.column(0), pa.array(n), pa.array(s1), pa.array(s2), pa.nulls(b.num_rows, pa.int32()),
+                [b.column(0), pa.array(n), pa.array(sig[:, 0].copy()), pa.array(sig[:, 1].copy()), pa.nulls(b.num_rows, pa.int32()),
                  pa.nulls(b.num_rows, pa.binary())], ["id", "n", "s1", "s2", "block", "counts"])
         blocks = [k for k in range(len(counts) // _BLOCK) if counts[k * _BLOCK:(k + 1) * _BLOCK].any()]
         if blocks:
@@ -125,34 +130,28 @@ def _prefix_rows(docs: DataFrame, text_col: str, size: int, pct: int, freq, only
         keep = only.value if only is not None else None
         for b in batches:
             tok, s1, s2, ns, pos = [], [], [], [], []
-            for _, s in _sets(b, 0, size):
-                n = len(s)
-                if not n:
-                    continue
-                sig = _signature(s)
-                if sig in seen:                      # a copy: its class is already in this task's output
-                    continue
-                if len(seen) >= 500_000:             # bounded; a class emitted twice is merged later
-                    seen.clear()
-                seen.add(sig)
-                k = n + (-pct * n // 100) + 1        # n - ceil(t n) + 1
-                f = counts[_bucket(s)]
-                if k < n:
-                    near = np.flatnonzero(f <= np.partition(f, k - 1)[k - 1])
-                else:
-                    near = np.arange(n)
-                order = near[np.lexsort((s[near], f[near]))][:k]
-                p = np.arange(k)
-                t = s[order]
-                if keep is not None:
-                    hit = in_bitmap(keep, t, LOG2_BITS)
-                    t, p = t[hit], p[hit]
-                if len(t):
-                    tok.append(t.view(np.int64))
-                    pos.append(p)
-                    s1.append(np.full(len(t), sig[0]))
-                    s2.append(np.full(len(t), sig[1]))
-                    ns.append(np.full(len(t), n))
+            for _, flat, at in _sets(b, 0, size):
+                sigs, rank = _signatures(flat, at), counts[_bucket(flat)]
+                for i in np.flatnonzero(np.diff(at)):
+                    s, f, n = flat[at[i]:at[i + 1]], rank[at[i]:at[i + 1]], int(at[i + 1] - at[i])
+                    sig = (int(sigs[i, 0]), int(sigs[i, 1]))
+                    if sig in seen:                  # a copy: its class is already in this task's output
+                        continue
+                    if len(seen) >= 500_000:         # bounded; a class emitted twice is merged later
+                        seen.clear()
+                    seen.add(sig)
+                    k = n + (-pct * n // 100) + 1    # n - ceil(t n) + 1
+                    near = np.flatnonzero(f <= np.partition(f, k - 1)[k - 1]) if k < n else np.arange(n)
+                    t, p = s[near[np.lexsort((s[near], f[near]))][:k]], np.arange(k)
+                    if keep is not None:
+                        hit = in_bitmap(keep, t, LOG2_BITS)
+                        t, p = t[hit], p[hit]
+                    if len(t):
+                        tok.append(t.view(np.int64))
+                        pos.append(p)
+                        s1.append(np.full(len(t), sig[0]))
+                        s2.append(np.full(len(t), sig[1]))
+                        ns.append(np.full(len(t), n))
             if tok:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (tok, s1, s2, ns, pos)],
                                                  ["token", "s1", "s2", "n", "pos"])
@@ -165,17 +164,17 @@ def _set_rows(docs: DataFrame, text_col: str, size: int, nodes) -> DataFrame:
         keep, seen = nodes.value, set()
         for b in batches:
             rows = []
-            for _, s in _sets(b, 0, size):
-                if not len(s):
-                    continue
-                sig = _signature(s)
-                if sig in seen or not in_bitmap(keep, np.array([sig[0]], np.int64), LOG2_BITS)[0]:
-                    continue
-                if len(seen) >= 500_000:
-                    seen.clear()
-                seen.add(sig)
-                count = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=_BUCKETS)
-                rows.append((sig, s.view(np.int64), count))
+            for _, flat, at in _sets(b, 0, size):
+                sigs = _signatures(flat, at)
+                for i in np.flatnonzero(in_bitmap(keep, sigs[:, 0].copy(), LOG2_BITS) & (np.diff(at) > 0)):
+                    s, sig = flat[at[i]:at[i + 1]], (int(sigs[i, 0]), int(sigs[i, 1]))
+                    if sig in seen:
+                        continue
+                    if len(seen) >= 500_000:
+                        seen.clear()
+                    seen.add(sig)
+                    count = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=_BUCKETS)
+                    rows.append((sig, s.view(np.int64), count))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0][0] for r in rows], pa.int64()), pa.array([r[0][1] for r in rows], pa.int64()),
@@ -197,14 +196,21 @@ def _may_link(a: str, b: str, pct: int):
     return (na * 100 >= nb * pct) & (nb * 100 >= na * pct) & (most >= _reach(na, nb, pct))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, pct: int) -> DataFrame:
+def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, pct: int) -> DataFrame:
     """Of distinct pairs ``(a, b)`` of class ids those whose sets are similar enough.
 
     The suffix filter comes first: the overlap is at most the sum over hash buckets of the smaller
-    count, so pairs that cannot reach the bound never fetch their sets.
+    count, so pairs that cannot reach the bound never fetch their sets. Sets are made only for the
+    classes of these pairs (found by a bitmap of bounded size: extra ones fall out of the joins).
     """
-    size = sets.select("node", F.size("shingles").alias("n"), "buckets")
-    p = (pairs.join(size.toDF("a", "na", "ba"), "a").join(size.toDF("b", "nb", "bb"), "b")
+    spark = docs.sparkSession
+    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes, "node")
+    nodes = spark.sparkContext.broadcast(bitmap_of(ends, "s1", LOG2_BITS))
+    sets = (_set_rows(docs, "text", size, nodes).join(ends, ["s1", "s2"]).groupBy("s1", "s2", "node")
+            .agg(F.first("shingles").alias("shingles"), F.first("buckets").alias("buckets")))
+    sets = cut_lineage(sets.select("node", "shingles", "buckets"))
+    counts = sets.select("node", F.size("shingles").alias("n"), "buckets")
+    p = (pairs.join(counts.toDF("a", "na", "ba"), "a").join(counts.toDF("b", "nb", "bb"), "b")
          .where(F.expr("aggregate(zip_with(ba, bb, (x, y) -> least(x, y)), 0L, (s, x) -> s + x)")
                 >= _reach(F.col("na"), F.col("nb"), pct)).select("a", "b"))
     s = sets.select("node", "shingles")
@@ -221,31 +227,26 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     docs = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     profiles, table = shingle_profiles(docs, "text", size)
     freq = spark.sparkContext.broadcast(table)
-    classes = (profiles.where("n > 0").groupBy("s1", "s2").agg(F.min("id").alias("first")))
+    classes = profiles.where("n > 0").groupBy("s1", "s2").agg(F.min("id").alias("first"))
     classes = cut_lineage(classes.select("s1", "s2", F.monotonically_increasing_id().alias("node")))
-    members = (profiles.join(classes, ["s1", "s2"], "left").select("id", "n", "node"))
+    members = profiles.join(classes, ["s1", "s2"], "left").select("id", "n", "node")
 
     shared = (_prefix_rows(docs, "text", size, pct, freq).groupBy("token")
               .agg(F.min("s1").alias("lo"), F.max("s1").alias("hi"), F.min("s2").alias("lo2"), F.max("s2").alias("hi2"))
               .where("lo <> hi or lo2 <> hi2").select("token"))
     bitmap = spark.sparkContext.broadcast(bitmap_of(shared, "token", LOG2_BITS))
-    rows = _prefix_rows(docs, "text", size, pct, freq, bitmap)
-    rows = cut_lineage(rows.join(classes, ["s1", "s2"]).groupBy("token", "node", "s1")
-                       .agg(F.min("n").alias("n"), F.min("pos").alias("pos")))
-    nodes = spark.sparkContext.broadcast(bitmap_of(rows.select("s1"), "s1", LOG2_BITS))
-    sets = cut_lineage(_set_rows(docs, "text", size, nodes).join(classes, ["s1", "s2"])
-                       .groupBy("node").agg(F.first("shingles").alias("shingles"), F.first("buckets").alias("buckets")))
-    rows = rows.drop("s1")
-
-    # First links: like sizes (a factor of 1.25 a band) meet the smallest class of their group.
+    rows = cut_lineage(_prefix_rows(docs, "text", size, pct, freq, bitmap).join(classes, ["s1", "s2"])
+                       .groupBy("token", "node").agg(F.min("n").alias("n"), F.min("pos").alias("pos")))
+
+    # First links: like sizes (a factor of 1 / t a band) meet the smallest class of their group.
     rows = rows.withColumn("band", F.floor(F.log(F.col("n")) / F.log(F.lit(100 / pct))))
-    pivot = rows.groupBy("token", "band").agg(F.min(F.struct("n", "node", "pos")).alias("p")) \
-        .select("token", "band", "p.*")
+    pivot = (rows.groupBy("token", "band").agg(F.min(F.struct("n", "node", "pos")).alias("p"), F.count(F.lit(1)).alias("c"))
+             .where("c > 1").select("token", "band", "p.*"))
     pairs = (rows.alias("x").join(pivot.alias("y"), ["token", "band"])
              .where(F.col("x.node") != F.col("y.node")).where(_may_link("x", "y", pct))
              .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count(F.lit(1)).alias("k")))
-    best = pairs.groupBy("a").agg(F.max(F.struct("k", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-    first = cut_lineage(_verified(best, sets, pct))
+    best = cut_lineage(pairs.groupBy("a").agg(F.max(F.struct("k", "b")).alias("m")).select("a", F.col("m.b").alias("b")))
+    first = cut_lineage(_verified(best, docs, classes, size, pct))
     known = connected_components(first)
 
     # Remaining links: within a group, only classes of different components so far.
@@ -261,8 +262,11 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    & ((F.col("y.label") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))))
             .where(_may_link("x", "y", pct))
             .select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct())
-    links = cut_lineage(first.unionByName(_verified(rest, sets, pct)))
-    return members, links
+    rest = cut_lineage(rest.join(best, ["a", "b"], "left_anti")
+                       .join(best.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
+    if rest.isEmpty():
+        return members, first
+    return members, cut_lineage(first.unionByName(_verified(rest, docs, classes, size, pct)))
 
 
 def jaccard_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", size: int = 5,

@@ -97,9 +97,24 @@ def shingles(h: np.ndarray, size: int) -> np.ndarray:
         return mix64(out)
 
 
-def shingle_set(h: np.ndarray, size: int) -> np.ndarray:
-    """Distinct shingles of one text, sorted; with fewer words, the whole sequence as one."""
-    if not len(h):
-        return np.empty(0, np.uint64)
-    return np.unique(shingles(h, min(size, len(h))) if len(h) >= size
-                     else mix64(shingles(h, len(h)) + np.uint64(len(h))))
+def shingle_sets(h: np.ndarray, first: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles of each text, sorted, one text after the other, and where each text's
+    begin (with a final end). A text of fewer words has its whole sequence as its only shingle;
+    a text without words has none."""
+    every, n = shingles(h, size), np.diff(first)
+    whole = np.maximum(n - size + 1, 0)
+    count = np.where((n > 0) & (n < size), 1, whole)
+    at = np.concatenate(([0], np.cumsum(count)))
+    flat = np.empty(int(at[-1]), np.uint64)
+    for k in np.flatnonzero(count):
+        x = flat[at[k]:at[k + 1]]
+        if whole[k]:
+            x[:] = every[first[k]:first[k] + whole[k]]
+            x.sort()
+        else:
+            x[0] = mix64(shingles(h[first[k]:first[k + 1]], int(n[k])) + np.uint64(n[k]))[0]
+    new = np.ones(len(flat), bool)
+    if len(flat):
+        new[1:] = flat[1:] != flat[:-1]
+        new[at[:-1][count > 0]] = True
+    return flat[new], np.concatenate(([0], np.cumsum(new)))[at]
