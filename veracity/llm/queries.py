@@ -8,9 +8,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from veracity.llm.jaccard import jaccard_groups
+from veracity.llm.packing import pack_documents
+from veracity.llm.token_counts import count_tokens
 from veracity.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +31,23 @@ def register(name: str, sql: str | None = None):
     return deco
 
 
+@register("op1_token_counts")
+def op1(spark, sf_dir):
+    out = count_tokens(read_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return out.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+def packed(docs: DataFrame) -> DataFrame:
+    """Pieces of the packed documents with a digest of their ids in place of the ids."""
+    out = pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return out.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+@register("op4_sum_of_squares_packing")
+def op4(spark, sf_dir):
+    return packed(read_table(spark, sf_dir, "documents"))
+
+
 @register("op7_ngram_jaccard_join")
 def op7(spark, sf_dir):
     return jaccard_groups(read_table(spark, sf_dir, "documents"), size=5, pct=80)
