@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import os
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from veracity.session import ensure_checkpoint_dir
 
@@ -15,6 +17,19 @@ from veracity.session import ensure_checkpoint_dir
 STEP_BYTES = 1 << 18
 
 
+_ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+def map_arrow(df: DataFrame, fn: Callable, schema: StructType | str) -> DataFrame:
+    """``mapInArrow`` whose workers can import this package also when the driver was started in
+    another folder (a cluster that ships the package itself already has it on its path)."""
+    env = df.sparkSession.sparkContext.environment
+    path = env.get("PYTHONPATH", "").split(os.pathsep)
+    if _ROOT not in path:
+        env["PYTHONPATH"] = os.pathsep.join([p for p in path if p] + [_ROOT])
+    return df.mapInArrow(fn, schema)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise in the cluster's shared checkpoint folder: later steps neither repeat the
     work nor lose it with an executor."""

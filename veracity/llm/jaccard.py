@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
 
 from veracity.llm import words as W
-from veracity.llm.common import binary_buffers, bitmap_of, byte_steps, cut_lineage, in_bitmap
+from veracity.llm.common import binary_buffers, bitmap_of, byte_steps, cut_lineage, in_bitmap, map_arrow
 from veracity.llm.components import connected_components
 
 #: Hashed frequency counters (each 4 bytes), and bits of the two bitmaps: fixed, whatever the input.
@@ -102,7 +102,7 @@ def shingle_profiles(docs: DataFrame, text_col: str, size: int) -> tuple[DataFra
 
     schema = StructType([StructField("id", id_type), *[StructField(c, LongType()) for c in ("n", "s1", "s2")],
                          StructField("block", IntegerType()), StructField("counts", BinaryType())])
-    out = cut_lineage(docs.select("id", text_col).mapInArrow(run, schema))
+    out = cut_lineage(map_arrow(docs.select("id", text_col), run, schema))
     parts = out.where("block is not null").select("block", "counts")
 
     def add(batches):
@@ -115,7 +115,7 @@ def shingle_profiles(docs: DataFrame, text_col: str, size: int) -> tuple[DataFra
             ["block", "counts"])
 
     table = np.zeros(1 << LOG2_COUNTERS, np.uint64)          # bounded: 2 MB, whatever the input
-    for r in parts.repartition(64, "block").mapInArrow(add, "block int, counts binary").collect():
+    for r in map_arrow(parts.repartition(64, "block"), add, "block int, counts binary").collect():
         table[r["block"] * _BLOCK:(r["block"] + 1) * _BLOCK] = np.frombuffer(bytes(r["counts"]), np.uint64)
     return out.where("block is null").drop("block", "counts"), table
 
@@ -123,13 +123,14 @@ def shingle_profiles(docs: DataFrame, text_col: str, size: int) -> tuple[DataFra
 def _prefix_rows(docs: DataFrame, text_col: str, size: int, pct: int, freq, only=None) -> DataFrame:
     """(token, s1, s2, n, pos): the rarest-first prefix of each set; a task emits a set once.
 
-    With ``only`` (a bitmap of shingles), rows whose shingle is surely absent there are left out.
+    With ``only`` (a bitmap of shingles), rows whose shingle is surely absent there are left out,
+    and a set's first row has its bucket counts for the suffix filter (none beyond a million).
     """
     def run(batches):
         counts, seen = freq.value, set()
         keep = only.value if only is not None else None
         for b in batches:
-            tok, s1, s2, ns, pos = [], [], [], [], []
+            tok, s1, s2, ns, pos, parts = [], [], [], [], [], []
             for _, flat, at in _sets(b, 0, size):
                 sigs, rank = _signatures(flat, at), counts[_bucket(flat)]
                 for i in np.flatnonzero(np.diff(at)):
@@ -152,14 +153,19 @@ def _prefix_rows(docs: DataFrame, text_col: str, size: int, pct: int, freq, only
                         s1.append(np.full(len(t), sig[0]))
                         s2.append(np.full(len(t), sig[1]))
                         ns.append(np.full(len(t), n))
+                        count = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=_BUCKETS)
+                        parts += [count.astype(np.int16) if keep is not None and n <= 1_000_000 and count.max() < 32768
+                                  else None, *[None] * (len(t) - 1)]
             if tok:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x).astype(np.int64)) for x in (tok, s1, s2, ns, pos)],
-                                                 ["token", "s1", "s2", "n", "pos"])
-    return docs.select(text_col).mapInArrow(run, "token long, s1 long, s2 long, n long, pos long")
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(np.concatenate(x).astype(np.int64)) for x in (tok, s1, s2, ns, pos)),
+                     pa.array(parts, pa.list_(pa.int16()))], ["token", "s1", "s2", "n", "pos", "buckets"])
+    return map_arrow(docs.select(text_col), run,
+                     "token long, s1 long, s2 long, n long, pos long, buckets array<short>")
 
 
 def _set_rows(docs: DataFrame, text_col: str, size: int, nodes) -> DataFrame:
-    """(s1, s2, shingles, buckets) of the sets whose signature may be in the bitmap ``nodes``."""
+    """(s1, s2, shingles) of the sets whose signature may be in the bitmap ``nodes``."""
     def run(batches):
         keep, seen = nodes.value, set()
         for b in batches:
@@ -173,15 +179,12 @@ def _set_rows(docs: DataFrame, text_col: str, size: int, nodes) -> DataFrame:
                     if len(seen) >= 500_000:
                         seen.clear()
                     seen.add(sig)
-                    count = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=_BUCKETS)
-                    rows.append((sig, s.view(np.int64), count))
+                    rows.append((sig, s.view(np.int64)))
             if rows:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[0][0] for r in rows], pa.int64()), pa.array([r[0][1] for r in rows], pa.int64()),
-                     pa.array([r[1] for r in rows], pa.list_(pa.int64())),
-                     pa.array([r[2] for r in rows], pa.list_(pa.int64()))], ["s1", "s2", "shingles", "buckets"])
-    return docs.select(text_col).mapInArrow(
-        run, "s1 long, s2 long, shingles array<long>, buckets array<long>")
+                     pa.array([r[1] for r in rows], pa.list_(pa.int64()))], ["s1", "s2", "shingles"])
+    return map_arrow(docs.select(text_col), run, "s1 long, s2 long, shingles array<long>")
 
 
 def _reach(na, nb, pct: int):
@@ -196,25 +199,27 @@ def _may_link(a: str, b: str, pct: int):
     return (na * 100 >= nb * pct) & (nb * 100 >= na * pct) & (most >= _reach(na, nb, pct))
 
 
+def _suffix_filter(pairs: DataFrame, parts: DataFrame, pct: int) -> DataFrame:
+    """Pairs that can reach the bound: the overlap is at most the sum over hash buckets of the
+    smaller count. Sets too large for bucket counts stay in."""
+    p = pairs.join(parts.toDF("a", "na", "ba"), "a").join(parts.toDF("b", "nb", "bb"), "b")
+    most = F.expr("aggregate(zip_with(ba, bb, (x, y) -> cast(least(x, y) as long)), 0L, (s, x) -> s + x)")
+    return p.where((most >= _reach(F.col("na"), F.col("nb"), pct)) | most.isNull()).select("a", "b")
+
+
 def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int, pct: int) -> DataFrame:
-    """Of distinct pairs ``(a, b)`` of class ids those whose sets are similar enough.
+    """Of distinct pairs ``(a, b)`` of class ids those whose whole sets are similar enough.
 
-    The suffix filter comes first: the overlap is at most the sum over hash buckets of the smaller
-    count, so pairs that cannot reach the bound never fetch their sets. Sets are made only for the
-    classes of these pairs (found by a bitmap of bounded size: extra ones fall out of the joins).
+    Sets are made only for the classes of these pairs (found by a bitmap of bounded size: extra
+    ones fall out of the join).
     """
     spark = docs.sparkSession
     ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes, "node")
     nodes = spark.sparkContext.broadcast(bitmap_of(ends, "s1", LOG2_BITS))
     sets = (_set_rows(docs, "text", size, nodes).join(ends, ["s1", "s2"]).groupBy("s1", "s2", "node")
-            .agg(F.first("shingles").alias("shingles"), F.first("buckets").alias("buckets")))
-    sets = cut_lineage(sets.select("node", "shingles", "buckets"))
-    counts = sets.select("node", F.size("shingles").alias("n"), "buckets")
-    p = (pairs.join(counts.toDF("a", "na", "ba"), "a").join(counts.toDF("b", "nb", "bb"), "b")
-         .where(F.expr("aggregate(zip_with(ba, bb, (x, y) -> least(x, y)), 0L, (s, x) -> s + x)")
-                >= _reach(F.col("na"), F.col("nb"), pct)).select("a", "b"))
-    s = sets.select("node", "shingles")
-    both = p.join(s.toDF("a", "sa"), "a").join(s.toDF("b", "sb"), "b")
+            .agg(F.first("shingles").alias("s")))
+    sets = cut_lineage(sets.select("node", "s"))
+    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(common * 100 >= (F.size("sa") + F.size("sb") - common) * pct).select("a", "b")
 
@@ -232,11 +237,15 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = profiles.join(classes, ["s1", "s2"], "left").select("id", "n", "node")
 
     shared = (_prefix_rows(docs, "text", size, pct, freq).groupBy("token")
-              .agg(F.min("s1").alias("lo"), F.max("s1").alias("hi"), F.min("s2").alias("lo2"), F.max("s2").alias("hi2"))
-              .where("lo <> hi or lo2 <> hi2").select("token"))
+              .agg(F.min("s1").alias("lo"), F.max("s1").alias("hi"))
+              .where("lo <> hi").select("token"))
     bitmap = spark.sparkContext.broadcast(bitmap_of(shared, "token", LOG2_BITS))
-    rows = cut_lineage(_prefix_rows(docs, "text", size, pct, freq, bitmap).join(classes, ["s1", "s2"])
-                       .groupBy("token", "node").agg(F.min("n").alias("n"), F.min("pos").alias("pos")))
+    raw = cut_lineage(_prefix_rows(docs, "text", size, pct, freq, bitmap).join(classes, ["s1", "s2"])
+                      .select("token", "node", "n", "pos", "buckets"))
+    rows = raw.groupBy("token", "node").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
+    crowd = rows.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
+    rows = cut_lineage(rows.join(crowd.select("token"), "token", "left_semi"))
+    parts = raw.groupBy("node").agg(F.min("n").alias("n"), F.first("buckets", ignorenulls=True).alias("buckets"))
 
     # First links: like sizes (a factor of 1 / t a band) meet the smallest class of their group.
     rows = rows.withColumn("band", F.floor(F.log(F.col("n")) / F.log(F.lit(100 / pct))))
@@ -245,7 +254,8 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = (rows.alias("x").join(pivot.alias("y"), ["token", "band"])
              .where(F.col("x.node") != F.col("y.node")).where(_may_link("x", "y", pct))
              .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count(F.lit(1)).alias("k")))
-    best = cut_lineage(pairs.groupBy("a").agg(F.max(F.struct("k", "b")).alias("m")).select("a", F.col("m.b").alias("b")))
+    best = pairs.groupBy("a").agg(F.max(F.struct("k", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
+    best = cut_lineage(_suffix_filter(best, parts, pct))
     first = cut_lineage(_verified(best, docs, classes, size, pct))
     known = connected_components(first)
 
@@ -262,8 +272,8 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                    & ((F.col("y.label") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))))
             .where(_may_link("x", "y", pct))
             .select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct())
-    rest = cut_lineage(rest.join(best, ["a", "b"], "left_anti")
-                       .join(best.select(F.col("b").alias("a"), F.col("a").alias("b")), ["a", "b"], "left_anti"))
+    tried = best.unionByName(best.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    rest = cut_lineage(_suffix_filter(rest, parts, pct).join(tried, ["a", "b"], "left_anti"))
     if rest.isEmpty():
         return members, first
     return members, cut_lineage(first.unionByName(_verified(rest, docs, classes, size, pct)))

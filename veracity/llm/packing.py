@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
+from veracity.llm.common import map_arrow
 from veracity.llm.tokens import ChunkIds, chunk_coder
 
 
@@ -136,4 +137,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         if id_type is not None:
             yield drain(id_type)
 
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)

@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import LongType, StructField, StructType
 
+from veracity.llm.common import map_arrow
 from veracity.llm.tokens import ChunkLengths, chunk_coder, safe_pieces
 
 
@@ -52,4 +53,4 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
     rows = docs.select(*keep, text_col)
     schema = StructType([*(rows.schema[k] for k in range(len(keep))),
                          StructField("n_bytes", LongType()), StructField("n_tokens", LongType())])
-    return rows.mapInArrow(run, schema)
+    return map_arrow(rows, run, schema)
