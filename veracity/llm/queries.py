@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veracity.llm.decontam import benchmark_hits, contaminated, hit_words
 from veracity.llm.jaccard import jaccard_groups
 from veracity.llm.packing import pack_documents
 from veracity.llm.token_counts import count_tokens
@@ -51,3 +52,11 @@ def op4(spark, sf_dir):
 @register("op7_ngram_jaccard_join")
 def op7(spark, sf_dir):
     return jaccard_groups(read_table(spark, sf_dir, "documents"), size=5, pct=80)
+
+
+@register("op10_benchmark_decontamination")
+def op10(spark, sf_dir):
+    out = benchmark_hits(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+    return out.select("doc_id", "n_words", hit_words().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
+                      contaminated().alias("contaminated"))
