@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from veracity.llm.decontam import benchmark_hits, contaminated, hit_words
 from veracity.llm.jaccard import jaccard_groups
+from veracity.llm.langid import identify_languages
 from veracity.llm.packing import pack_documents
 from veracity.llm.token_counts import count_tokens
 from veracity.sources.tables import read_table
@@ -54,6 +55,11 @@ def op7(spark, sf_dir):
     return jaccard_groups(read_table(spark, sf_dir, "documents"), size=5, pct=80)
 
 
+@register("op8_language_id")
+def op8(spark, sf_dir):
+    return identify_languages(read_table(spark, sf_dir, "documents"))
+
+
 @register("op10_benchmark_decontamination")
 def op10(spark, sf_dir):
     out = benchmark_hits(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
