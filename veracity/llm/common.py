@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -20,13 +20,18 @@ STEP_BYTES = 1 << 18
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 
-def map_arrow(df: DataFrame, fn: Callable, schema: StructType | str) -> DataFrame:
-    """``mapInArrow`` whose workers can import this package also when the driver was started in
-    another folder (a cluster that ships the package itself already has it on its path)."""
-    env = df.sparkSession.sparkContext.environment
+def worker_path(spark: SparkSession) -> None:
+    """Let Python workers import this package also when the driver was started in another folder
+    (a cluster that ships the package itself already has it on its path)."""
+    env = spark.sparkContext.environment
     path = env.get("PYTHONPATH", "").split(os.pathsep)
     if _ROOT not in path:
         env["PYTHONPATH"] = os.pathsep.join([p for p in path if p] + [_ROOT])
+
+
+def map_arrow(df: DataFrame, fn: Callable, schema: StructType | str) -> DataFrame:
+    """``mapInArrow`` with this package on the workers' path."""
+    worker_path(df.sparkSession)
     return df.mapInArrow(fn, schema)
 
 

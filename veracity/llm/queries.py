@@ -12,6 +12,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from veracity.llm.cuckoo import exact_duplicates
 from veracity.llm.decontam import benchmark_hits, contaminated, hit_words
 from veracity.llm.jaccard import jaccard_groups
 from veracity.llm.langid import identify_languages
@@ -39,6 +40,17 @@ def op1(spark, sf_dir):
     return out.withColumn("over_limit", F.col("n_tokens") > 1024)
 
 
+@register("op2_exact_dedup", r"""
+WITH t AS (
+  SELECT doc_id, sha256(regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g')) AS text_sha256
+  FROM documents),
+g AS (SELECT text_sha256, min(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text_sha256)
+SELECT t.doc_id, g.keep_id, g.group_size, t.doc_id = g.keep_id AS kept, t.text_sha256
+FROM t JOIN g USING (text_sha256)""")
+def op2(spark, sf_dir):
+    return exact_duplicates(read_table(spark, sf_dir, "documents"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Pieces of the packed documents with a digest of their ids in place of the ids."""
     out = pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
