@@ -1,10 +1,11 @@
 """N-gram Jaccard join: documents whose sets of word shingles are similar, and their groups.
 
 Method: prefix filtering with the rarest shingles first. Two sets with similarity of at least t
-share one of their first ``n - ceil(t n) + 1`` shingles in any common order, so only these prefix
-shingles are joined; ordering them by corpus frequency keeps common passages out of the prefixes.
-Length, positional and suffix filters drop pairs that cannot reach the bound, and what is left
-is verified on the whole sets, once per pair.
+share at least l of their first ``n - ceil(t n) + l`` shingles in any common order, so only these
+prefix shingles are joined; ordering them by corpus frequency keeps common passages out of the
+prefixes, and l grows with the set (``1 + n / 40``), so that long texts need more than a chance
+meeting. Length, positional and suffix filters drop pairs that cannot reach the bound, and what is
+left is verified on the whole sets, once per pair.
 
 How it runs:
 
@@ -16,7 +17,7 @@ How it runs:
    bounded size, built from the shingles that two classes share, keeps the rest from being shuffled.
 4. First links: in each group of classes with a common prefix shingle and like sizes, every class
    meets the group's smallest one. A group of n near copies costs n pairs, not n squared.
-5. Remaining links: classes of one group that step 4 has not connected, and only those, meet
+5. Remaining links: all classes of one group that step 4 has not connected, and only those, meet
    each other. A pair inside one component adds nothing to it and is never formed.
 6. Components by star contraction; every copy takes its class's component.
 
@@ -32,6 +33,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
@@ -46,6 +48,8 @@ LOG2_BITS = 26
 _BLOCK = 4096
 #: Buckets of the suffix filter: a pair's overlap is at most the sum of the smaller bucket counts.
 _BUCKETS = 64
+#: A set of n shingles must share ``1 + n // _STEP`` prefix shingles with a similar one.
+_STEP = 40
 
 
 def _sets(batch: pa.RecordBatch, column: int, size: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
@@ -121,18 +125,18 @@ def shingle_profiles(docs: DataFrame, text_col: str, size: int) -> tuple[DataFra
 
 
 def _prefix_rows(docs: DataFrame, text_col: str, size: int, pct: int, freq, only=None) -> DataFrame:
-    """(token, s1, s2, n, pos): the rarest-first prefix of each set; a task emits a set once.
+    """The rarest-first prefix of each set; a task emits a set once.
 
-    With ``only`` (a bitmap of shingles), rows whose shingle is surely absent there are left out,
-    and a set's first row has its bucket counts for the suffix filter (none beyond a million).
+    Without ``only``: rows (token, owner), the owner being one of the class's rows. With it (a
+    bitmap of shingles): rows (token, s1, s2, n, pos, buckets) whose shingle may be in the bitmap;
+    a set's first row has its bucket counts for the suffix filter (none beyond a million).
     """
-    def run(batches):
-        counts, seen = freq.value, set()
-        keep = only.value if only is not None else None
+    def prefixes(batches):
+        """Steps of (signature, owner, n, tokens, positions, set) of the sets not seen before."""
+        counts, seen, row = freq.value, set(), TaskContext.get().partitionId() << 33
         for b in batches:
-            tok, s1, s2, ns, pos, parts = [], [], [], [], [], []
             for _, flat, at in _sets(b, 0, size):
-                sigs, rank = _signatures(flat, at), counts[_bucket(flat)]
+                sigs, rank, out = _signatures(flat, at), counts[_bucket(flat)], []
                 for i in np.flatnonzero(np.diff(at)):
                     s, f, n = flat[at[i]:at[i + 1]], rank[at[i]:at[i + 1]], int(at[i + 1] - at[i])
                     sig = (int(sigs[i, 0]), int(sigs[i, 1]))
@@ -141,26 +145,42 @@ def _prefix_rows(docs: DataFrame, text_col: str, size: int, pct: int, freq, only
                     if len(seen) >= 500_000:         # bounded; a class emitted twice is merged later
                         seen.clear()
                     seen.add(sig)
-                    k = n + (-pct * n // 100) + 1    # n - ceil(t n) + 1
+                    row += 1
+                    k = n + (-pct * n // 100) + 1 + n // _STEP        # n - ceil(t n) + l
                     near = np.flatnonzero(f <= np.partition(f, k - 1)[k - 1]) if k < n else np.arange(n)
-                    t, p = s[near[np.lexsort((s[near], f[near]))][:k]], np.arange(k)
-                    if keep is not None:
-                        hit = in_bitmap(keep, t, LOG2_BITS)
-                        t, p = t[hit], p[hit]
-                    if len(t):
-                        tok.append(t.view(np.int64))
-                        pos.append(p)
-                        s1.append(np.full(len(t), sig[0]))
-                        s2.append(np.full(len(t), sig[1]))
-                        ns.append(np.full(len(t), n))
-                        count = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=_BUCKETS)
-                        parts += [count.astype(np.int16) if keep is not None and n <= 1_000_000 and count.max() < 32768
-                                  else None, *[None] * (len(t) - 1)]
-            if tok:
+                    out.append((sig, row, n, s[near[np.lexsort((s[near], f[near]))][:k]], np.arange(k), s))
+                if out:
+                    yield out
+
+    def owners(batches):
+        for out in prefixes(batches):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([x[3] for x in out]).view(np.int64)),
+                 pa.array(np.repeat([x[1] for x in out], [len(x[3]) for x in out]))], ["token", "owner"])
+
+    def rows(batches):
+        keep = only.value
+        for out in prefixes(batches):
+            part = []
+            for sig, _, n, t, p, s in out:
+                hit = in_bitmap(keep, t, LOG2_BITS)
+                if hit.any():
+                    count = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=_BUCKETS)
+                    small = n <= 1_000_000 and count.max() < 32768
+                    part.append((sig, n, t[hit], p[hit], [count.astype(np.int16) if small else None]))
+            if part:
+                size_of = [len(x[2]) for x in part]
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(np.concatenate(x).astype(np.int64)) for x in (tok, s1, s2, ns, pos)),
-                     pa.array(parts, pa.list_(pa.int16()))], ["token", "s1", "s2", "n", "pos", "buckets"])
-    return map_arrow(docs.select(text_col), run,
+                    [pa.array(np.concatenate([x[2] for x in part]).view(np.int64)),
+                     *(pa.array(np.repeat(np.array(v, np.int64), size_of))
+                       for v in ([x[0][0] for x in part], [x[0][1] for x in part], [x[1] for x in part])),
+                     pa.array(np.concatenate([x[3] for x in part])),
+                     pa.array([v for x in part for v in x[4] + [None] * (len(x[2]) - 1)], pa.list_(pa.int16()))],
+                    ["token", "s1", "s2", "n", "pos", "buckets"])
+
+    if only is None:
+        return map_arrow(docs.select(text_col), owners, "token long, owner long")
+    return map_arrow(docs.select(text_col), rows,
                      "token long, s1 long, s2 long, n long, pos long, buckets array<short>")
 
 
@@ -237,7 +257,7 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     members = profiles.join(classes, ["s1", "s2"], "left").select("id", "n", "node")
 
     shared = (_prefix_rows(docs, "text", size, pct, freq).groupBy("token")
-              .agg(F.min("s1").alias("lo"), F.max("s1").alias("hi"))
+              .agg(F.min("owner").alias("lo"), F.max("owner").alias("hi"))
               .where("lo <> hi").select("token"))
     bitmap = spark.sparkContext.broadcast(bitmap_of(shared, "token", LOG2_BITS))
     raw = cut_lineage(_prefix_rows(docs, "text", size, pct, freq, bitmap).join(classes, ["s1", "s2"])
@@ -253,7 +273,8 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
              .where("c > 1").select("token", "band", "p.*"))
     pairs = (rows.alias("x").join(pivot.alias("y"), ["token", "band"])
              .where(F.col("x.node") != F.col("y.node")).where(_may_link("x", "y", pct))
-             .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b")).agg(F.count(F.lit(1)).alias("k")))
+             .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
+             .agg(F.count(F.lit(1)).alias("k"), F.min("y.n").alias("n")).where(F.col("k") > F.floor(F.col("n") / _STEP)))
     best = pairs.groupBy("a").agg(F.max(F.struct("k", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
     best = cut_lineage(_suffix_filter(best, parts, pct))
     first = cut_lineage(_verified(best, docs, classes, size, pct))
@@ -271,7 +292,9 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .where((F.col("x.label") != F.col("y.label"))
                    & ((F.col("y.label") == F.col("y.main")) | (F.col("x.node") < F.col("y.node"))))
             .where(_may_link("x", "y", pct))
-            .select(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b")).distinct())
+            .groupBy(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"))
+            .agg(F.count(F.lit(1)).alias("k"), F.min(F.least("x.n", "y.n")).alias("n"))
+            .where(F.col("k") > F.floor(F.col("n") / _STEP)).select("a", "b"))
     tried = best.unionByName(best.select(F.col("b").alias("a"), F.col("a").alias("b")))
     rest = cut_lineage(_suffix_filter(rest, parts, pct).join(tried, ["a", "b"], "left_anti"))
     if rest.isEmpty():
