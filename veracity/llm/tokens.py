@@ -22,8 +22,8 @@ _LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
 _LOWER = re.compile("([a-zß-öø-ÿ]+)([.,;:!?]*)")
 #: Text in which lower-casing here could differ from the library's, or touch a special string.
 _WIDE = re.compile("[^\x00-\x7f\xa0-\xff]|<\\|")
-#: Chunks remembered per worker and letters of the longest one remembered.
-MEMO_CHUNKS = 400_000
+#: Chunks remembered per worker, in each of two generations, and letters of the longest one.
+MEMO_CHUNKS = 700_000
 MEMO_LENGTH = 64
 
 _byte = {b: c for b in range(256) for c in [ByteLevel(add_prefix_space=False, use_regex=False)
@@ -40,7 +40,21 @@ def _byte_table() -> dict[int, str]:
     return table
 
 
-class ChunkLengths(dict):
+class _Memo(dict):
+    """What is known of chunks. When full, it becomes the older generation, from which chunks that
+    still occur come back; the rest is forgotten with the next change."""
+
+    def __init__(self):
+        super().__init__()
+        self.older: dict = {}
+
+    def age(self) -> None:
+        if len(self) > MEMO_CHUNKS:
+            self.older = self.copy()
+            self.clear()
+
+
+class ChunkLengths(_Memo):
     """Number of ids of a chunk, for a byte-level vocabulary whose words carry their leading space.
 
     A key stands for itself with a space before it; one that begins with a line feed, for itself.
@@ -58,6 +72,10 @@ class ChunkLengths(dict):
         return len(self.model.tokenize(lead + letters.encode().decode("latin-1").translate(self.table)))
 
     def __missing__(self, key: str) -> int:
+        n = self.older.get(key)
+        if n is not None:
+            self[key] = n
+            return n
         feed = key[0] == "\n"
         m = _LETTERS.fullmatch(key, 1 if feed else 0)
         if m is None:
@@ -72,8 +90,7 @@ class ChunkLengths(dict):
 
     def of_batch(self, pieces: list[str]) -> list[int]:
         """Numbers of ids of texts; what is not plain is encoded in one batch of distinct chunks."""
-        if len(self) > MEMO_CHUNKS:
-            self.clear()
+        self.age()
         self.pending, get, out = [], self.__getitem__, []
         for self.at, t in enumerate(pieces):
             if not t:
@@ -92,7 +109,7 @@ class ChunkLengths(dict):
         return out
 
 
-class ChunkIds(dict):
+class ChunkIds(_Memo):
     """Ids of a chunk as little-endian 32-bit bytes, for a vocabulary that drops white space."""
 
     def __init__(self, path: str):
@@ -101,6 +118,10 @@ class ChunkIds(dict):
         self.model, self.table = self.tok.model, _byte_table()
 
     def __missing__(self, key: str) -> bytes:
+        out = self.older.get(key)
+        if out is not None:
+            self[key] = out
+            return out
         m = _LOWER.fullmatch(key)
         if m is None:
             ids = self.tok.encode(key, add_special_tokens=False).ids
@@ -114,8 +135,7 @@ class ChunkIds(dict):
         return out
 
     def of(self, text: str) -> bytes:
-        if len(self) > MEMO_CHUNKS:
-            self.clear()
+        self.age()
         if not _WIDE.search(text):
             text = text.lower()
         return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
