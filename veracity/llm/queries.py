@@ -16,6 +16,7 @@ from veracity.llm.cuckoo import exact_duplicates
 from veracity.llm.decontam import benchmark_hits, contaminated, hit_words
 from veracity.llm.jaccard import jaccard_groups
 from veracity.llm.langid import identify_languages
+from veracity.llm.line_dedup import dedup_lines
 from veracity.llm.packing import pack_documents
 from veracity.llm.token_counts import count_tokens
 from veracity.sources.tables import read_table
@@ -51,6 +52,38 @@ def op2(spark, sf_dir):
     return exact_duplicates(read_table(spark, sf_dir, "documents"))
 
 
+LINES_SQL = r"""
+WITH l AS (
+  SELECT doc_id, text, generate_subscripts(string_split(text, chr(10)), 1) AS no,
+         unnest(string_split(text, chr(10))) AS line
+  FROM documents WHERE text IS NOT NULL),
+w AS (SELECT *, list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM l),
+d AS (SELECT w, min((doc_id, no)) AS first_at FROM w WHERE len(w) > 0 GROUP BY w),
+v AS (
+  SELECT first_at, i, list_concat(w[1:i - 1], w[i + 1:]) AS rest
+  FROM d, unnest(generate_series(1, len(w))) AS t(i) WHERE len(w) >= 5),
+near AS (
+  SELECT a.first_at FROM v a JOIN v b ON a.rest = b.rest AND a.i = b.i AND b.first_at < a.first_at
+  UNION SELECT a.first_at FROM v a JOIN d b ON a.rest = b.w AND len(b.w) >= 5 AND b.first_at < a.first_at
+  UNION SELECT b.first_at FROM v a JOIN d b ON a.rest = b.w AND len(b.w) >= 5 AND a.first_at < b.first_at),
+k AS (
+  SELECT doc_id, no, line, len(w) = 0 OR ((doc_id, no) IN (SELECT first_at FROM d)
+         AND (doc_id, no) NOT IN (SELECT first_at FROM near)) AS stays FROM w),
+g AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (NOT stays) AS n_dropped,
+         coalesce(string_agg(line, chr(10) ORDER BY no) FILTER (stays), '') AS kept FROM k GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_dropped, 0) AS n_dropped,
+       sha256(coalesce(kept, '')) AS text_sha256
+FROM documents d LEFT JOIN g USING (doc_id)"""
+
+
+@register("op3_line_dedup", LINES_SQL)
+def op3(spark, sf_dir):
+    out = dedup_lines(read_table(spark, sf_dir, "documents").select("doc_id", "text"),
+                      n_lines_col="n_lines", n_dropped_col="n_dropped")
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
+
+
 def packed(docs: DataFrame) -> DataFrame:
     """Pieces of the packed documents with a digest of their ids in place of the ids."""
     out = pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
