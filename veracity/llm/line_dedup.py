@@ -37,12 +37,12 @@ _ID, _TH, _NO = "__id", "__th", "__no"
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(__id, __th, __no, w, n, h1, h2): the words of each line that has some, and their hash."""
-    text = F.col(text_col)
-    rows = docs.select(F.col(id_col).alias(_ID), F.xxhash64(text).alias(_TH),
-                       F.posexplode(F.split(text, "\n")).alias(_NO, "line"))
-    w = F.array_remove(F.split("line", r"[\x20\x09-\x0D]+"), "")
-    rows = rows.select(_ID, _TH, _NO, w.alias("w")).where(F.size("w") > 0)
+    """(__id, __th, __no, w, n, h1, h2): the words of each line, and their 128-bit hash."""
+    # The text's hash and its split stay below the generator, once a document.
+    rows = docs.select(F.col(id_col).alias(_ID), F.xxhash64(text_col).alias(_TH),
+                       F.split(text_col, "\n").alias("lines"))
+    rows = rows.select(_ID, _TH, F.posexplode("lines").alias(_NO, "line"))
+    rows = rows.select(_ID, _TH, _NO, F.array_remove(F.split("line", r"[\x20\x09-\x0D]+"), "").alias("w"))
     return rows.select("*", F.size("w").alias("n"), F.xxhash64("w").alias("h1"),
                        F.xxhash64(F.lit(1), "w").alias("h2"))
 
@@ -60,8 +60,8 @@ def _half_keys() -> Column:
 
 def _screened(lines: DataFrame, min_words: int) -> DataFrame:
     """One row a distinct line and shared half: (h1, h2, side, c-order columns, w, n)."""
-    long_ = lines.where(F.col("n") >= min_words)
-    keyed = long_.withColumn("keys", _half_keys())
+    # Short lines get no keys (a filter here would be pushed down and split each line once more).
+    keyed = lines.withColumn("keys", F.when(F.col("n") >= min_words, _half_keys()))
     both = (keyed.select("h1", F.explode("keys").alias("key")).groupBy("key")
             .agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi"))
     at = F.shiftrightunsigned("key", 64 - LOG2_BITS)
@@ -129,7 +129,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with the duplicate lines taken out of ``text_col``; optionally with the number of
     lines that each document had and lost."""
     lines = _lines(docs, id_col, text_col)
-    first = lines.groupBy("h1", "h2").agg(F.min(F.struct(_ID, _TH, _NO)).alias("at")).select("at.*")
+    first = (lines.groupBy("h1", "h2").agg(F.min(F.struct(_ID, _TH, _NO)).alias("at"), F.first("n").alias("n"))
+             .where("n > 0").select("at.*"))
     near = near_earlier_lines(lines, min_words)
     on = [F.col(f"k.{c}").eqNullSafe(F.col(f"o.{c}")) for c in (_ID, _TH, _NO)]
     kept = first.alias("k").join(near.alias("o"), on, "left_anti")
