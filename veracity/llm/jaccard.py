@@ -16,7 +16,7 @@ How it runs:
 3. Prefix shingles of the classes are counted; those of one class join nothing. A bitmap of
    bounded size, built from the shingles that two classes share, keeps the rest from being shuffled.
 4. First links: in each group of classes with a common prefix shingle and like sizes, every class
-   meets the group's smallest one. A group of n near copies costs n pairs, not n squared.
+   meets the one with the fewest shingles of its own. A group of n near copies costs n pairs, not n squared.
 5. Remaining links: all classes of one group that step 4 has not connected, and only those, meet
    each other. A pair inside one component adds nothing to it and is never formed.
 6. Components by star contraction; every copy takes its class's component.
@@ -128,8 +128,9 @@ def _prefix_rows(docs: DataFrame, text_col: str, size: int, pct: int, freq, only
     """The rarest-first prefix of each set; a task emits a set once.
 
     Without ``only``: rows (token, owner), the owner being one of the class's rows. With it (a
-    bitmap of shingles): rows (token, s1, s2, n, pos, buckets) whose shingle may be in the bitmap;
-    a set's first row has its bucket counts for the suffix filter (none beyond a million).
+    bitmap of shingles): rows (token, s1, s2, n, alone, pos, buckets) whose shingle may be in the
+    bitmap; ``alone`` counts the set's prefix shingles that are not, and a set's first row has its
+    bucket counts for the suffix filter (none beyond a million).
     """
     def prefixes(batches):
         """Steps of (signature, owner, n, tokens, positions, set) of the sets not seen before."""
@@ -167,21 +168,23 @@ def _prefix_rows(docs: DataFrame, text_col: str, size: int, pct: int, freq, only
                 if hit.any():
                     count = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=_BUCKETS)
                     small = n <= 1_000_000 and count.max() < 32768
-                    part.append((sig, n, t[hit], p[hit], [count.astype(np.int16) if small else None]))
+                    part.append((sig, n, t[hit], p[hit], [count.astype(np.int16) if small else None],
+                                 len(t) - int(hit.sum())))
             if part:
                 size_of = [len(x[2]) for x in part]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([x[2] for x in part]).view(np.int64)),
                      *(pa.array(np.repeat(np.array(v, np.int64), size_of))
-                       for v in ([x[0][0] for x in part], [x[0][1] for x in part], [x[1] for x in part])),
+                       for v in ([x[0][0] for x in part], [x[0][1] for x in part], [x[1] for x in part],
+                                 [x[5] for x in part])),
                      pa.array(np.concatenate([x[3] for x in part])),
                      pa.array([v for x in part for v in x[4] + [None] * (len(x[2]) - 1)], pa.list_(pa.int16()))],
-                    ["token", "s1", "s2", "n", "pos", "buckets"])
+                    ["token", "s1", "s2", "n", "alone", "pos", "buckets"])
 
     if only is None:
         return map_arrow(docs.select(text_col), owners, "token long, owner long")
     return map_arrow(docs.select(text_col), rows,
-                     "token long, s1 long, s2 long, n long, pos long, buckets array<short>")
+                     "token long, s1 long, s2 long, n long, alone long, pos long, buckets array<short>")
 
 
 def _set_rows(docs: DataFrame, text_col: str, size: int, nodes) -> DataFrame:
@@ -212,11 +215,22 @@ def _reach(na, nb, pct: int):
     return F.floor(((na + nb) * pct + (99 + pct)) / F.lit(100 + pct))
 
 
+def _least_common(n):
+    """Prefix shingles that a set of n must share with a similar one of its size or more."""
+    return F.floor(n / _STEP) + 1
+
+
 def _may_link(a: str, b: str, pct: int):
-    """Length and positional filters for two rows that share a prefix shingle."""
+    """Length, prefix and positional filters for two rows that share a shingle.
+
+    The pair needs an overlap of o, so it shares l shingles within the first ``n - o + l`` of each
+    set; later positions need not be looked at for this pair.
+    """
     na, nb, pa_, pb = F.col(f"{a}.n"), F.col(f"{b}.n"), F.col(f"{a}.pos"), F.col(f"{b}.pos")
+    o, l = _reach(na, nb, pct), _least_common(F.least(na, nb))
     most = F.least(pa_, pb) + 1 + F.least(na - pa_ - 1, nb - pb - 1)
-    return (na * 100 >= nb * pct) & (nb * 100 >= na * pct) & (most >= _reach(na, nb, pct))
+    return ((na * 100 >= nb * pct) & (nb * 100 >= na * pct) & (pa_ < na - o + l) & (pb < nb - o + l)
+            & (most >= o))
 
 
 def _suffix_filter(pairs: DataFrame, parts: DataFrame, pct: int) -> DataFrame:
@@ -261,27 +275,29 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
               .where("lo <> hi").select("token"))
     bitmap = spark.sparkContext.broadcast(bitmap_of(shared, "token", LOG2_BITS))
     raw = cut_lineage(_prefix_rows(docs, "text", size, pct, freq, bitmap).join(classes, ["s1", "s2"])
-                      .select("token", "node", "n", "pos", "buckets"))
-    rows = raw.groupBy("token", "node").agg(F.min("n").alias("n"), F.min("pos").alias("pos"))
+                      .select("token", "node", "n", "alone", "pos", "buckets"))
+    rows = raw.groupBy("token", "node").agg(F.min("n").alias("n"), F.min("pos").alias("pos"),
+                                          F.min("alone").alias("alone"))
     crowd = rows.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
     rows = cut_lineage(rows.join(crowd.select("token"), "token", "left_semi"))
     parts = raw.groupBy("node").agg(F.min("n").alias("n"), F.first("buckets", ignorenulls=True).alias("buckets"))
 
-    # First links: like sizes (a factor of 1 / t a band) meet the smallest class of their group.
+    # First links: like sizes (a factor of 1 / t a band) meet the class of their group with the fewest
+    # shingles of its own, which the others were most likely made from.
     rows = rows.withColumn("band", F.floor(F.log(F.col("n")) / F.log(F.lit(100 / pct))))
-    pivot = (rows.groupBy("token", "band").agg(F.min(F.struct("n", "node", "pos")).alias("p"), F.count(F.lit(1)).alias("c"))
+    pivot = (rows.groupBy("token", "band").agg(F.min(F.struct("alone", "n", "node", "pos")).alias("p"), F.count(F.lit(1)).alias("c"))
              .where("c > 1").select("token", "band", "p.*"))
     pairs = (rows.alias("x").join(pivot.alias("y"), ["token", "band"])
              .where(F.col("x.node") != F.col("y.node")).where(_may_link("x", "y", pct))
              .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-             .agg(F.count(F.lit(1)).alias("k"), F.min("y.n").alias("n")).where(F.col("k") > F.floor(F.col("n") / _STEP)))
+             .agg(F.count(F.lit(1)).alias("k")))
     best = pairs.groupBy("a").agg(F.max(F.struct("k", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
     best = cut_lineage(_suffix_filter(best, parts, pct))
     first = cut_lineage(_verified(best, docs, classes, size, pct))
     known = connected_components(first)
 
     # Remaining links: within a group, only classes of different components so far.
-    labelled = (rows.drop("band").join(known, "node", "left")
+    labelled = (rows.drop("band", "alone").join(known, "node", "left")
                 .withColumn("label", F.coalesce("component", "node")).drop("component"))
     per = labelled.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c"))
     main = (per.groupBy("token").agg(F.max(F.struct("c", "label")).alias("m"), F.count(F.lit(1)).alias("labels"))
@@ -294,7 +310,7 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             .where(_may_link("x", "y", pct))
             .groupBy(F.greatest("x.node", "y.node").alias("a"), F.least("x.node", "y.node").alias("b"))
             .agg(F.count(F.lit(1)).alias("k"), F.min(F.least("x.n", "y.n")).alias("n"))
-            .where(F.col("k") > F.floor(F.col("n") / _STEP)).select("a", "b"))
+            .where(F.col("k") >= _least_common(F.col("n"))).select("a", "b"))
     tried = best.unionByName(best.select(F.col("b").alias("a"), F.col("a").alias("b")))
     rest = cut_lineage(_suffix_filter(rest, parts, pct).join(tried, ["a", "b"], "left_anti"))
     if rest.isEmpty():
