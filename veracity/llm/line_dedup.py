@@ -37,14 +37,15 @@ _ID, _TH, _NO = "__id", "__th", "__no"
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(__id, __th, __no, w, n, h1, h2): the words of each line, and their 128-bit hash."""
-    # The text's hash and its split stay below the generator, once a document.
+    """(__id, __th, __no, w, n, hw, h1, h2): each line's words, their hashes, and 128 bits of all."""
+    # The text's hash and its split stay below the generator, once a document. All generators here
+    # are outer ones: for the others Spark infers a filter that works out their input once more.
     rows = docs.select(F.col(id_col).alias(_ID), F.xxhash64(text_col).alias(_TH),
                        F.split(text_col, "\n").alias("lines"))
-    rows = rows.select(_ID, _TH, F.posexplode("lines").alias(_NO, "line"))
+    rows = rows.select(_ID, _TH, F.posexplode_outer("lines").alias(_NO, "line"))
     rows = rows.select(_ID, _TH, _NO, F.array_remove(F.split("line", r"[\x20\x09-\x0D]+"), "").alias("w"))
-    return rows.select("*", F.size("w").alias("n"), F.xxhash64("w").alias("h1"),
-                       F.xxhash64(F.lit(1), "w").alias("h2"))
+    rows = rows.select("*", F.size("w").alias("n"), F.transform("w", lambda x: F.xxhash64(x)).alias("hw"))
+    return rows.select("*", F.xxhash64("hw").alias("h1"), F.xxhash64(F.lit(1), "w").alias("h2"))
 
 
 def _half_keys() -> Column:
@@ -53,8 +54,8 @@ def _half_keys() -> Column:
     def pair(m: str) -> list[str]:
         first = f"{m} div 2"
         rest = f"({m} - {first})"
-        return [f"xxhash64('p', {m}, slice(w, 1, cast({first} as int)))",
-                f"xxhash64('s', {m}, slice(w, cast(n - {rest} + 1 as int), cast({rest} as int)))"]
+        return [f"xxhash64('p', {m}, slice(hw, 1, cast({first} as int)))",
+                f"xxhash64('s', {m}, slice(hw, cast(n - {rest} + 1 as int), cast({rest} as int)))"]
     return F.expr(f"array({', '.join(pair('n') + pair('(n - 1)'))})")
 
 
@@ -62,31 +63,31 @@ def _screened(lines: DataFrame, min_words: int) -> DataFrame:
     """One row a distinct line and shared half: (h1, h2, side, c-order columns, w, n)."""
     # Short lines get no keys (a filter here would be pushed down and split each line once more).
     keyed = lines.withColumn("keys", F.when(F.col("n") >= min_words, _half_keys()))
-    both = (keyed.select("h1", F.explode("keys").alias("key")).groupBy("key")
-            .agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("lo <> hi"))
+    both = (keyed.select("h1", F.explode_outer("keys").alias("key")).groupBy("key")
+            .agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("key is not null and lo <> hi"))
     at = F.shiftrightunsigned("key", 64 - LOG2_BITS)
     bits = (both.select(at.alias("b")).groupBy(F.shiftright("b", _ROW_BITS).cast("int").alias("row"))
             .agg(F.bitmap_construct_agg(F.col("b").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))).alias("bits")))
     bits = F.broadcast(cut_lineage(bits))                       # at most 2048 rows of 4 kB
-    rows = keyed.select(_ID, _TH, _NO, "w", "n", "h1", "h2", F.posexplode("keys").alias("side", "key"))
+    rows = keyed.select(_ID, _TH, _NO, "w", "hw", "n", "h1", "h2", F.posexplode_outer("keys").alias("side", "key"))
     byte = F.conv(F.hex(F.expr("substring(bits, cast(shiftright(b & 32767, 3) + 1 as int), 1)")), 16, 10).cast("int")
     hit = F.expr("shiftright(byte, cast(b & 7 as int)) & 1") == 1
     return (rows.withColumn("b", at).withColumn("row", F.shiftright("b", _ROW_BITS).cast("int")).join(bits, "row")
-            .withColumn("byte", byte).where(hit).select(_ID, _TH, _NO, "w", "n", "h1", "h2", "side"))
+            .withColumn("byte", byte).where(hit).select(_ID, _TH, _NO, "w", "hw", "n", "h1", "h2", "side"))
 
 
 def _variants() -> Column:
     """Hashed keys of a line's variants: role 0 with its word i replaced, role 1 the line itself as
     the shorter one, role 2 with its word i taken out."""
-    rest = "slice(w, 1, i - 1), slice(w, i + 1, n)"
+    rest = "slice(hw, 1, i - 1), slice(hw, i + 1, n)"
     def keyed(tag: str, role: int) -> str:
-        return f"i -> struct(xxhash64({tag}, {rest}) as k1, xxhash64(7, {tag}, {rest}) as k2, {role} as role)"
+        return f"i -> struct(xxhash64({tag}, {rest}) as k1, hash({tag}, {rest}) as k2, {role} as role)"
     half, low, none = "cast(n div 2 as int)", "cast((n - 1) div 2 as int)", "cast(array() as array<int>)"
     replaced = (f"concat(if(array_contains(sides, 0), sequence({half} + 1, n), {none}), "
                 f"if(array_contains(sides, 1), sequence(1, {half}), {none}))")
     taken = (f"array_distinct(concat(if(array_contains(sides, 2), sequence({low} + 1, n), {none}), "
              f"if(array_contains(sides, 3), sequence(1, {low} + 1), {none})))")
-    own = "array(struct(xxhash64('i', w) as k1, xxhash64(7, 'i', w) as k2, 1 as role))"
+    own = "array(struct(xxhash64('i', hw) as k1, hash('i', hw) as k2, 1 as role))"
     return F.expr(f"concat(transform({replaced}, {keyed("'u', i", 0)}), transform({taken}, {keyed("'i'", 2)}), "
                   f"if(array_contains(sides, 0) or array_contains(sides, 1), {own}, slice({own}, 1, 0)))")
 
@@ -106,11 +107,11 @@ def near_earlier_lines(lines: DataFrame, min_words: int = 5) -> DataFrame:
     """First occurrences ``(__id, __th, __no)`` of distinct lines that have an earlier one-edit line."""
     found = (_screened(lines, min_words).groupBy("h1", "h2")
              .agg(F.min(F.struct(_ID, _TH, _NO)).alias("at"), F.collect_set("side").alias("sides"),
-                  F.first("w").alias("w"), F.first("n").alias("n")))
+                  F.first("w").alias("w"), F.first("hw").alias("hw"), F.first("n").alias("n")))
     # Numbered in the order of the documents, so that the smallest number is the earliest line.
-    cand = cut_lineage(found.select("at.*", "sides", "w", "n").orderBy(_ID, _TH, _NO)
+    cand = cut_lineage(found.select("at.*", "sides", "w", "hw", "n").orderBy(_ID, _TH, _NO)
                        .withColumn("c", F.monotonically_increasing_id()))
-    var = cand.select("c", F.explode(_variants()).alias("v")).select("c", "v.*")
+    var = cut_lineage(cand.select("c", F.explode_outer(_variants()).alias("v")).select("c", "v.*"))
     first = (var.groupBy("k1", "k2").agg(F.min(F.when(F.col("role") < 2, F.col("c"))).alias("a"),
                                          F.min(F.when(F.col("role") == 2, F.col("c"))).alias("z"),
                                          F.min("c").alias("lo"), F.max("c").alias("hi"))
