@@ -76,19 +76,36 @@ def _screened(lines: DataFrame, min_words: int) -> DataFrame:
             .withColumn("byte", byte).where(hit).select(_ID, _TH, _NO, "w", "hw", "n", "h1", "h2", "side"))
 
 
+def _with_variant_keys(cand: DataFrame) -> DataFrame:
+    """Adds ``whole``, the key of a line, and ``keys``: that of the line without its word i, for
+    each i. A key is the exclusive or of the hashes of (word, place), so a deletion changes a prefix
+    not at all and moves the rest by one place; sums over blocks of sqrt(n) words keep the work for
+    a line of n words at n * sqrt(n)."""
+    xor = "0L, (s, x) -> s ^ x"
+    step, last = "cast(ceil(sqrt(n)) as int)", "least(n, (t.b + 1) * step)"
+    rows = cand.select("*", F.expr("transform(hw, (x, j) -> xxhash64(x, j))").alias("f0"),
+                       F.expr("transform(hw, (x, j) -> xxhash64(x, j - 1))").alias("f1"), F.expr(step).alias("step"))
+    rows = rows.select("*", F.expr(
+        "transform(sequence(0, (n - 1) div step), b -> named_struct('b', cast(b as int), "
+        f"'pre', aggregate(slice(f0, 1, cast(b * step as int)), {xor}), "
+        f"'post', aggregate(slice(f1, cast((b + 1) * step + 1 as int), n), {xor})))").alias("blocks"))
+    return rows.select("c", "n", "sides", F.expr(f"aggregate(f0, {xor})").alias("whole"), F.expr(
+        f"flatten(transform(blocks, t -> transform(sequence(t.b * step + 1, {last}), i -> t.pre ^ t.post "
+        f"^ aggregate(slice(f0, t.b * step + 1, i - 1 - t.b * step), {xor}) "
+        f"^ aggregate(slice(f1, i + 1, {last} - i), {xor}))))").alias("keys"))
+
+
 def _variants() -> Column:
-    """Hashed keys of a line's variants: role 0 with its word i replaced, role 1 the line itself as
-    the shorter one, role 2 with its word i taken out."""
-    rest = "slice(hw, 1, i - 1), slice(hw, i + 1, n)"
-    def keyed(tag: str, role: int) -> str:
-        return f"i -> struct(xxhash64({tag}, {rest}) as k1, hash({tag}, {rest}) as k2, {role} as role)"
+    """A line's variants as hashed keys (k1 under k2): role 0 with its word i replaced (k2 = i), role 1
+    the line itself as the shorter one, role 2 with its word i taken out (k2 = minus the words left)."""
     half, low, none = "cast(n div 2 as int)", "cast((n - 1) div 2 as int)", "cast(array() as array<int>)"
     replaced = (f"concat(if(array_contains(sides, 0), sequence({half} + 1, n), {none}), "
                 f"if(array_contains(sides, 1), sequence(1, {half}), {none}))")
     taken = (f"array_distinct(concat(if(array_contains(sides, 2), sequence({low} + 1, n), {none}), "
              f"if(array_contains(sides, 3), sequence(1, {low} + 1), {none})))")
-    own = "array(struct(xxhash64('i', hw) as k1, hash('i', hw) as k2, 1 as role))"
-    return F.expr(f"concat(transform({replaced}, {keyed("'u', i", 0)}), transform({taken}, {keyed("'i'", 2)}), "
+    own = "array(struct(whole as k1, -n as k2, 1 as role))"
+    return F.expr(f"concat(transform({replaced}, i -> struct(keys[i - 1] as k1, i as k2, 0 as role)), "
+                  f"transform({taken}, i -> struct(keys[i - 1] as k1, 1 - n as k2, 2 as role)), "
                   f"if(array_contains(sides, 0) or array_contains(sides, 1), {own}, slice({own}, 1, 0)))")
 
 
@@ -111,7 +128,7 @@ def near_earlier_lines(lines: DataFrame, min_words: int = 5) -> DataFrame:
     # Numbered in the order of the documents, so that the smallest number is the earliest line.
     cand = cut_lineage(found.select("at.*", "sides", "w", "hw", "n").orderBy(_ID, _TH, _NO)
                        .withColumn("c", F.monotonically_increasing_id()))
-    var = cut_lineage(cand.select("c", F.explode_outer(_variants()).alias("v")).select("c", "v.*"))
+    var = cut_lineage(_with_variant_keys(cand).select("c", F.explode_outer(_variants()).alias("v")).select("c", "v.*"))
     first = (var.groupBy("k1", "k2").agg(F.min(F.when(F.col("role") < 2, F.col("c"))).alias("a"),
                                          F.min(F.when(F.col("role") == 2, F.col("c"))).alias("z"),
                                          F.min("c").alias("lo"), F.max("c").alias("hi"))
