@@ -17,6 +17,7 @@ from veracity.llm.cuckoo import exact_duplicates
 from veracity.llm.decontam import benchmark_hits, contaminated, hit_words
 from veracity.llm.jaccard import jaccard_groups
 from veracity.llm.langid import identify_languages
+from veracity.llm.licenses import scan_licenses
 from veracity.llm.line_dedup import dedup_lines
 from veracity.llm.packing import pack_documents
 from veracity.llm.token_counts import count_tokens
@@ -128,6 +129,11 @@ def op5(spark, sf_dir):
         F.sha2("loss", 256).alias("loss_sha256"), F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+@register("op6_license_scans")
+def op6(spark, sf_dir):
+    return scan_licenses(read_table(spark, sf_dir, "documents"))
+
+
 @register("op7_ngram_jaccard_join")
 def op7(spark, sf_dir):
     return jaccard_groups(read_table(spark, sf_dir, "documents"), size=5, pct=80)
