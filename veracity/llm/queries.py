@@ -21,6 +21,7 @@ from veracity.llm.licenses import scan_licenses
 from veracity.llm.line_dedup import dedup_lines
 from veracity.llm.packing import pack_documents
 from veracity.llm.token_counts import count_tokens
+from veracity.llm.urls import filter_urls
 from veracity.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -144,6 +145,21 @@ def op8(spark, sf_dir):
     return identify_languages(read_table(spark, sf_dir, "documents"))
 
 
+# Host, path and verdict of the rules.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+@register("op9_url_filters")
+def op9(spark, sf_dir):
+    return filter_urls(read_table(spark, sf_dir, "pages"), URL_RULES)
+
+
 @register("op10_benchmark_decontamination")
 def op10(spark, sf_dir):
     out = benchmark_hits(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
