@@ -42,9 +42,11 @@ from veracity.llm import words as W
 from veracity.llm.common import binary_buffers, bitmap_of, byte_steps, cut_lineage, in_bitmap, map_arrow
 from veracity.llm.components import connected_components
 
-#: Hashed frequency counters (each 4 bytes), and bits of the two bitmaps: fixed, whatever the input.
+#: Hashed frequency counters, bits of the bitmap of shared shingles and of the one of candidate
+#: classes: fixed, whatever the input (a fuller bitmap lets more rows through, and loses none).
 LOG2_COUNTERS = 18
-LOG2_BITS = 26
+LOG2_SHARED = 27
+LOG2_NODES = 24
 _BLOCK = 4096
 #: Buckets of the suffix filter: a pair's overlap is at most the sum of the smaller bucket counts.
 _BUCKETS = 64
@@ -127,7 +129,8 @@ def shingle_profiles(docs: DataFrame, text_col: str, size: int) -> tuple[DataFra
 def _prefix_rows(docs: DataFrame, text_col: str, size: int, pct: int, freq, only=None) -> DataFrame:
     """The rarest-first prefix of each set; a task emits a set once.
 
-    Without ``only``: rows (token, owner), the owner being one of the class's rows. With it (a
+    Without ``only``: rows (high, owner) of a shingle's high 32 bits, which are more than the bitmap
+    of shared ones looks at, and one of the class's rows. With it (a
     bitmap of shingles): rows (token, s1, s2, n, alone, pos, buckets) whose shingle may be in the
     bitmap; ``alone`` counts the set's prefix shingles that are not, and a set's first row has its
     bucket counts for the suffix filter (none beyond a million).
@@ -156,15 +159,15 @@ def _prefix_rows(docs: DataFrame, text_col: str, size: int, pct: int, freq, only
     def owners(batches):
         for out in prefixes(batches):
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([x[3] for x in out]).view(np.int64)),
-                 pa.array(np.repeat([x[1] for x in out], [len(x[3]) for x in out]))], ["token", "owner"])
+                [pa.array((np.concatenate([x[3] for x in out]) >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                 pa.array(np.repeat([x[1] for x in out], [len(x[3]) for x in out]))], ["high", "owner"])
 
     def rows(batches):
         keep = only.value
         for out in prefixes(batches):
             part = []
             for sig, _, n, t, p, s in out:
-                hit = in_bitmap(keep, t, LOG2_BITS)
+                hit = in_bitmap(keep, t, LOG2_SHARED)
                 if hit.any():
                     count = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=_BUCKETS)
                     small = n <= 1_000_000 and count.max() < 32768
@@ -182,7 +185,7 @@ def _prefix_rows(docs: DataFrame, text_col: str, size: int, pct: int, freq, only
                     ["token", "s1", "s2", "n", "alone", "pos", "buckets"])
 
     if only is None:
-        return map_arrow(docs.select(text_col), owners, "token long, owner long")
+        return map_arrow(docs.select(text_col), owners, "high int, owner long")
     return map_arrow(docs.select(text_col), rows,
                      "token long, s1 long, s2 long, n long, alone long, pos long, buckets array<short>")
 
@@ -195,7 +198,7 @@ def _set_rows(docs: DataFrame, text_col: str, size: int, nodes) -> DataFrame:
             rows = []
             for _, flat, at in _sets(b, 0, size):
                 sigs = _signatures(flat, at)
-                for i in np.flatnonzero(in_bitmap(keep, sigs[:, 0].copy(), LOG2_BITS) & (np.diff(at) > 0)):
+                for i in np.flatnonzero(in_bitmap(keep, sigs[:, 0].copy(), LOG2_NODES) & (np.diff(at) > 0)):
                     s, sig = flat[at[i]:at[i + 1]], (int(sigs[i, 0]), int(sigs[i, 1]))
                     if sig in seen:
                         continue
@@ -236,7 +239,7 @@ def _may_link(a: str, b: str, pct: int):
 def _suffix_filter(pairs: DataFrame, parts: DataFrame, pct: int) -> DataFrame:
     """Pairs that can reach the bound: the overlap is at most the sum over hash buckets of the
     smaller count. Sets too large for bucket counts stay in."""
-    p = pairs.join(parts.toDF("a", "na", "ba"), "a").join(parts.toDF("b", "nb", "bb"), "b")
+    p = pairs.join(parts.toDF("a", "na", "ba"), "a", "left").join(parts.toDF("b", "nb", "bb"), "b", "left")
     most = F.expr("aggregate(zip_with(ba, bb, (x, y) -> cast(least(x, y) as long)), 0L, (s, x) -> s + x)")
     return p.where((most >= _reach(F.col("na"), F.col("nb"), pct)) | most.isNull()).select("a", "b")
 
@@ -248,12 +251,14 @@ def _verified(pairs: DataFrame, docs: DataFrame, classes: DataFrame, size: int,
     ones fall out of the join).
     """
     spark = docs.sparkSession
-    ends = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(classes, "node")
-    nodes = spark.sparkContext.broadcast(bitmap_of(ends, "s1", LOG2_BITS))
-    sets = (_set_rows(docs, "text", size, nodes).join(ends, ["s1", "s2"]).groupBy("s1", "s2", "node")
-            .agg(F.first("shingles").alias("s")))
-    sets = cut_lineage(sets.select("node", "s"))
-    both = pairs.join(sets.toDF("a", "sa"), "a").join(sets.toDF("b", "sb"), "b")
+    ends = pairs.select("a", "b", F.explode(F.array(
+        F.struct(F.lit(0).alias("side"), F.col("a").alias("node")),
+        F.struct(F.lit(1).alias("side"), F.col("b").alias("node")))).alias("e")).select("a", "b", "e.*")
+    ends = ends.join(classes, "node").select("a", "b", "side", "s1", "s2")
+    nodes = spark.sparkContext.broadcast(bitmap_of(ends.select("s1").distinct(), "s1", LOG2_NODES))
+    sets = _set_rows(docs, "text", size, nodes).join(ends, ["s1", "s2"])
+    both = sets.groupBy("a", "b").agg(*[F.first(F.when(F.col("side") == k, F.col("shingles")), ignorenulls=True)
+                                        .alias(c) for k, c in enumerate(("sa", "sb"))])
     common = F.size(F.array_intersect("sa", "sb"))
     return both.where(common * 100 >= (F.size("sa") + F.size("sb") - common) * pct).select("a", "b")
 
@@ -270,17 +275,16 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = cut_lineage(classes.select("s1", "s2", F.monotonically_increasing_id().alias("node")))
     members = profiles.join(classes, ["s1", "s2"], "left").select("id", "n", "node")
 
-    shared = (_prefix_rows(docs, "text", size, pct, freq).groupBy("token")
-              .agg(F.min("owner").alias("lo"), F.max("owner").alias("hi"))
-              .where("lo <> hi").select("token"))
-    bitmap = spark.sparkContext.broadcast(bitmap_of(shared, "token", LOG2_BITS))
+    shared = (_prefix_rows(docs, "text", size, pct, freq).groupBy("high")
+              .agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).where("lo <> hi")
+              .select(F.shiftleft(F.col("high").cast("long"), 32).alias("token")))
+    bitmap = spark.sparkContext.broadcast(bitmap_of(shared, "token", LOG2_SHARED))
     raw = cut_lineage(_prefix_rows(docs, "text", size, pct, freq, bitmap).join(classes, ["s1", "s2"])
-                      .select("token", "node", "n", "alone", "pos", "buckets"))
-    rows = raw.groupBy("token", "node").agg(F.min("n").alias("n"), F.min("pos").alias("pos"),
-                                          F.min("alone").alias("alone"))
-    crowd = rows.groupBy("token").agg(F.min("node").alias("lo"), F.max("node").alias("hi")).where("lo <> hi")
-    rows = cut_lineage(rows.join(crowd.select("token"), "token", "left_semi"))
-    parts = raw.groupBy("node").agg(F.min("n").alias("n"), F.first("buckets", ignorenulls=True).alias("buckets"))
+                      .groupBy("s1", "s2", "node", "token")
+                      .agg(F.min("n").alias("n"), F.min("pos").alias("pos"), F.min("alone").alias("alone"),
+                           F.first("buckets", ignorenulls=True).alias("buckets")))
+    rows = raw.select("token", "node", "n", "pos", "alone")
+    parts = raw.where("buckets is not null").select("node", "n", "buckets")
 
     # First links: like sizes (a factor of 1 / t a band) meet the class of their group with the fewest
     # shingles of its own, which the others were most likely made from.
@@ -297,12 +301,14 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     known = connected_components(first)
 
     # Remaining links: within a group, only classes of different components so far.
-    labelled = (rows.drop("band", "alone").join(known, "node", "left")
-                .withColumn("label", F.coalesce("component", "node")).drop("component"))
-    per = labelled.groupBy("token", "label").agg(F.count(F.lit(1)).alias("c"))
-    main = (per.groupBy("token").agg(F.max(F.struct("c", "label")).alias("m"), F.count(F.lit(1)).alias("labels"))
-            .where("labels > 1").select("token", F.col("m.label").alias("main")))
-    mixed = cut_lineage(labelled.join(main, "token"))
+    # The group's main component (the largest of all) need not look at its own members again.
+    sizes = known.join(known.groupBy("component").agg(F.count(F.lit(1)).alias("c")), "component")
+    labelled = (rows.select("token", "node", "n", "pos").join(sizes, "node", "left")
+                .withColumn("label", F.coalesce("component", "node")))
+    main = (labelled.groupBy("token").agg(
+        F.max(F.struct(F.coalesce("c", F.lit(1)).alias("c"), F.col("label").alias("main"))).alias("m"),
+        F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token", "m.main"))
+    mixed = cut_lineage(labelled.select("token", "node", "n", "pos", "label").join(main, "token"))
     x, y = mixed.where("label <> main").alias("x"), mixed.alias("y")
     rest = (x.join(y, F.col("x.token") == F.col("y.token"))
             .where((F.col("x.label") != F.col("y.label"))
