@@ -162,9 +162,10 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
     blocks = max(1, math.ceil(chars / 4 / block_words))          # four characters a word, roughly
     if blocks > 1:
         bench = cut_lineage(bench.withColumn("block", F.pmod(F.xxhash64("t", "item"), F.lit(blocks))))
-    names = [id_col, *keep]
+    outer = [id_col, *keep]
+    names = [f"k{k}" for k in range(len(outer))]                         # kept names may clash with the results'
     span = ArrayType(StructType([StructField("start", IntegerType()), StructField("end", IntegerType())]))
-    rows = docs.select(*names, F.col(text_col).alias("__text"), F.lit(None).cast(span).alias("spans"),
+    rows = docs.select(*[F.col(c).alias(k) for c, k in zip(outer, names)], F.col(text_col).alias("__text"), F.lit(None).cast(span).alias("spans"),
                        F.lit(None).cast(ArrayType(StringType())).alias("items"))
     for k in range(blocks):
         part = bench.where(F.col("block") == k) if blocks > 1 else bench
@@ -173,7 +174,7 @@ def benchmark_hits(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id"
         rows = _one_block(rows, names, spark.sparkContext.broadcast(win), last=k == blocks - 1)
         if k < blocks - 1:
             rows = cut_lineage(rows)
-    return rows
+    return rows.toDF(*outer, "n_words", "spans", "items")
 
 
 def _one_block(rows: DataFrame, names: list[str], shared, last: bool) -> DataFrame:

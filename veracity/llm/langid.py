@@ -200,9 +200,11 @@ def train_language_model(labelled: DataFrame, text_col: str = "text", lang_col:
 
 def predict_language(docs: DataFrame, model: BiGRU | None, text_col: str = "text",
                      keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """``keep`` columns, ``lang_pred`` and ``score`` (the mean probability of that language)."""
+    """``keep`` columns, ``lang_pred`` and ``score`` (the mean probability of that language); a kept
+    column may have one of these names too."""
     shared = docs.sparkSession.sparkContext.broadcast(model)             # a few kilobytes
-    rows = docs.select(*[F.col(c) for c in keep], F.col(text_col).alias("__text"))
+    names = [f"k{k}" for k in range(len(keep))]
+    rows = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, names)], F.col(text_col).alias("text"))
     n0 = len(keep)
 
     def run(batches):
@@ -225,11 +227,11 @@ def predict_language(docs: DataFrame, model: BiGRU | None, text_col: str = "text
                         lang[lo + i], score[lo + i] = net.classes[best], min(1.0, float(mean[i, best]))
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(k) for k in range(n0)), pa.array(lang, pa.string()), pa.array(score, pa.float64())],
-                [*keep, "lang_pred", "score"])
+                [*names, "lang_pred", "score"])
 
     schema = StructType([*(rows.schema[k] for k in range(n0)), StructField("lang_pred", StringType()),
                          StructField("score", DoubleType())])
-    return map_arrow(rows, run, schema)
+    return map_arrow(rows, run, schema).toDF(*keep, "lang_pred", "score")
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -243,4 +245,7 @@ def identify_languages(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     ``held_out``, ``lang_pred``, ``score``."""
     model = train_language_model(docs.where(~held_out(id_col)), text_col, lang_col, **training)
     out = predict_language(docs, model, text_col, (id_col, *keep))
-    return out.withColumn("held_out", held_out(id_col)).select(id_col, *keep, "held_out", "lang_pred", "score")
+    out = out.toDF(*[f"c{k}" for k in range(len(out.columns))])          # kept names may clash with the results'
+    cols = out.columns
+    return out.select(*[F.col(c).alias(n) for c, n in zip(cols, (id_col, *keep))], held_out("c0").alias("held_out"),
+                      F.col(cols[-2]).alias("lang_pred"), F.col(cols[-1]).alias("score"))

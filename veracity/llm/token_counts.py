@@ -48,9 +48,10 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
             flush()
             yield pa.RecordBatch.from_arrays(
                 [*(b.column(k) for k in range(len(keep))), pa.array(n_bytes, pa.int64()), pa.array(n_tokens, pa.int64())],
-                [*keep, "n_bytes", "n_tokens"])
+                [*names, "n_bytes", "n_tokens"])
 
-    rows = docs.select(*keep, text_col)
+    names = [f"k{k}" for k in range(len(keep))]                          # kept names may clash with the results'
+    rows = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, names)], F.col(text_col).alias("text"))
     schema = StructType([*(rows.schema[k] for k in range(len(keep))),
                          StructField("n_bytes", LongType()), StructField("n_tokens", LongType())])
-    return map_arrow(rows, run, schema)
+    return map_arrow(rows, run, schema).toDF(*keep, "n_bytes", "n_tokens")
