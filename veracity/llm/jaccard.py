@@ -13,8 +13,9 @@ How it runs:
    shingles in a table of fixed size (hashed counters over all documents: an upper bound of the
    frequency, used for the order only, so a collision costs time and never a link).
 2. Documents with one signature are one class and take part once, however many copies there are.
-3. Prefix shingles of the classes are counted; those of one class join nothing. A bitmap of
-   bounded size, built from the shingles that two classes share, keeps the rest from being shuffled.
+3. A prefix shingle of one class joins nothing. A bitmap of bounded size tells which are shared:
+   tasks sort the places of their shingles in it and send the gaps, ranges of places are counted
+   in bounded arrays. Its errors let rows through and lose none.
 4. First links: in each group of classes with a common prefix shingle and like sizes, every class
    meets the one with the fewest shingles of its own. A group of n near copies costs n pairs, not n squared.
 5. Remaining links: all classes of one group that step 4 has not connected, and only those, meet
@@ -33,7 +34,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, IntegerType, LongType, StructField, StructType
@@ -47,6 +47,8 @@ from veracity.llm.components import connected_components
 LOG2_COUNTERS = 18
 LOG2_SHARED = 27
 LOG2_NODES = 24
+_LOG2_BLOCKS = 6
+_BLOCKS = 1 << _LOG2_BLOCKS
 _BLOCK = 4096
 #: Buckets of the suffix filter: a pair's overlap is at most the sum of the smaller bucket counts.
 _BUCKETS = 64
@@ -127,17 +129,15 @@ def shingle_profiles(docs: DataFrame, text_col: str, size: int) -> tuple[DataFra
 
 
 def _prefix_rows(docs: DataFrame, text_col: str, size: int, pct: int, freq, only=None) -> DataFrame:
-    """The rarest-first prefix of each set; a task emits a set once.
+    """The rarest-first prefix of each set, (s1, s2, n, alone, buckets, tokens, places) of the shingles
+    that may be in the bitmap ``only``; a task emits a set once. ``alone`` counts the set's other
+    prefix shingles, and ``buckets`` serves the suffix filter (null beyond a million).
 
-    Without ``only``: rows (high, owner) of a shingle's high 32 bits, which are more than the bitmap
-    of shared ones looks at, and one of the class's rows. With it (a
-    bitmap of shingles): rows (token, s1, s2, n, alone, pos, buckets) whose shingle may be in the
-    bitmap; ``alone`` counts the set's prefix shingles that are not, and a set's first row has its
-    bucket counts for the suffix filter (none beyond a million).
+    Without ``only``: rows (block, wide, gaps) for ``_shared_bitmap``.
     """
     def prefixes(batches):
-        """Steps of (signature, owner, n, tokens, positions, set) of the sets not seen before."""
-        counts, seen, row = freq.value, set(), TaskContext.get().partitionId() << 33
+        """Steps of (signature, n, tokens, positions, set) of the sets not seen before."""
+        counts, seen = freq.value, set()
         for b in batches:
             for _, flat, at in _sets(b, 0, size):
                 sigs, rank, out = _signatures(flat, at), counts[_bucket(flat)], []
@@ -149,45 +149,78 @@ def _prefix_rows(docs: DataFrame, text_col: str, size: int, pct: int, freq, only
                     if len(seen) >= 500_000:         # bounded; a class emitted twice is merged later
                         seen.clear()
                     seen.add(sig)
-                    row += 1
                     k = n + (-pct * n // 100) + 1 + n // _STEP        # n - ceil(t n) + l
                     near = np.flatnonzero(f <= np.partition(f, k - 1)[k - 1]) if k < n else np.arange(n)
-                    out.append((sig, row, n, s[near[np.lexsort((s[near], f[near]))][:k]], np.arange(k), s))
+                    out.append((sig, n, s[near[np.lexsort((s[near], f[near]))][:k]], np.arange(k), s))
                 if out:
                     yield out
 
-    def owners(batches):
+    def gaps(batches):
+        held, size_ = [], 0
+
+        def flush():
+            at = np.sort(np.concatenate(held)) if held else np.empty(0, np.uint32)
+            edges = np.searchsorted(at, np.arange(_BLOCKS + 1, dtype=np.uint64) << np.uint64(LOG2_SHARED - _LOG2_BLOCKS))
+            part = [(k, np.diff(at[a:b], prepend=np.uint32(k << (LOG2_SHARED - _LOG2_BLOCKS))))
+                    for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if a < b]
+            wide = [bool(d.max() > 0xFFFF) for _, d in part]
+            return pa.RecordBatch.from_arrays(
+                [pa.array([k for k, _ in part], pa.int32()), pa.array(wide, pa.bool_()),
+                 pa.array([(d if w else d.astype(np.uint16)).tobytes() for w, (_, d) in zip(wide, part)], pa.binary())],
+                ["block", "wide", "gaps"])
+
         for out in prefixes(batches):
-            yield pa.RecordBatch.from_arrays(
-                [pa.array((np.concatenate([x[3] for x in out]) >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                 pa.array(np.repeat([x[1] for x in out], [len(x[3]) for x in out]))], ["high", "owner"])
+            held += [(x[2] >> np.uint64(64 - LOG2_SHARED)).astype(np.uint32) for x in out]
+            size_ += sum(len(x[2]) for x in out)
+            if size_ > 4_000_000:
+                yield flush()
+                held, size_ = [], 0
+        yield flush()
 
     def rows(batches):
         keep = only.value
         for out in prefixes(batches):
             part = []
-            for sig, _, n, t, p, s in out:
+            for sig, n, t, p, s in out:
                 hit = in_bitmap(keep, t, LOG2_SHARED)
                 if hit.any():
                     count = np.bincount((s >> np.uint64(58)).astype(np.int64), minlength=_BUCKETS)
                     small = n <= 1_000_000 and count.max() < 32768
-                    part.append((sig, n, t[hit], p[hit], [count.astype(np.int16) if small else None],
-                                 len(t) - int(hit.sum())))
+                    part.append((sig, n, len(t) - int(hit.sum()), count.astype(np.int16) if small else None,
+                                 t[hit].view(np.int64), p[hit].astype(np.int32)))
             if part:
-                size_of = [len(x[2]) for x in part]
+                sig = np.array([x[0] for x in part], np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([x[2] for x in part]).view(np.int64)),
-                     *(pa.array(np.repeat(np.array(v, np.int64), size_of))
-                       for v in ([x[0][0] for x in part], [x[0][1] for x in part], [x[1] for x in part],
-                                 [x[5] for x in part])),
-                     pa.array(np.concatenate([x[3] for x in part])),
-                     pa.array([v for x in part for v in x[4] + [None] * (len(x[2]) - 1)], pa.list_(pa.int16()))],
-                    ["token", "s1", "s2", "n", "alone", "pos", "buckets"])
+                    [pa.array(sig[:, 0].copy()), pa.array(sig[:, 1].copy()), pa.array([x[1] for x in part], pa.int64()),
+                     pa.array([x[2] for x in part], pa.int64()), pa.array([x[3] for x in part], pa.list_(pa.int16())),
+                     pa.array([x[4] for x in part], pa.list_(pa.int64())), pa.array([x[5] for x in part], pa.list_(pa.int32()))],
+                    ["s1", "s2", "n", "alone", "buckets", "tokens", "places"])
 
     if only is None:
-        return map_arrow(docs.select(text_col), owners, "high int, owner long")
-    return map_arrow(docs.select(text_col), rows,
-                     "token long, s1 long, s2 long, n long, alone long, pos long, buckets array<short>")
+        return map_arrow(docs.select(text_col), gaps, "block int, wide boolean, gaps binary")
+    return map_arrow(docs.select(text_col), rows, "s1 long, s2 long, n long, alone long, buckets array<short>, "
+                     "tokens array<long>, places array<int>")
+
+
+def _shared_bitmap(gaps: DataFrame) -> np.ndarray:
+    """Places of the bitmap that two prefix shingles meet in: ``2**LOG2_SHARED`` bits."""
+    size = 1 << (LOG2_SHARED - _LOG2_BLOCKS)
+
+    def count(batches):
+        seen: dict[int, np.ndarray] = {}
+        for b in batches:
+            for k, wide, g in zip(*(b.column(c).to_pylist() for c in range(3))):
+                at = np.cumsum(np.frombuffer(g, np.uint32 if wide else np.uint16), dtype=np.int64)
+                n = np.bincount(at, minlength=size)
+                seen[k] = np.minimum(seen.get(k, 0) + n, 2).astype(np.uint8)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(seen), pa.int32()),
+             pa.array([np.packbits(v >= 2, bitorder="little").tobytes() for v in seen.values()], pa.binary())], ["block", "bits"])
+
+    out = np.zeros(1 << (LOG2_SHARED - 3), np.uint8)
+    for r in map_arrow(gaps.repartition(_BLOCKS, "block"), count, "block int, bits binary").collect():
+        out[r["block"] * size // 8:(r["block"] + 1) * size // 8] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    return out
 
 
 def _set_rows(docs: DataFrame, text_col: str, size: int, nodes) -> DataFrame:
@@ -195,9 +228,8 @@ def _set_rows(docs: DataFrame, text_col: str, size: int, nodes) -> DataFrame:
     def run(batches):
         keep, seen = nodes.value, set()
         for b in batches:
-            rows = []
             for _, flat, at in _sets(b, 0, size):
-                sigs = _signatures(flat, at)
+                sigs, rows = _signatures(flat, at), []
                 for i in np.flatnonzero(in_bitmap(keep, sigs[:, 0].copy(), LOG2_NODES) & (np.diff(at) > 0)):
                     s, sig = flat[at[i]:at[i + 1]], (int(sigs[i, 0]), int(sigs[i, 1]))
                     if sig in seen:
@@ -206,10 +238,10 @@ def _set_rows(docs: DataFrame, text_col: str, size: int, nodes) -> DataFrame:
                         seen.clear()
                     seen.add(sig)
                     rows.append((sig, s.view(np.int64)))
-            if rows:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([r[0][0] for r in rows], pa.int64()), pa.array([r[0][1] for r in rows], pa.int64()),
-                     pa.array([r[1] for r in rows], pa.list_(pa.int64()))], ["s1", "s2", "shingles"])
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array([r[0][0] for r in rows], pa.int64()), pa.array([r[0][1] for r in rows], pa.int64()),
+                         pa.array([r[1] for r in rows], pa.list_(pa.int64()))], ["s1", "s2", "shingles"])
     return map_arrow(docs.select(text_col), run, "s1 long, s2 long, shingles array<long>")
 
 
@@ -275,16 +307,18 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     classes = cut_lineage(classes.select("s1", "s2", F.monotonically_increasing_id().alias("node")))
     members = profiles.join(classes, ["s1", "s2"], "left").select("id", "n", "node")
 
-    shared = (_prefix_rows(docs, "text", size, pct, freq).groupBy("high")
-              .agg(F.min("owner").alias("lo"), F.max("owner").alias("hi")).where("lo <> hi")
-              .select(F.shiftleft(F.col("high").cast("long"), 32).alias("token")))
-    bitmap = spark.sparkContext.broadcast(bitmap_of(shared, "token", LOG2_SHARED))
-    raw = cut_lineage(_prefix_rows(docs, "text", size, pct, freq, bitmap).join(classes, ["s1", "s2"])
-                      .groupBy("s1", "s2", "node", "token")
-                      .agg(F.min("n").alias("n"), F.min("pos").alias("pos"), F.min("alone").alias("alone"),
-                           F.first("buckets", ignorenulls=True).alias("buckets")))
-    rows = raw.select("token", "node", "n", "pos", "alone")
-    parts = raw.where("buckets is not null").select("node", "n", "buckets")
+    bitmap = spark.sparkContext.broadcast(_shared_bitmap(_prefix_rows(docs, "text", size, pct, freq)))
+    one = _prefix_rows(docs, "text", size, pct, freq, bitmap).join(classes, ["s1", "s2"])
+    raw = cut_lineage(one.groupBy("s1", "s2", "node").agg(
+        *[F.first(c).alias(c) for c in ("n", "alone", "buckets", "tokens", "places")]).drop("s1", "s2"))
+    parts = raw.select("node", "n", "buckets")
+
+    def exploded(sets: DataFrame) -> DataFrame:
+        own = [c for c in sets.columns if c not in ("tokens", "places", "buckets")]
+        e = F.explode_outer(F.arrays_zip("tokens", "places")).alias("e")
+        return sets.select(*own, e).select(*own, F.col("e.tokens").alias("token"), F.col("e.places").cast("long").alias("pos"))
+
+    rows = exploded(raw)
 
     # First links: like sizes (a factor of 1 / t a band) meet the class of their group with the fewest
     # shingles of its own, which the others were most likely made from.
@@ -303,8 +337,8 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     # Remaining links: within a group, only classes of different components so far.
     # The group's main component (the largest of all) need not look at its own members again.
     sizes = known.join(known.groupBy("component").agg(F.count(F.lit(1)).alias("c")), "component")
-    labelled = (rows.select("token", "node", "n", "pos").join(sizes, "node", "left")
-                .withColumn("label", F.coalesce("component", "node")))
+    labelled = exploded(raw.drop("alone", "buckets").join(sizes, "node", "left")
+                        .withColumn("label", F.coalesce("component", "node")).drop("component"))
     main = (labelled.groupBy("token").agg(
         F.max(F.struct(F.coalesce("c", F.lit(1)).alias("c"), F.col("label").alias("main"))).alias("m"),
         F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("token", "m.main"))
