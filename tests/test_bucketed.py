@@ -16,7 +16,7 @@ def test_bucketed_reviews_need_no_shuffle(spark, tmp_dir):
     src = with_review_defaults(reviews_from_tables(spark, SF_SMALL))
     save_bucketed(src, "reviews_by_reviewer_test", buckets=4, path=os.path.join(tmp_dir, "b"))
     t = spark.table("reviews_by_reviewer_test")
-    scored = fraud_scores(t, clean_keys=True, max_broadcast_rows=0)
+    scored = fraud_scores(t, clean_keys=True)
     plan = scored._jdf.queryExecution().executedPlan().toString()
     assert len(re.findall(r"Exchange hashpartitioning", plan)) == 0, plan
     base = fraud_scores(reviews_from_tables(spark, SF_SMALL)).select("review_id", "reviewer_fraud_score")

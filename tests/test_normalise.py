@@ -19,6 +19,7 @@ def test_cleaning_and_defaults(spark):
             ("5", "   ", "3", "1", None, "bob", "B2"),
             ("6", "kept", None, "1", None, "bob", "B2"),
             ("7", "\tTerrible! Worst!\n", "4.5", "0", "2024-03-05", "amy", "B3"),
+            ("9", "no number", "NaN", "0", None, "amy", "B3"),
             ("8", "Great!", "5", "0", None, "amy", "B3")]
     df = spark.createDataFrame(rows, "`row` string, `reviews.text` string, `reviews.rating` string, "
                                      "`reviews.numHelpful` string, `reviews.date` string, "
@@ -28,7 +29,7 @@ def test_cleaning_and_defaults(spark):
     a = out["good product overall"]
     assert (a.rating, a.helpful_votes, a.verified_purchase) == (3.0, 2, True)
     assert a.date == "Reviewed in the United States on January 01, 2024"
-    assert a.reviewer_id == "u" * 20 and a.reviewer_name == "u" * 30
+    assert a.reviewer_id == "u" * 30 and a.reviewer_name == "u" * 30
     b = out["fine"]
     assert (b.rating, b.helpful_votes, b.reviewer_id, b.reviewer_name, b.product_asin) == \
         (1.0, 0, "UNKNOWN", "Anonymous", "UNKNOWN")
@@ -39,7 +40,7 @@ def test_cleaning_and_defaults(spark):
     assert t.is_fake_ground_truth == 0 and t.rating == 4.5
     # short + extreme (35) and generic five-star (15) reach the threshold of 50
     assert out["Great!"].is_fake_ground_truth == 1
-    assert len(a.review_id) == 16 and a.review_id == a.review_id.upper()
+    assert len(a.review_id) == 32 and a.review_id == a.review_id.upper()
 
 
 def test_sample_is_reproducible(spark):

@@ -81,7 +81,7 @@ def exclamation_count(col: Column) -> Column:
 
 
 def uppercase_count(col: Column) -> Column:
-    return count_matches(col, r"\p{Lu}")
+    return count_matches(col, r"\p{IsUppercase}")
 
 
 def caps_ratio(col: Column) -> Column:

@@ -85,7 +85,7 @@ def daily_review_bursts(sentiments: DataFrame, min_count: int = 11, day: str = "
         mean6(F.col("rating")).alias("daily_avg_rating"),
         F.count_if(F.col("spam_flag")).alias("daily_spam_count"))
         .filter(F.col("daily_count") >= min_count)
-        .orderBy(F.col("daily_count").desc(), "product_asin"))
+        .orderBy(F.col("daily_count").desc(), "product_asin", F.col("review_date" if day == "raw" else "date_clean")))
 
 
 def hourly_bursts(scored: DataFrame, window_hours: int = 1, threshold: int = 5,
@@ -95,9 +95,12 @@ def hourly_bursts(scored: DataFrame, window_hours: int = 1, threshold: int = 5,
     Buckets are tumbling windows of ``window_hours`` hours over ``scraped_at``
     (1 hour: the calendar hour), labelled 'yyyy-MM-dd-HH' by their start.
     """
-    # Windows on the naive event time itself, so buckets do not depend on the
-    # session time zone.
-    bucket = F.window(F.col("scraped_at"), f"{int(window_hours)} hours").start
+    # Buckets of the naive event time, so they do not depend on the session time
+    # zone; reviews without a time are a bucket of their own (a window would drop them).
+    hours = F.expr("floor(timestampdiff(MINUTE, TIMESTAMP_NTZ'1970-01-01 00:00:00', "
+                   "cast(scraped_at as timestamp_ntz)) / 60)")
+    start = (F.floor(hours / int(window_hours)) * int(window_hours)).cast("int")
+    bucket = F.timestamp_add("HOUR", start, F.expr("TIMESTAMP_NTZ'1970-01-01 00:00:00'"))
     fake = F.coalesce(F.col(score_col) >= fake_at, F.lit(False))
     g = (scored.select(F.coalesce(F.col("product_asin"), F.lit(lx.UNKNOWN_ID)).alias("product_asin"),
                        bucket.alias("bucket"), "rating", fake.alias("is_fake"))

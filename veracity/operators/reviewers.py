@@ -17,7 +17,6 @@ from veracity.functions import dates as dt
 from veracity.functions import lexicons as lx
 from veracity.functions.numeric import mean6, mean_rounded, ratio6, scaled_round, tenths_threshold
 from veracity.operators.signals import review_signals, with_review_defaults
-from veracity.plans.joins import DEFAULT_MAX_BROADCAST_ROWS, attach_summary
 
 
 def reviewer_days(df: DataFrame, clean_keys: bool = False) -> DataFrame:
@@ -112,23 +111,23 @@ def score_tenths(flags_prefix: str = "") -> "F.Column":
 
 
 def fraud_scores(df: DataFrame, threshold: float = 0.5, k: int = 5, hours: int = 24,
-                 spam: str = "scoring", max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
-                 clean_keys: bool = False) -> DataFrame:
+                 spam: str = "scoring", clean_keys: bool = False) -> DataFrame:
     """Processed reviews: signals + reviewer_flags struct + reviewer_fraud_score.
 
     Score = 0.3 all-extreme + 0.3 burst + 0.2 unverified > 0.8 + 0.2 spam,
     capped at 1, kept as integer tenths so it is exact. ``verdict`` is FAKE
     at score >= ``threshold``. Signals are computed before the join, so the
-    text only crosses a shuffle when a later step asks for it; the flag table
-    is broadcast when it has at most ``max_broadcast_rows`` rows (measured).
+    text only crosses a shuffle when a later step asks for it. The flag table is
+    joined plainly: AQE broadcasts it when its measured size allows, and splits
+    a reviewer's skewed partition otherwise. Building the plan runs no job.
     Columns the input already carries (e.g. sentiment signals) pass through.
     On a table bucketed by reviewer_id (``sources.sinks.save_bucketed``)
-    with ``clean_keys=True`` and ``max_broadcast_rows=0``, every step keeps
-    the scan's partitioning and the plan has no shuffle at all.
+    with ``clean_keys=True`` every step keeps the scan's partitioning; a reviewer
+    with a large share of the rows is then one task, so use it for even keys.
     """
     sig = review_signals(df, spam=spam, clean_keys=clean_keys)
     flags = reviewer_flags(sig, k=k, hours=hours, clean_keys=True)
-    joined = attach_summary(sig, flags, "reviewer_id", "left", max_rows=max_broadcast_rows)
+    joined = sig.join(flags, "reviewer_id", "left")
     tenths = score_tenths()
     out = joined.select(
         *[F.col(c) for c in sig.columns],

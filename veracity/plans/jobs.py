@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from veracity.ml import score as sc
 from veracity.ml import train as tr
-from veracity.ml.features import feature_table
+from veracity.ml.features import feature_table, proxy_labels
 from veracity.operators import products as pr
 from veracity.operators import reviewers as rv
 from veracity.operators.signals import lexicon_signals
@@ -82,11 +82,12 @@ def predict_job(spark: SparkSession, model_path: str, input_path: str, target: s
                 trainer: str = "local") -> None:
     """Score processed reviews with a saved model and append them to ``target``."""
     processed = rd.read_review_lines(spark, input_path)
-    df = feature_table(processed) if trainer == "local" else processed
-    keep = processed.select("review_id", "product_asin", "reviewer_id", "scraped_at")
-    scored = sc.score_reviews(df, model_path)
-    cols = [c for c in scored.columns if c not in ("product_asin", "reviewer_id", "scraped_at")]
-    sc.write_scored(scored.select(*cols).join(keep, "review_id", "left"), target, fmt=fmt)
+    # Every column the result needs travels with its row: no join back, so repeated or
+    # missing ids neither multiply nor lose rows. The cluster form derives the features
+    # that the stored reviews lack, as training does.
+    df = (feature_table(processed, carry=("product_asin", "reviewer_id", "scraped_at"))
+          if trainer == "local" else proxy_labels(processed))
+    sc.write_scored(sc.score_reviews(df, model_path), target, fmt=fmt)
 
 
 def main(argv: list[str] | None = None) -> None:

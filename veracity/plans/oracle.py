@@ -350,19 +350,19 @@ p AS (
     coalesce(TRY_CAST(trunc(TRY_CAST("reviews.numHelpful" AS DOUBLE)) AS INTEGER), 0) AS helpful
   FROM kept),
 normalised AS (
-  SELECT upper(substr(sha256(CAST(source_row AS VARCHAR)), 1, 16)) AS review_id,
-    coalesce(substr(asins, 1, 20), 'UNKNOWN') AS product_asin,
-    coalesce(substr("reviews.username", 1, 20), 'UNKNOWN') AS reviewer_id,
+  SELECT upper(substr(sha256(CAST(source_row AS VARCHAR)), 1, 32)) AS review_id,
+    coalesce(asins, 'UNKNOWN') AS product_asin,
+    coalesce("reviews.username", 'UNKNOWN') AS reviewer_id,
     coalesce("reviews.username", 'Anonymous') AS reviewer_name,
     least(5.0, greatest(1.0, coalesce(rnum, 3.0))) AS rating,
-    coalesce(substr("reviews.title", 1, 100), '') AS title,
+    coalesce("reviews.title", '') AS title,
     trim("reviews.text", {WS_LIT}) AS body,
     CASE WHEN ts IS NOT NULL THEN 'Reviewed in the United States on ' || strftime(ts, '%B %d, %Y')
          ELSE 'Reviewed in the United States on January 01, 2024' END AS date,
     helpful > 0 AS verified_purchase, helpful AS helpful_votes,
-    coalesce(substr(name, 1, 100), '') AS product_name,
-    coalesce(substr(brand, 1, 50), '') AS brand,
-    coalesce(substr("primaryCategories", 1, 50), '') AS category,
+    coalesce(name, '') AS product_name,
+    coalesce(brand, '') AS brand,
+    coalesce("primaryCategories", '') AS category,
     CAST({label_points_sql('"reviews.text"', 'coalesce(rnum, 3.0)')} >= 50 AS INTEGER) AS is_fake_ground_truth
   FROM p)"""
 

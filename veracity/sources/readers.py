@@ -10,7 +10,8 @@ import warnings
 from collections.abc import Iterable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 RAW_REVIEW = T.StructType([
@@ -100,8 +101,48 @@ def read_review_array(spark: SparkSession, path: str, schema: T.StructType = RAW
 
 
 def read_review_lines(spark: SparkSession, path: str, schema: T.StructType = PROCESSED_REVIEW) -> DataFrame:
-    """JSON Lines with a declared schema; blank and malformed lines are dropped."""
-    return spark.read.schema(schema).option("mode", "DROPMALFORMED").json(path)
+    """JSON Lines in a declared schema; blank and broken lines are left out (see ``read_broken_lines``).
+
+    Values are read as text and then cast, so a value of another JSON type ("5.0", 3.0 for an
+    integer) is kept wherever it can be converted, and is null (not a lost row) where it cannot.
+    """
+    raw = _lines_as_text(spark, path, schema)
+    first = schema.fields[0].name
+    # The second condition keeps a data column in the filter: Spark must parse to judge a line.
+    kept = raw.where(F.col(BROKEN).isNull() & (F.col(first).isNull() | F.col(first).isNotNull()))
+    return kept.select(*[_declared(F.col(f.name), f.dataType).alias(f.name) for f in schema.fields])
+
+
+def read_broken_lines(spark: SparkSession, path: str, schema: T.StructType = PROCESSED_REVIEW) -> DataFrame:
+    """The lines that are no JSON object, as they stand: one column ``line``."""
+    raw = _lines_as_text(spark, path, schema)
+    first = schema.fields[0].name
+    return raw.where(F.col(BROKEN).isNotNull() & (F.col(first).isNull() | F.col(first).isNotNull())).select(
+        F.col(BROKEN).alias("line"))
+
+
+BROKEN = "_broken_line"
+
+
+def _textual(kind: T.DataType) -> T.DataType:
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _textual(f.dataType)) for f in kind.fields])
+    return T.StringType()
+
+
+def _declared(value: Column, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StructType):
+        inner = F.struct(*[_declared(value[f.name], f.dataType).alias(f.name) for f in kind.fields])
+        return F.when(value.isNotNull(), inner)
+    if isinstance(kind, T.IntegerType):
+        return value.try_cast("double").try_cast("int")
+    return value if isinstance(kind, T.StringType) else value.try_cast(kind)
+
+
+def _lines_as_text(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    text = T.StructType([*_textual(schema).fields, T.StructField(BROKEN, T.StringType())])
+    return (spark.read.schema(text).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", BROKEN).json(path))
 
 
 def read_declared_table(spark: SparkSession, path: str, view: str | None = "raw_reviews") -> DataFrame:
