@@ -14,8 +14,8 @@ How it runs:
    frequency, used for the order only, so a collision costs time and never a link).
 2. Documents with one signature are one class and take part once, however many copies there are.
 3. A prefix shingle of one class joins nothing. A bitmap of bounded size tells which are shared:
-   tasks sort the places of their shingles in it and send the gaps, ranges of places are counted
-   in bounded arrays. Its errors let rows through and lose none.
+   tasks sort the high 32 bits of their shingles and send the gaps, and what occurs twice is found
+   range by range in arrays of bounded size. Its errors let rows through and lose none.
 4. First links: in each group of classes with a common prefix shingle and like sizes, every class
    meets the one with the fewest shingles of its own. A group of n near copies costs n pairs, not n squared.
 5. Remaining links: all classes of one group that step 4 has not connected, and only those, meet
@@ -47,8 +47,9 @@ from veracity.llm.components import connected_components
 LOG2_COUNTERS = 18
 LOG2_SHARED = 27
 LOG2_NODES = 24
-_LOG2_BLOCKS = 6
-_BLOCKS = 1 << _LOG2_BLOCKS
+#: Shared shingles are found by their high 32 bits, in so many ranges.
+_LOG2_RANGES = 10
+_LOG2_RANGE = 32 - _LOG2_RANGES
 _BLOCK = 4096
 #: Buckets of the suffix filter: a pair's overlap is at most the sum of the smaller bucket counts.
 _BUCKETS = 64
@@ -133,7 +134,7 @@ def _prefix_rows(docs: DataFrame, text_col: str, size: int, pct: int, freq, only
     that may be in the bitmap ``only``; a task emits a set once. ``alone`` counts the set's other
     prefix shingles, and ``buckets`` serves the suffix filter (null beyond a million).
 
-    Without ``only``: rows (block, wide, gaps) for ``_shared_bitmap``.
+    Without ``only``: rows (part, wide, gaps) for ``_shared_bitmap``.
     """
     def prefixes(batches):
         """Steps of (signature, n, tokens, positions, set) of the sets not seen before."""
@@ -160,17 +161,18 @@ def _prefix_rows(docs: DataFrame, text_col: str, size: int, pct: int, freq, only
 
         def flush():
             at = np.sort(np.concatenate(held)) if held else np.empty(0, np.uint32)
-            edges = np.searchsorted(at, np.arange(_BLOCKS + 1, dtype=np.uint64) << np.uint64(LOG2_SHARED - _LOG2_BLOCKS))
-            part = [(k, np.diff(at[a:b], prepend=np.uint32(k << (LOG2_SHARED - _LOG2_BLOCKS))))
+            starts = np.arange((1 << _LOG2_RANGES) + 1, dtype=np.uint64) << np.uint64(_LOG2_RANGE)
+            edges = np.searchsorted(at, starts)
+            part = [(k, np.diff(at[a:b], prepend=np.uint32(k << _LOG2_RANGE)))
                     for k, (a, b) in enumerate(zip(edges[:-1], edges[1:])) if a < b]
             wide = [bool(d.max() > 0xFFFF) for _, d in part]
             return pa.RecordBatch.from_arrays(
                 [pa.array([k for k, _ in part], pa.int32()), pa.array(wide, pa.bool_()),
                  pa.array([(d if w else d.astype(np.uint16)).tobytes() for w, (_, d) in zip(wide, part)], pa.binary())],
-                ["block", "wide", "gaps"])
+                ["part", "wide", "gaps"])
 
         for out in prefixes(batches):
-            held += [(x[2] >> np.uint64(64 - LOG2_SHARED)).astype(np.uint32) for x in out]
+            held += [(x[2] >> np.uint64(32)).astype(np.uint32) for x in out]
             size_ += sum(len(x[2]) for x in out)
             if size_ > 4_000_000:
                 yield flush()
@@ -197,29 +199,44 @@ def _prefix_rows(docs: DataFrame, text_col: str, size: int, pct: int, freq, only
                     ["s1", "s2", "n", "alone", "buckets", "tokens", "places"])
 
     if only is None:
-        return map_arrow(docs.select(text_col), gaps, "block int, wide boolean, gaps binary")
+        return map_arrow(docs.select(text_col), gaps, "part int, wide boolean, gaps binary")
     return map_arrow(docs.select(text_col), rows, "s1 long, s2 long, n long, alone long, buckets array<short>, "
                      "tokens array<long>, places array<int>")
 
 
 def _shared_bitmap(gaps: DataFrame) -> np.ndarray:
-    """Places of the bitmap that two prefix shingles meet in: ``2**LOG2_SHARED`` bits."""
-    size = 1 << (LOG2_SHARED - _LOG2_BLOCKS)
+    """The bitmap (``2**LOG2_SHARED`` bits) of prefix shingles that occur more than once."""
+    shift = np.int64(32 - LOG2_SHARED)
 
-    def count(batches):
-        seen: dict[int, np.ndarray] = {}
-        for b in batches:
+    def shared(batches):
+        part, once, twice = None, np.zeros(1 << _LOG2_RANGE, bool), np.zeros(1 << _LOG2_RANGE, bool)
+
+        def done():
+            bits = np.zeros(1 << (_LOG2_RANGE - int(shift)), bool)
+            bits[np.flatnonzero(twice) >> shift] = True
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part], pa.int32()), pa.array([np.packbits(bits, bitorder="little").tobytes()], pa.binary())],
+                ["part", "bits"])
+
+        for b in batches:                              # sorted by part: one range in memory at a time
             for k, wide, g in zip(*(b.column(c).to_pylist() for c in range(3))):
+                if k != part:
+                    if part is not None:
+                        yield done()
+                    part = k
+                    once[:], twice[:] = False, False
                 at = np.cumsum(np.frombuffer(g, np.uint32 if wide else np.uint16), dtype=np.int64)
-                n = np.bincount(at, minlength=size)
-                seen[k] = np.minimum(seen.get(k, 0) + n, 2).astype(np.uint8)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(list(seen), pa.int32()),
-             pa.array([np.packbits(v >= 2, bitorder="little").tobytes() for v in seen.values()], pa.binary())], ["block", "bits"])
+                twice[at[once[at]]] = True
+                twice[at[1:][at[1:] == at[:-1]]] = True
+                once[at] = True
+        if part is not None:
+            yield done()
 
     out = np.zeros(1 << (LOG2_SHARED - 3), np.uint8)
-    for r in map_arrow(gaps.repartition(_BLOCKS, "block"), count, "block int, bits binary").collect():
-        out[r["block"] * size // 8:(r["block"] + 1) * size // 8] = np.frombuffer(bytes(r["bits"]), np.uint8)
+    size = 1 << (_LOG2_RANGE - int(shift) - 3)
+    dealt = gaps.repartition(64, "part").sortWithinPartitions("part")
+    for r in map_arrow(dealt, shared, "part int, bits binary").collect():
+        out[r["part"] * size:(r["part"] + 1) * size] = np.frombuffer(bytes(r["bits"]), np.uint8)
     return out
 
 
