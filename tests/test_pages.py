@@ -29,6 +29,13 @@ def test_review_layout(spark):
     assert (b.reviewer_id, b.rating, b.helpful_votes, b.verified_purchase, b.title) == ("UNKNOWN", 0.0, 0, False, "")
 
 
+def test_first_text_node_and_entities(spark):
+    page = PAGE.replace("<span> Solid build. </span>", "<span>Good &amp; cheap<br>second line</span>")
+    pages = spark.createDataFrame([(1, "u", page)], "page_id long, url string, html string")
+    rows = {r.review_id: r for r in extract_page_records(pages, "review").collect()}
+    assert rows["R1ABC"].body == "Good & cheap" and rows["R1ABC"].scraped_at is not None
+
+
 def test_custom_rules(spark):
     pages = spark.createDataFrame([(1, "u", "<li><b>a</b> 1</li><li><b>b</b> 2</li>")],
                                   "page_id long, url string, html string")

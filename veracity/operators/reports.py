@@ -6,10 +6,10 @@ keep a ``limit``; every ordering ends in a key column so ties are stable.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from veracity.functions.numeric import mean_rounded, round6, scaled_round, tenths_threshold
+from veracity.functions.numeric import round6, scaled_round, tenths_threshold
 from veracity.operators.products import hourly_bursts, rating_deviation
 from veracity.operators.reviewers import reviewer_frequency
 
@@ -31,14 +31,22 @@ def overall_summary(processed: DataFrame, threshold: float = 0.5) -> DataFrame:
 
 def rating_distribution(labelled: DataFrame) -> DataFrame:
     """Reviews per whole star, with the overall mean rating and label counts."""
-    per_star = (labelled.groupBy(F.floor("rating").cast("int").alias("star"))
-                .agg(F.count(F.lit(1)).alias("review_count")))
-    overall = labelled.agg(
-        mean_rounded(F.col("rating"), 2).alias("overall_avg_rating"),
-        F.count_if(F.col("is_fake_ground_truth") == 1).alias("fake_labels"),
-        F.count_if(F.col("is_fake_ground_truth") == 0).alias("genuine_labels"))
-    # ``overall`` is one row: a size-bounded broadcast.
-    return per_star.crossJoin(F.broadcast(overall)).orderBy(F.col("star").desc())
+    # One pass over the reviews; the overall figures are sums over the few star rows.
+    per_star = labelled.groupBy(F.floor("rating").cast("int").alias("star")).agg(
+        F.count(F.lit(1)).alias("review_count"), F.sum("rating").alias("_sum"), F.count("rating").alias("_n"),
+        F.count_if(F.col("is_fake_ground_truth") == 1).alias("_fake"),
+        F.count_if(F.col("is_fake_ground_truth") == 0).alias("_genuine"))
+    every = Window.partitionBy()
+    return per_star.select(
+        "star", "review_count",
+        scaled_round(F.sum("_sum").over(every), F.sum("_n").over(every), 2).alias("overall_avg_rating"),
+        F.sum("_fake").over(every).alias("fake_labels"),
+        F.sum("_genuine").over(every).alias("genuine_labels")).orderBy(F.col("star").desc())
+
+
+def table_heads(tables: dict[str, DataFrame], n: int = 10) -> dict[str, DataFrame]:
+    """The first ``n`` rows of each summary table, in its own order (what the run prints)."""
+    return {name: df.limit(n) for name, df in tables.items()}
 
 
 def class_balance(df: DataFrame, label_col: str = "label") -> DataFrame:
@@ -105,4 +113,4 @@ def snapshot(scored: DataFrame, k: int = 50, threshold: int = 5,
 
 
 __all__ = ["overall_summary", "rating_distribution", "class_balance", "top_suspicious_reviews",
-           "feature_preview", "snapshot_sections", "snapshot", "round6"]
+           "feature_preview", "table_heads", "snapshot_sections", "snapshot", "round6"]

@@ -164,8 +164,8 @@ def reviewer_frequency(scored: DataFrame, min_reviews: int = 3, threshold: float
     fake count and ratio (score >= ``threshold``; a missing score is not fake).
 
     The original also pushed every review time and product into per-reviewer
-    arrays. Those arrays grow without bound with a hot reviewer, so only their
-    sizes and ends are kept here; the individual times stay in the review table.
+    arrays. Those arrays grow without bound with a hot reviewer, so their sizes
+    and ends are here and their elements are the rows of ``reviewer_activity``.
     """
     fake = F.coalesce(F.col(score_col) >= threshold, F.lit(False))
     g = scored.groupBy("reviewer_id").agg(
@@ -181,6 +181,20 @@ def reviewer_frequency(scored: DataFrame, min_reviews: int = 3, threshold: float
             .orderBy(F.col("fake_ratio").desc(), "reviewer_id"))
 
 
+def reviewer_activity(scored: DataFrame, of: str = "times", min_reviews: int = 3) -> DataFrame:
+    """The review times (``of="times"``: one row a review) or the distinct products
+    (``of="products"``) of the reviewers that ``reviewer_frequency`` lists."""
+    if of not in ("times", "products"):
+        raise ValueError(f"unknown activity {of!r}")
+    many = (scored.groupBy("reviewer_id").agg(F.count(F.lit(1)).alias("n"))
+            .filter(F.col("n") >= min_reviews).select("reviewer_id"))
+    value = (F.col("scraped_at") if of == "times" else
+             F.coalesce(F.col("product_asin"), F.lit(lx.UNKNOWN_ID)).alias("product_asin"))
+    rows = scored.select("reviewer_id", value)
+    rows = rows.distinct() if of == "products" else rows
+    return rows.join(many, "reviewer_id", "left_semi")
+
+
 def reviewer_report(scored: DataFrame, n: int | None = 5) -> DataFrame:
     """Reviewer report: count, avg rating (2 dp), all-extreme, avg score (2 dp), unverified.
 

@@ -197,6 +197,10 @@ FROM sent GROUP BY product_asin""", sentiments_cte("sent", preset))
 
 
 ORACLE["product_fraud_summary"] = _product_summary(True, "hql")
+ORACLE["suspicious_reviewers_head"] = ORACLE["suspicious_reviewers"] + """
+ORDER BY avg_fraud_score DESC, reviewer_id LIMIT 10"""
+ORACLE["product_fraud_summary_head"] = ORACLE["product_fraud_summary"] + """
+ORDER BY spam_percentage DESC, product_asin LIMIT 10"""
 ORACLE["product_fraud_summary_basic"] = _product_summary(False, "word")
 
 ORACLE["daily_review_bursts"] = _scored(f"""
@@ -220,6 +224,12 @@ SELECT reviewer_id, count(*) AS total_reviews, {mean6('rating')} AS avg_rating,
   {sround("count(*) FILTER (WHERE fake_probability >= 0.5)", "count(*)", 6, even=False)} AS fake_ratio
 FROM scored GROUP BY reviewer_id HAVING count(*) >= 3"""
 ORACLE["reviewer_frequency"] = _scored(FREQ_SQL)
+ORACLE["reviewer_times"] = _scored("""
+SELECT reviewer_id, scraped_at FROM scored
+WHERE reviewer_id IN (SELECT reviewer_id FROM scored GROUP BY reviewer_id HAVING count(*) >= 3)""")
+ORACLE["reviewer_products"] = _scored("""
+SELECT DISTINCT reviewer_id, coalesce(product_asin, 'UNKNOWN') AS product_asin FROM scored
+WHERE reviewer_id IN (SELECT reviewer_id FROM scored GROUP BY reviewer_id HAVING count(*) >= 3)""")
 
 HOURLY_SQL = f"""
 SELECT coalesce(product_asin, 'UNKNOWN') AS product_asin,
@@ -483,7 +493,35 @@ FROM ev GROUP BY 1, 2""")
 ORACLE["roc_curve"] = _eval("""
 SELECT score AS threshold, CAST(P - pos_below AS BIGINT) AS tp, CAST(N - neg_below AS BIGINT) AS fp,
   CAST(P - pos_below AS DOUBLE) / NULLIF(P, 0) AS tpr, CAST(N - neg_below AS DOUBLE) / NULLIF(N, 0) AS fpr
-FROM cum, (SELECT sum(pos) AS P, sum(neg) AS N FROM ps) t""")
+FROM cum, (SELECT sum(pos) AS P, sum(neg) AS N FROM ps) t
+UNION ALL
+SELECT CAST('Infinity' AS DOUBLE), 0, 0, 0e0 / NULLIF(P, 0), 0e0 / NULLIF(N, 0)
+FROM (SELECT sum(pos) AS P, sum(neg) AS N FROM ps) t WHERE P IS NOT NULL""")
+
+_CLASS_ROW = """
+SELECT '{name}' AS class, {p} AS p, {r} AS r, {f} AS f, {support} AS support FROM c"""
+
+
+def _ratio(num: str, den: str) -> str:
+    return f"coalesce(CAST({num} AS DOUBLE) / NULLIF(CAST({den} AS DOUBLE), 0e0), 0e0)"
+
+
+def _weighted(m: str) -> str:
+    return _ratio(f"(a.{m} * a.support + b.{m} * b.support)", "n")
+
+
+ORACLE["per_class_report"] = _eval(f"""
+, c AS (SELECT count(*) AS n, count(*) FILTER (WHERE pos AND pred) AS tp, count(*) FILTER (WHERE NOT pos AND pred) AS fp,
+          count(*) FILTER (WHERE NOT pos AND NOT pred) AS tn, count(*) FILTER (WHERE pos AND NOT pred) AS fn FROM ev),
+a AS ({_CLASS_ROW.format(name="0", p=_ratio("tn", "tn + fn"), r=_ratio("tn", "tn + fp"),
+                         f=_ratio("2 * tn", "2 * tn + fn + fp"), support="tn + fp")}),
+b AS ({_CLASS_ROW.format(name="1", p=_ratio("tp", "tp + fp"), r=_ratio("tp", "tp + fn"),
+                         f=_ratio("2 * tp", "2 * tp + fp + fn"), support="tp + fn")}),
+u AS (SELECT * FROM a UNION ALL SELECT * FROM b
+  UNION ALL SELECT 'macro avg', (a.p + b.p) / 2, (a.r + b.r) / 2, (a.f + b.f) / 2, n FROM a, b, c
+  UNION ALL SELECT 'weighted avg', {_weighted("p")}, {_weighted("r")}, {_weighted("f")}, n FROM a, b, c
+  UNION ALL SELECT 'accuracy', {_ratio("tp + tn", "n")}, {_ratio("tp + tn", "n")}, {_ratio("tp + tn", "n")}, n FROM c)
+SELECT class, {_rate("p", "1")} AS precision, {_rate("r", "1")} AS recall, {_rate("f", "1")} AS f1, support FROM u""")
 
 
 # --- stored pages -------------------------------------------------------------

@@ -144,6 +144,26 @@ def q_reviewer_frequency(spark, sf_dir):
     return rv.reviewer_frequency(scored_reviews(spark, sf_dir))
 
 
+@register("reviewer_times")
+def q_reviewer_times(spark, sf_dir):
+    return rv.reviewer_activity(scored_reviews(spark, sf_dir), "times")
+
+
+@register("reviewer_products")
+def q_reviewer_products(spark, sf_dir):
+    return rv.reviewer_activity(scored_reviews(spark, sf_dir), "products")
+
+
+@register("suspicious_reviewers_head")
+def q_suspicious_reviewers_head(spark, sf_dir):
+    return rp.table_heads({"t": q_suspicious_reviewers(spark, sf_dir)}, n=10)["t"]
+
+
+@register("product_fraud_summary_head")
+def q_product_fraud_summary_head(spark, sf_dir):
+    return rp.table_heads({"t": q_product_fraud_summary(spark, sf_dir)}, n=10)["t"]
+
+
 @register("hourly_bursts")
 def q_hourly_bursts(spark, sf_dir):
     return pr.hourly_bursts(scored_reviews(spark, sf_dir), window_hours=1, threshold=5)
@@ -296,6 +316,12 @@ def q_confusion_matrix(spark, sf_dir):
     return ev.confusion_matrix(d.withColumn("prediction", (F.col("score") >= 0.5).cast("int")))
 
 
+@register("per_class_report")
+def q_per_class_report(spark, sf_dir):
+    d = evaluation_input(spark, sf_dir).filter(F.col("score").isNotNull())
+    return ev.per_class_report(d.withColumn("prediction", (F.col("score") >= 0.5).cast("int")))
+
+
 @register("roc_curve")
 def q_roc_curve(spark, sf_dir):
     return ev.roc_curve(evaluation_input(spark, sf_dir))

@@ -32,12 +32,12 @@ ARTICLE_BLOCK = r"(?s)<article[^>]*>(.*?)</article>"
 REVIEW_FIELDS = {
     "review_id": rf"^<div[^>]*\bid={Q}([^\"']*){Q}",
     "reviewer_id": r"/profile/([A-Z0-9]+)",
-    "reviewer_name": rf"(?s)<span[^>]*class={Q}a-profile-name{Q}[^>]*>([^<]*)</span>",
-    "rating_text": rf"(?s)data-hook={Q}review-star-rating{Q}[^>]*>\s*<span[^>]*>([^<]*)</span>",
+    "reviewer_name": rf"(?s)<span[^>]*class={Q}a-profile-name{Q}[^>]*>([^<]*)",
+    "rating_text": rf"(?s)data-hook={Q}review-star-rating{Q}[^>]*>\s*<span[^>]*>([^<]*)",
     "title": rf"(?s)<a[^>]*data-hook={Q}review-title{Q}[^>]*>.*?<span[^>]*>([^<]*)</span>\s*</a>",
-    "body": rf"(?s)<span[^>]*data-hook={Q}review-body{Q}[^>]*>\s*<span[^>]*>([^<]*)</span>",
-    "date": rf"(?s)<span[^>]*data-hook={Q}review-date{Q}[^>]*>([^<]*)</span>",
-    "helpful_text": rf"(?s)<span[^>]*data-hook={Q}helpful-vote-statement{Q}[^>]*>([^<]*)</span>",
+    "body": rf"(?s)<span[^>]*data-hook={Q}review-body{Q}[^>]*>\s*<span[^>]*>([^<]*)",
+    "date": rf"(?s)<span[^>]*data-hook={Q}review-date{Q}[^>]*>([^<]*)",
+    "helpful_text": rf"(?s)<span[^>]*data-hook={Q}helpful-vote-statement{Q}[^>]*>([^<]*)",
 }
 VERIFIED_BADGE = rf"data-hook={Q}avp-badge{Q}"
 ASIN_IN_URL = r"/product-reviews/([A-Z0-9]+)"
@@ -49,13 +49,27 @@ def _ex(col: Column, pattern: str) -> Column:
     return F.regexp_extract(col, pattern, 1)
 
 
+# FIXED VALUES: the named entities of running text; the ampersand's own comes last.
+ENTITIES = {"&nbsp;": " ", "&quot;": '"', "&#34;": '"', "&apos;": "'", "&#39;": "'", "&lt;": "<", "&gt;": ">", "&amp;": "&"}
+
+
+def _decoded(col: Column) -> Column:
+    for entity, text in ENTITIES.items():
+        col = F.replace(col, F.lit(entity), F.lit(text))
+    return F.trim(col)
+
+
 def _clean_text(col: Column) -> Column:
     no_tags = F.regexp_replace(col, r"<[^>]*>", " ")
     return F.trim(F.regexp_replace(no_tags, SPACE_RUN, " "))
 
 
-def extract_review_blocks(pages: DataFrame) -> DataFrame:
-    """Raw-review rows from pages in the review layout (one row per block)."""
+def extract_review_blocks(pages: DataFrame, scraped_at: Column | None = None) -> DataFrame:
+    """Raw-review rows from pages in the review layout (one row per block).
+
+    A field is its element's first text node, entities decoded. ``scraped_at``
+    defaults to the current timestamp.
+    """
     blocks = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(REVIEW_BLOCK), 1))
                           .alias("block_no", "block"))
     b = F.col("block")
@@ -69,13 +83,14 @@ def extract_review_blocks(pages: DataFrame) -> DataFrame:
         F.when(rid != "", rid).alias("review_id"),
         F.when(asin != "", asin).otherwise(F.lit(lx.UNKNOWN_ID)).alias("product_asin"),
         F.when(reviewer != "", reviewer).otherwise(F.lit(lx.UNKNOWN_ID)).alias("reviewer_id"),
-        F.trim(_ex(b, REVIEW_FIELDS["reviewer_name"])).alias("reviewer_name"),
+        _decoded(_ex(b, REVIEW_FIELDS["reviewer_name"])).alias("reviewer_name"),
         F.coalesce(rating_tok.try_cast("double"), F.lit(0.0)).alias("rating"),
-        F.trim(_ex(b, REVIEW_FIELDS["title"])).alias("title"),
-        F.trim(_ex(b, REVIEW_FIELDS["body"])).alias("body"),
-        F.trim(_ex(b, REVIEW_FIELDS["date"])).alias("date"),
+        _decoded(_ex(b, REVIEW_FIELDS["title"])).alias("title"),
+        _decoded(_ex(b, REVIEW_FIELDS["body"])).alias("body"),
+        _decoded(_ex(b, REVIEW_FIELDS["date"])).alias("date"),
         F.regexp_like(b, F.lit(VERIFIED_BADGE)).alias("verified_purchase"),
         F.coalesce(F.when(helpful != "", helpful).try_cast("int"), F.lit(0)).alias("helpful_votes"),
+        (scraped_at if scraped_at is not None else F.current_timestamp()).alias("scraped_at"),
     )
 
 

@@ -45,8 +45,8 @@ def save_as_table(df: DataFrame, name: str, if_exists: str = "replace", path: st
     w.saveAsTable(name)
 
 
-def export_csv(df: DataFrame, path: str, single_file: bool = True) -> None:
-    """CSV with a header. ``single_file`` is meant for small summary tables only."""
+def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
+    """CSV with a header, a file per task; ``single_file`` is for tables that stay small."""
     out = df.coalesce(1) if single_file else df
     out.write.mode("overwrite").option("header", True).csv(path)
 
