@@ -46,7 +46,7 @@ def test_writers(spark, tmp_dir):
     assert spark.read.json(out).count() == 2
     assert replace_table(df, os.path.join(tmp_dir, "t")) == 2
     assert replace_table(df.limit(1), os.path.join(tmp_dir, "t")) == 1
-    export_csv(df, os.path.join(tmp_dir, "c"))
+    export_csv(df, os.path.join(tmp_dir, "c"), single_file=True)
     assert len([f for f in os.listdir(os.path.join(tmp_dir, "c")) if f.endswith(".csv")]) == 1
 
 
