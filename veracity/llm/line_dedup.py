@@ -37,15 +37,17 @@ _ID, _TH, _NO = "__id", "__th", "__no"
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(__id, __th, __no, w, n, hw, h1, h2): each line's words, their hashes, and 128 bits of all."""
+    """(__id, __th, __no, w, n, h1, h2): the words of each line, and their 128-bit hash."""
     # The text's hash and its split stay below the generator, once a document. All generators here
     # are outer ones: for the others Spark infers a filter that works out their input once more.
     rows = docs.select(F.col(id_col).alias(_ID), F.xxhash64(text_col).alias(_TH),
                        F.split(text_col, "\n").alias("lines"))
     rows = rows.select(_ID, _TH, F.posexplode_outer("lines").alias(_NO, "line"))
-    rows = rows.select(_ID, _TH, _NO, F.array_remove(F.split("line", r"[\x20\x09-\x0D]+"), "").alias("w"))
-    rows = rows.select("*", F.size("w").alias("n"), F.transform("w", lambda x: F.xxhash64(x)).alias("hw"))
-    return rows.select("*", F.xxhash64("hw").alias("h1"), F.xxhash64(F.lit(1), "w").alias("h2"))
+    spaced = F.col("line")
+    for white in "\t\x0b\x0c\r":                                # then one plain character splits, no pattern
+        spaced = F.replace(spaced, F.lit(white), F.lit(" "))
+    rows = rows.select(_ID, _TH, _NO, F.array_remove(F.split(spaced, " "), "").alias("w"))
+    return rows.select("*", F.size("w").alias("n"), F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), "w").alias("h2"))
 
 
 def _half_keys() -> Column:
@@ -54,26 +56,30 @@ def _half_keys() -> Column:
     def pair(m: str) -> list[str]:
         first = f"{m} div 2"
         rest = f"({m} - {first})"
-        return [f"xxhash64('p', {m}, slice(hw, 1, cast({first} as int)))",
-                f"xxhash64('s', {m}, slice(hw, cast(n - {rest} + 1 as int), cast({rest} as int)))"]
+        return [f"xxhash64('p', {m}, slice(w, 1, cast({first} as int)))",
+                f"xxhash64('s', {m}, slice(w, cast(n - {rest} + 1 as int), cast({rest} as int)))"]
     return F.expr(f"array({', '.join(pair('n') + pair('(n - 1)'))})")
 
 
-def _screened(lines: DataFrame, min_words: int) -> DataFrame:
-    """One row a distinct line and shared half: (h1, h2, side, c-order columns, w, n)."""
-    # Short lines get no keys (a filter here would be pushed down and split each line once more).
-    keyed = lines.withColumn("keys", F.when(F.col("n") >= min_words, _half_keys()))
-    both = (keyed.select("h1", F.explode_outer("keys").alias("key")).groupBy("key")
+def _keys(min_words: int) -> Column:
+    # Short lines get no keys (a filter instead would be pushed down and split each line once more).
+    return F.when(F.col("n") >= min_words, _half_keys()).alias("keys")
+
+
+def _screened(lines: DataFrame, hashed: DataFrame, min_words: int) -> DataFrame:
+    """One row a line and shared half: (__id, __th, __no, w, n, h1, h2, side)."""
+    both = (hashed.select("h1", F.explode_outer("keys").alias("key")).groupBy("key")
             .agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("key is not null and lo <> hi"))
     at = F.shiftrightunsigned("key", 64 - LOG2_BITS)
     bits = (both.select(at.alias("b")).groupBy(F.shiftright("b", _ROW_BITS).cast("int").alias("row"))
             .agg(F.bitmap_construct_agg(F.col("b").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))).alias("bits")))
     bits = F.broadcast(cut_lineage(bits))                       # at most 2048 rows of 4 kB
-    rows = keyed.select(_ID, _TH, _NO, "w", "hw", "n", "h1", "h2", F.posexplode_outer("keys").alias("side", "key"))
+    rows = lines.select("*", _keys(min_words)).select(
+        _ID, _TH, _NO, "w", "n", "h1", "h2", F.posexplode_outer("keys").alias("side", "key"))
     byte = F.conv(F.hex(F.expr("substring(bits, cast(shiftright(b & 32767, 3) + 1 as int), 1)")), 16, 10).cast("int")
     hit = F.expr("shiftright(byte, cast(b & 7 as int)) & 1") == 1
     return (rows.withColumn("b", at).withColumn("row", F.shiftright("b", _ROW_BITS).cast("int")).join(bits, "row")
-            .withColumn("byte", byte).where(hit).select(_ID, _TH, _NO, "w", "hw", "n", "h1", "h2", "side"))
+            .withColumn("byte", byte).where(hit).select(_ID, _TH, _NO, "w", "n", "h1", "h2", "side"))
 
 
 def _with_variant_keys(cand: DataFrame) -> DataFrame:
@@ -83,6 +89,7 @@ def _with_variant_keys(cand: DataFrame) -> DataFrame:
     a line of n words at n * sqrt(n)."""
     xor = "0L, (s, x) -> s ^ x"
     step, last = "cast(ceil(sqrt(n)) as int)", "least(n, (t.b + 1) * step)"
+    cand = cand.withColumn("hw", F.transform("w", lambda x: F.xxhash64(x)))
     rows = cand.select("*", F.expr("transform(hw, (x, j) -> xxhash64(x, j))").alias("f0"),
                        F.expr("transform(hw, (x, j) -> xxhash64(x, j - 1))").alias("f1"), F.expr(step).alias("step"))
     rows = rows.select("*", F.expr(
@@ -120,13 +127,13 @@ def _one_edit(a: str, b: str) -> str:
     return f"abs(size({a}) - size({b})) <= 1 and {tail_a} = {tail_b}"
 
 
-def near_earlier_lines(lines: DataFrame, min_words: int = 5) -> DataFrame:
+def near_earlier_lines(lines: DataFrame, hashed: DataFrame, min_words: int = 5) -> DataFrame:
     """First occurrences ``(__id, __th, __no)`` of distinct lines that have an earlier one-edit line."""
-    found = (_screened(lines, min_words).groupBy("h1", "h2")
+    found = (_screened(lines, hashed, min_words).groupBy("h1", "h2")
              .agg(F.min(F.struct(_ID, _TH, _NO)).alias("at"), F.collect_set("side").alias("sides"),
-                  F.first("w").alias("w"), F.first("hw").alias("hw"), F.first("n").alias("n")))
+                  F.first("w").alias("w"), F.first("n").alias("n")))
     # Numbered in the order of the documents, so that the smallest number is the earliest line.
-    cand = cut_lineage(found.select("at.*", "sides", "w", "hw", "n").orderBy(_ID, _TH, _NO)
+    cand = cut_lineage(found.select("at.*", "sides", "w", "n").orderBy(_ID, _TH, _NO)
                        .withColumn("c", F.monotonically_increasing_id()))
     var = cut_lineage(_with_variant_keys(cand).select("c", F.explode_outer(_variants()).alias("v")).select("c", "v.*"))
     first = (var.groupBy("k1", "k2").agg(F.min(F.when(F.col("role") < 2, F.col("c"))).alias("a"),
@@ -147,9 +154,11 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``docs`` with the duplicate lines taken out of ``text_col``; optionally with the number of
     lines that each document had and lost."""
     lines = _lines(docs, id_col, text_col)
-    first = (lines.groupBy("h1", "h2").agg(F.min(F.struct(_ID, _TH, _NO)).alias("at"), F.first("n").alias("n"))
+    # Hashes without words, once for all that need no words: a fraction of the text.
+    hashed = cut_lineage(lines.select(_ID, _TH, _NO, "n", "h1", "h2", _keys(min_words)))
+    first = (hashed.groupBy("h1", "h2").agg(F.min(F.struct(_ID, _TH, _NO)).alias("at"), F.first("n").alias("n"))
              .where("n > 0").select("at.*"))
-    near = near_earlier_lines(lines, min_words)
+    near = near_earlier_lines(lines, hashed, min_words)
     on = [F.col(f"k.{c}").eqNullSafe(F.col(f"o.{c}")) for c in (_ID, _TH, _NO)]
     kept = first.alias("k").join(near.alias("o"), on, "left_anti")
     kept = (kept.groupBy(F.col(_ID).alias("__kid"), F.col(_TH).alias("__kth"))
