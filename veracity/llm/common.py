@@ -41,7 +41,8 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     work nor lose it with an executor, and the columnar files are a fraction of checkpointed rows."""
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/step-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    # Mostly hashes, which do not compress; a codec's native buffers would outlive many small tasks.
+    df.write.option("compression", "none").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
