@@ -5,8 +5,10 @@ import pytest
 import __spark_entry__ as entry
 from conftest import SF_SMALL
 from oracle_harness import compare, duck_connection
+from veracity.plans.oracle import ORACLE
+from veracity.plans.registry import QUERIES
 
-SQL = entry.oracle_sql()
+SQL = ORACLE
 KEYS = sorted(SQL)
 
 
@@ -27,7 +29,7 @@ ROWS_ONLY = {"model_scores", "hashed_features", "vocab_features", "oversampled_l
 
 
 def test_every_query_has_an_oracle_or_is_listed():
-    rows_only = set(entry.queries()) - set(SQL)
+    rows_only = set(QUERIES) - set(SQL)
     assert rows_only == ROWS_ONLY, rows_only
 
 

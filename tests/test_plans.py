@@ -8,8 +8,9 @@ import pytest
 
 import __spark_entry__ as entry
 from conftest import SF_SMALL
+from veracity.plans.oracle import ORACLE
 
-SQL_KEYS = sorted(entry.oracle_sql())
+SQL_KEYS = sorted(ORACLE)
 
 
 def _formatted(df) -> str:
@@ -25,7 +26,8 @@ def test_no_python_nodes_or_cartesian(spark, key):
     assert not re.search(r"EvalPython|PythonUDF|InPandas|CartesianProduct", plan), key
 
 
-@pytest.mark.parametrize("key", ["fraud_scores", "overall_summary", "suspicious_reviewers", "feature_table"])
+@pytest.mark.parametrize("key", ["fraud_scores", "overall_summary", "suspicious_reviewers", "feature_table",
+                                 "stratified_split", "label_noise", "balanced_counts"])
 def test_review_text_never_shuffled(spark, key):
     text = _formatted(entry.queries()[key](spark, SF_SMALL))
     blocks = re.findall(r"\(\d+\) (?:Exchange|BroadcastExchange)\nInput \[\d+\]: \[([^\]]*)\]", text)

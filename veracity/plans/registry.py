@@ -245,7 +245,7 @@ def q_weak_labels(spark, sf_dir):
 
 
 def features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mf.feature_table(processed(spark, sf_dir))
+    return mf.feature_table(rv.fraud_scores(mf.with_text_features(reviews(spark, sf_dir))))
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
