@@ -345,7 +345,8 @@ def similar_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     pairs = (rows.alias("x").join(pivot.alias("y"), ["token", "band"])
              .where(F.col("x.node") != F.col("y.node")).where(_may_link("x", "y", pct))
              .groupBy(F.col("x.node").alias("a"), F.col("y.node").alias("b"))
-             .agg(F.count(F.lit(1)).alias("k")))
+             .agg(F.count(F.lit(1)).alias("k"), F.min(F.least("x.n", "y.n")).alias("n"))
+             .where(F.col("k") >= _least_common(F.col("n"))))
     best = pairs.groupBy("a").agg(F.max(F.struct("k", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
     best = cut_lineage(_suffix_filter(best, parts, pct))
     first = cut_lineage(_verified(best, docs, classes, size, pct))
