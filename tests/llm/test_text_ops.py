@@ -11,7 +11,7 @@ from veracity.llm import urls as U
 from veracity.llm.chat import escaped, format_conversations, loss_text, parsed, unescaped
 from veracity.llm.decontam import benchmark_hits, contaminated, hit_words
 from veracity.llm.langid import BiGRU, UNKNOWN, identify_languages, predict_language, train_language_model
-from veracity.llm.licenses import NOTICES, PHRASES, scan_licenses
+from veracity.llm.licenses import NOTICES, PHRASES, TELLING, scan_licenses
 
 from .conftest import lower
 
@@ -102,6 +102,31 @@ def test_license_scan(spark, docs, no_docs, base_words):
     assert scan_licenses(none).first().labels == ""
 
 
+GNU = ("This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1}General "
+       "Public License as published by the Free Software Foundation, either version 3 of the License, or (at your "
+       "option) any later version.")
+NEAR = [
+    ("Licensed under CC BY-NC 4.0.", "cc-by,cc-by-nc"),
+    ("Licensed under CC BY-SA 4.0.", "cc-by,cc-by-sa"),
+    ("Licensed under CC BY 4.0. Dans sa maison.", "cc-by"),
+    ("Licensed under CC BY-NC-SA 4.0.", "cc-by,cc-by-nc,cc-by-sa"),
+    (GNU.format("program", ""), "gpl"),
+    (GNU.format("program", "Affero "), "agpl"),
+    (GNU.format("library", "Lesser "), "lgpl"),
+    (GNU.format("library", "Library "), "lgpl"),
+    (GNU.format("program", "Affero ") + " " + GNU.format("library", "Lesser "), "agpl,lgpl"),
+    ("This work is licensed under the GNU General Public License version 2.0", "gpl"),
+    ("General Public License version 3, this work is licensed under the", "gpl"),
+    ("Licensed under the Apache License, Version 2.0", "apache"),
+]
+
+
+def test_near_identical_notices(spark):
+    df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(NEAR)], "doc_id long, text string")
+    got = {NEAR[r.doc_id][0]: r.labels for r in scan_licenses(df, telling=TELLING).collect()}
+    assert got == dict(NEAR)
+
+
 # -- decontamination ---------------------------------------------------------------------------
 
 def brute_hits(t, items):

@@ -7,7 +7,9 @@ are ordered by their frequency over all documents, rarest first. A matching bloc
 notice's first ``n - ceil(t n) + 1`` words, so only these prefix words are joined with the blocks'
 words. The length filter wants enough notice words in the block at all, the positional filter
 enough of them from the joined word on, and the whole sets decide. Notices and phrases are fixed
-lists; the join's small side is their prefix words, a few hundred rows at most.
+lists; the join's small side is their prefix words, a few hundred rows at most. Notices that differ
+in a word or two hold enough of each other's words, so with ``telling`` a block must also say what
+tells its notice from the others (``TELLING``); without it the join alone decides.
 
 How it runs: one pass counts the documents that hold each notice word (partial sums, a few hundred
 rows); one pass makes the blocks of texts that hold a prefix word, joins and verifies them and
@@ -53,6 +55,19 @@ NOTICES = {
            "documentation files",
     "mpl": "this source code form is subject to the terms of the mozilla public license v 2 0",
 }
+# What a block must say besides, where a notice's words are nearly another's too (SQL over
+# ``held``, the block's notice words, and ``b``, its words after the one before the block, '' at the start).
+_NEAR_CC = "exists(sequence(1, size(b) - 1), i -> b[i] = '{0}' and arrays_overlap(slice(b, greatest(i - 2, 1), 3), array('cc', 'by')))"
+_GENERAL = "exists(sequence(1, size(b) - 1), i -> b[i] = 'general' and {0} b[i - 1] in ({1}))"
+TELLING = {
+    "agpl": "array_contains(held, 'affero')",
+    "apache": "array_contains(held, 'apache')",
+    "cc-by-nc": "array_contains(held, 'nc') and " + _NEAR_CC.format("nc"),
+    "cc-by-sa": "array_contains(held, 'sa') and " + _NEAR_CC.format("sa"),
+    # "general public license" of its own, not only as the end of another's name.
+    "gpl": f"""not array_contains(held, 'general') or {_GENERAL.format("not", "'affero', 'lesser', 'library'")}""",
+    "lgpl": f"""array_contains(held, 'lesser') or array_contains(held, 'library') and {_GENERAL.format("", "'library'")}""",
+}
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -90,9 +105,9 @@ def notice_word_frequencies(texts: DataFrame, notices: dict[str, str] = NOTICES)
 
 
 def matching_blocks(texts: DataFrame, notices: dict[str, str] = NOTICES, threshold: int = 80,
-                    block_words: int = 64) -> DataFrame:
+                    block_words: int = 64, telling: dict[str, str] | None = None) -> DataFrame:
     """``(__k1, __k2, label, containment)``: for each distinct text of ``texts(text)`` the notices that
-    one of its blocks matches, with the largest containment."""
+    one of its blocks matches (and, with ``telling``, names), with the largest containment."""
     spark = texts.sparkSession
     df = notice_word_frequencies(texts, notices)
     vocabulary = sorted({w for t in notices.values() for w in t.split()}, key=lambda w: (df.get(w, 0), w))
@@ -114,17 +129,23 @@ def matching_blocks(texts: DataFrame, notices: dict[str, str] = NOTICES, thresho
     lines = lines.select("__k1", "__k2", "line", words_of(F.col("t")).alias("w"))
     half = block_words // 2
     begin = F.expr(f"if(size(w) <= {block_words}, array(1), sequence(1, size(w) - {half}, {half}))")
-    blocks = lines.select("__k1", "__k2", "line", "w", F.explode_outer(begin).alias("at"))
+    lines = lines.select("__k1", "__k2", "line", "w", begin.alias("begin"))
+    cut = F.expr(f"transform(begin, at -> concat(array(if(at > 1, w[at - 2], '')), slice(w, at, {block_words})))")
+    blocks = lines.select("__k1", "__k2", "line", F.posexplode_outer(cut).alias("at", "b"))
     known = F.array(*map(F.lit, vocabulary))
-    held = F.array_intersect(known, F.expr(f"slice(w, at, {block_words})"))   # the block's notice words, rarest first
-    blocks = blocks.select("__k1", "__k2", "line", "at", held.alias("held")).where(F.size("held") > 0)
+    held = F.array_intersect(known, F.expr(f"slice(b, 2, {block_words})"))   # the block's notice words, rarest first
+    blocks = blocks.select("__k1", "__k2", "line", "at", "b", held.alias("held")).where(F.size("held") > 0)
+    untold = ", ".join(f"if({told}, null, '{label}')" for label, told in (telling or {}).items())
+    blocks = blocks.select("__k1", "__k2", "line", "at", "held",
+                           F.expr(f"array_compact(array({untold or 'cast(null as string)'}))").alias("untold"))
     pairs = (blocks.select("*", F.posexplode_outer(F.array_intersect("held", F.array(*map(F.lit, tokens)))).alias("o", "token"))
              .join(small, "token"))
     # Length: enough notice words in the block; positional: this word and the rarer ones of the notice
     # before it, or the block's words from it on, can still make up the number that is needed.
     left = F.size("held") - F.array_position("held", F.col("token")) + 1
     pairs = pairs.where((F.size("held") >= F.col("need")) & (F.least(left, F.col("size") - F.col("place"))
-                                                             + F.least("place", "o") >= F.col("need")))
+                                                             + F.least("place", "o") >= F.col("need"))
+                        & ~F.array_contains("untold", F.col("label")))
     pairs = pairs.select("__k1", "__k2", "line", "at", "label", "held", "own", "need", "size").distinct()
     common = F.size(F.array_intersect("held", "own"))
     return (pairs.where(common >= F.col("need")).groupBy("__k1", "__k2", "label")
@@ -132,11 +153,12 @@ def matching_blocks(texts: DataFrame, notices: dict[str, str] = NOTICES, thresho
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80,
-                  block_words: int = 64) -> DataFrame:
+                  block_words: int = 64, telling: dict[str, str] | None = None) -> DataFrame:
     """One row per row of ``docs``: ``id_col, n_words, n_base, first_word, last_word, base_labels,
     labels, score``."""
     texts = docs.select(F.col(text_col).alias("text"))
-    found = cut_lineage(matching_blocks(texts, threshold=threshold, block_words=block_words)
+    found = cut_lineage(matching_blocks(texts, threshold=threshold, block_words=block_words,
+                                        telling=telling)
                         .groupBy("__k1", "__k2").agg(F.collect_set("label").alias("found"),
                                                      F.max("containment").alias("best")))
     rows = docs.select(F.col(id_col), words_of(F.col(text_col)).alias("w"), *_text_key(text_col))

@@ -17,7 +17,7 @@ from veracity.llm.cuckoo import exact_duplicates
 from veracity.llm.decontam import benchmark_hits, contaminated, hit_words
 from veracity.llm.jaccard import jaccard_groups
 from veracity.llm.langid import identify_languages
-from veracity.llm.licenses import scan_licenses
+from veracity.llm.licenses import TELLING, scan_licenses
 from veracity.llm.line_dedup import dedup_lines
 from veracity.llm.packing import pack_documents
 from veracity.llm.token_counts import count_tokens
@@ -132,7 +132,7 @@ def op5(spark, sf_dir):
 
 @register("op6_license_scans")
 def op6(spark, sf_dir):
-    return scan_licenses(read_table(spark, sf_dir, "documents"))
+    return scan_licenses(read_table(spark, sf_dir, "documents"), telling=TELLING)
 
 
 @register("op7_ngram_jaccard_join")
