@@ -127,6 +127,42 @@ def test_near_identical_notices(spark):
     assert got == dict(NEAR)
 
 
+WRAPPED = [
+    ("""Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:""", "mit"),
+    ("""/* Redistribution and use in source and binary forms, with or without
+ * modification, are permitted provided that the following conditions
+ * are met: */""", "bsd"),
+    ("""# Permission to use, copy, modify, and/or distribute this software
+# for any purpose with or without fee is hereby granted.""", "isc"),
+    *[(f"""    This {thing} is free software: you can redistribute it and/or modify
+    it under the terms of the GNU {name}General Public License as
+    published by the Free Software Foundation, either version 3 of the
+    License, or (at your option) any later version.
+
+    This {thing} is distributed in the hope that it will be useful,
+    but WITHOUT ANY WARRANTY. See the GNU {name}General Public License for more details.""", label)
+      for thing, name, label in (("program", "Affero ", "agpl"), ("library", "Lesser ", "lgpl"), ("program", "", "gpl"))],
+    ("Licensed under CC\nBY-NC\n4.0", "cc-by,cc-by-nc"),
+    ("permission\nis\nhereby\ngranted", ""),
+]
+
+
+def test_wrapped_notices(spark, base_words):
+    rng, rows = random.Random(13), []
+    for k, (t, label) in enumerate(WRAPPED):
+        for n in (0, 1, 31, 32, 40, 63, 200):
+            around = [" ".join(rng.choice(base_words) for _ in range(n)) for _ in "ab"]
+            rows.append((100 * k + len(rows), f"{around[0]}\n{t}\n{around[1]}" if n else t, label))
+    df = spark.createDataFrame(rows, "doc_id long, text string, label string")
+    out = scan_licenses(df, telling=TELLING, wrapped=True).collect()
+    assert {r.doc_id: r.labels for r in out} == {k: label for k, _, label in rows}
+
+
 # -- decontamination ---------------------------------------------------------------------------
 
 def brute_hits(t, items):

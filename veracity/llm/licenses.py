@@ -1,9 +1,11 @@
 """License scans: base phrases, and an exact set-similarity join of text blocks with notices.
 
 Base: every place where a phrase's words stand one after the other. Method: a block of text (a
-line; a line of more than ``block_words`` words in windows that overlap by half) matches a notice
-when it holds at least ``threshold`` percent of the notice's distinct words. The notices' words
-are ordered by their frequency over all documents, rarest first. A matching block holds one of a
+line; a line of more than ``block_words`` words in windows that overlap by half; with ``wrapped``
+also the whole text in such windows, whatever its line feeds, so that a notice over several lines
+is seen: any ``block_words / 2 + 1`` words lie in one window) matches a notice when it holds at
+least ``threshold`` percent of the notice's distinct words. The notices' words are ordered by their
+frequency over all documents, rarest first. A matching block holds one of a
 notice's first ``n - ceil(t n) + 1`` words, so only these prefix words are joined with the blocks'
 words. The length filter wants enough notice words in the block at all, the positional filter
 enough of them from the joined word on, and the whole sets decide. Notices and phrases are fixed
@@ -105,7 +107,7 @@ def notice_word_frequencies(texts: DataFrame, notices: dict[str, str] = NOTICES)
 
 
 def matching_blocks(texts: DataFrame, notices: dict[str, str] = NOTICES, threshold: int = 80,
-                    block_words: int = 64, telling: dict[str, str] | None = None) -> DataFrame:
+                    block_words: int = 64, telling: dict[str, str] | None = None, wrapped: bool = False) -> DataFrame:
     """``(__k1, __k2, label, containment)``: for each distinct text of ``texts(text)`` the notices that
     one of its blocks matches (and, with ``telling``, names), with the largest containment."""
     spark = texts.sparkSession
@@ -125,7 +127,10 @@ def matching_blocks(texts: DataFrame, notices: dict[str, str] = NOTICES, thresho
 
     some = F.arrays_overlap(words_of(F.col("text")), F.array(*map(F.lit, tokens)))
     rows = texts.where(some).groupBy(*_text_key("text")).agg(F.first("text").alias("text"))
-    lines = rows.select("__k1", "__k2", F.posexplode_outer(F.split("text", "\n")).alias("line", "t"))
+    pieces = F.split("text", "\n")
+    if wrapped:
+        pieces = F.when(F.size(pieces) > 1, F.array_append(pieces, F.col("text"))).otherwise(pieces)
+    lines = rows.select("__k1", "__k2", F.posexplode_outer(pieces).alias("line", "t"))
     lines = lines.select("__k1", "__k2", "line", words_of(F.col("t")).alias("w"))
     half = block_words // 2
     begin = F.expr(f"if(size(w) <= {block_words}, array(1), sequence(1, size(w) - {half}, {half}))")
@@ -153,12 +158,12 @@ def matching_blocks(texts: DataFrame, notices: dict[str, str] = NOTICES, thresho
 
 
 def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: int = 80,
-                  block_words: int = 64, telling: dict[str, str] | None = None) -> DataFrame:
+                  block_words: int = 64, telling: dict[str, str] | None = None, wrapped: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``id_col, n_words, n_base, first_word, last_word, base_labels,
     labels, score``."""
     texts = docs.select(F.col(text_col).alias("text"))
     found = cut_lineage(matching_blocks(texts, threshold=threshold, block_words=block_words,
-                                        telling=telling)
+                                        telling=telling, wrapped=wrapped)
                         .groupBy("__k1", "__k2").agg(F.collect_set("label").alias("found"),
                                                      F.max("containment").alias("best")))
     rows = docs.select(F.col(id_col), words_of(F.col(text_col)).alias("w"), *_text_key(text_col))

@@ -132,7 +132,7 @@ def op5(spark, sf_dir):
 
 @register("op6_license_scans")
 def op6(spark, sf_dir):
-    return scan_licenses(read_table(spark, sf_dir, "documents"), telling=TELLING)
+    return scan_licenses(read_table(spark, sf_dir, "documents"), telling=TELLING, wrapped=True)
 
 
 @register("op7_ngram_jaccard_join")
