@@ -4,7 +4,8 @@ import datetime as dt
 import itertools
 import random
 
-from veracity.operators.reviewers import fraud_scores, reviewer_bursts, reviewer_flags
+from veracity.operators.reviewers import (fraud_scores, reviewer_activity, reviewer_bursts, reviewer_flags,
+                                          reviewer_frequency)
 
 SCHEMA = ("review_id string, reviewer_id string, rating double, body string, date string, "
           "verified_purchase boolean, helpful_votes int")
@@ -88,3 +89,20 @@ def test_score_all_combinations(spark):
 def test_tenths_threshold():
     from veracity.functions.numeric import tenths_threshold
     assert [tenths_threshold(x) for x in (0.5, 0.45, 0.55, 0.3, 0.0, 1.0)] == [5, 5, 6, 3, 0, 10]
+
+
+def test_activity_covers_the_reviewers_of_frequency(spark):
+    at = [dt.datetime(2024, 1, d) for d in (1, 2, 2, 3)]
+    rows = ([(None, p, t) for p, t in zip(["P1", None, "P1", "UNKNOWN"], at)]
+            + [("UNKNOWN", "P2", t) for t in at[:3]] + [("U1", "P3", t) for t in at[:2]])
+    df = spark.createDataFrame(rows, "reviewer_id string, product_asin string, scraped_at timestamp_ntz")
+    df = df.selectExpr("*", "3.0D as rating", "0.1D as fake_probability").repartition(3)
+    freq = {r.reviewer_id: r for r in reviewer_frequency(df).collect()}
+    assert set(freq) == {None, "UNKNOWN"}
+    times = [tuple(r) for r in reviewer_activity(df, "times").collect()]
+    assert sorted(times, key=str) == sorted([(r, t) for r, _, t in rows if r != "U1"], key=str)
+    products = [tuple(r) for r in reviewer_activity(df, "products").collect()]
+    assert sorted(products, key=str) == sorted([(None, "P1"), (None, "UNKNOWN"), ("UNKNOWN", "P2")], key=str)
+    for k, r in freq.items():
+        assert r.total_reviews == sum(x == k for x, _ in times)
+        assert r.unique_products == sum(x == k for x, _ in products)

@@ -183,16 +183,16 @@ def reviewer_frequency(scored: DataFrame, min_reviews: int = 3, threshold: float
 
 def reviewer_activity(scored: DataFrame, of: str = "times", min_reviews: int = 3) -> DataFrame:
     """The review times (``of="times"``: one row a review) or the distinct products
-    (``of="products"``) of the reviewers that ``reviewer_frequency`` lists."""
+    (``of="products"``) of the reviewers that ``reviewer_frequency`` lists, the null reviewer too."""
     if of not in ("times", "products"):
         raise ValueError(f"unknown activity {of!r}")
     many = (scored.groupBy("reviewer_id").agg(F.count(F.lit(1)).alias("n"))
-            .filter(F.col("n") >= min_reviews).select("reviewer_id"))
+            .filter(F.col("n") >= min_reviews).select(F.col("reviewer_id").alias("many_id")))
     value = (F.col("scraped_at") if of == "times" else
              F.coalesce(F.col("product_asin"), F.lit(lx.UNKNOWN_ID)).alias("product_asin"))
     rows = scored.select("reviewer_id", value)
     rows = rows.distinct() if of == "products" else rows
-    return rows.join(many, "reviewer_id", "left_semi")
+    return rows.join(many, F.col("reviewer_id").eqNullSafe(F.col("many_id")), "left_semi")
 
 
 def reviewer_report(scored: DataFrame, n: int | None = 5) -> DataFrame:
