@@ -2,7 +2,8 @@
 
 A line is its sequence of words (runs of anything but white space). Two lines are duplicates when
 their words are equal, or when both have at least ``min_words`` words and one edit (a word put in,
-taken out or replaced) makes them equal: a similarity of 0.8 or more for five words and up. A line
+taken out or replaced) makes them equal. The bound is one word at every length, not a similarity:
+lines of ten words or more that differ in two words stay, though 0.8 or more of them agrees. A line
 is dropped when an equal or one-edit line stands earlier, by document id and line number; whether
 that line itself stays does not matter, so the decision is the same on any partitioning. Lines
 without words are layout and stay.
