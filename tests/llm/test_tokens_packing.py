@@ -32,7 +32,7 @@ def test_chunk_lengths_equal_library(odd_texts):
 
 
 def test_chunk_ids_equal_library(odd_texts, monkeypatch):
-    monkeypatch.setattr(T, "MEMO_CHUNKS", 50)               # generations change all the time
+    monkeypatch.setattr(T, "MEMO_BYTES", 100 * T.MEMO_ENTRY)   # generations change all the time
     lib, coder = Tokenizer.from_file(WORDS), T.ChunkIds(WORDS)
     for t in odd_texts:
         assert np.frombuffer(coder.of(t), "<u4").tolist() == lib.encode(t, add_special_tokens=False).ids

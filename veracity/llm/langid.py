@@ -14,10 +14,9 @@ each. Very long texts are cut into windows, so memory does not depend on their l
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -25,7 +24,7 @@ from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 from veracity.llm.common import binary_buffers, byte_steps, map_arrow
 
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 #: Bytes of a window when predicting; state starts anew in each.
 PREDICT_WINDOW = 128
 

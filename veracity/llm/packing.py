@@ -128,7 +128,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                 ids = np.frombuffer(coder.of(v.as_py() or "") + end, "<u4")
                 packer.add(doc.as_py(), ids)
                 size += len(ids)
-                if size > 1 << 20:
+                if size > 1 << 19:
                     yield drain(id_type)
                     size = 0
         packer.pour(1)

@@ -2,28 +2,29 @@
 
 Both vocabularies used here split a text before white space, so a text's ids are the ids of its
 chunks one after the other, where a chunk ends before a single space or line feed between two
-characters that are not white space. Chunks repeat, so a worker remembers theirs (a bounded
-number). A chunk of plain letters is one pre-token, which the library's model encodes directly;
+characters that are not white space. Chunks repeat, so a worker remembers theirs (within a
+budget of bytes). A chunk of plain letters is one pre-token, which the library's model encodes directly;
 every other chunk goes through the whole library, special strings included.
 """
 
 from __future__ import annotations
 
 import re
+import struct
 
-import numpy as np
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: White space that makes a text need the general cut: runs, other kinds, or at an end.
 _ODD = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z")
-_LETTERS = re.compile("([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?]*)")
-_LOWER = re.compile("([a-zß-öø-ÿ]+)([.,;:!?]*)")
+_WORD = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
 #: Text in which lower-casing here could differ from the library's, or touch a special string.
 _WIDE = re.compile("[^\x00-\x7f\xa0-\xff]|<\\|")
-#: Chunks remembered per worker, in each of two generations, and letters of the longest one.
-MEMO_CHUNKS = 700_000
+#: Bytes that a coder remembers in both generations together, what one chunk of up to MEMO_LENGTH
+#: letters takes of them with its result and the dictionary's share.
+MEMO_BYTES = 160 << 20
+MEMO_ENTRY = 200
 MEMO_LENGTH = 64
 
 _byte = {b: c for b in range(256) for c in [ByteLevel(add_prefix_space=False, use_regex=False)
@@ -40,58 +41,89 @@ def _byte_table() -> dict[int, str]:
     return table
 
 
-class _Memo(dict):
-    """What is known of chunks. When full, it becomes the older generation, from which chunks that
-    still occur come back; the rest is forgotten with the next change."""
+class _Chunks(dict):
+    """What is known of chunks. With half of ``MEMO_BYTES`` it becomes the older generation, from which
+    chunks that still occur come back; the rest is forgotten with the next change."""
 
-    def __init__(self):
+    def __init__(self, coder: _Coder, older: dict):
         super().__init__()
-        self.older: dict = {}
+        self.make, self.older, self.used = coder.make, older, 0
+
+    def __missing__(self, key: str):
+        value = self.older.get(key)
+        if value is None:
+            value = self.make(key)
+            if value is None:
+                return 0
+        if len(key) <= MEMO_LENGTH:
+            self[key] = value
+            self.used += 1
+        return value
+
+
+class _Coder:
+    def __init__(self, path: str):
+        self.tok = Tokenizer.from_file(path)
+        self.model, self.table = self.tok.model, _byte_table()
+        self.marks: dict = {}
+        self.known = _Chunks(self, {})
 
     def age(self) -> None:
-        if len(self) > MEMO_CHUNKS:
-            self.older = self.copy()
-            self.clear()
+        if self.known.used * MEMO_ENTRY > MEMO_BYTES // 2:
+            self.known.older = {}
+            self.known = _Chunks(self, self.known)
+
+    def parts(self, chunk: str) -> tuple[str, str] | None:
+        """Plain letters and the punctuation after them, or None."""
+        letters = chunk.rstrip(".,;:!?")
+        if letters.isascii():
+            return (letters, chunk[len(letters):]) if letters.isalpha() else None
+        return (letters, chunk[len(letters):]) if _WORD.fullmatch(letters) else None
 
+    def tokens(self, letters: str) -> list:
+        return self.model.tokenize(letters if letters.isascii() else
+                                   letters.encode().decode("latin-1").translate(self.table))
 
-class ChunkLengths(_Memo):
+
+class ChunkLengths(_Coder):
     """Number of ids of a chunk, for a byte-level vocabulary whose words carry their leading space.
 
     A key stands for itself with a space before it; one that begins with a line feed, for itself.
     """
 
     def __init__(self, path: str):
-        super().__init__()
-        self.tok = Tokenizer.from_file(path)
-        self.model, self.table = self.tok.model, _byte_table()
+        super().__init__(path)
         self.space, self.feed = self.table[0x20], self.table[0x0A]
         self.pending: list[tuple[int, str]] = []
         self.at = 0
 
-    def plain(self, letters: str, lead: str) -> int:
-        return len(self.model.tokenize(lead + letters.encode().decode("latin-1").translate(self.table)))
-
-    def __missing__(self, key: str) -> int:
-        n = self.older.get(key)
-        if n is not None:
-            self[key] = n
-            return n
-        feed = key[0] == "\n"
-        m = _LETTERS.fullmatch(key, 1 if feed else 0)
-        if m is None:
-            self.pending.append((self.at, key if feed else " " + key))
+    def mark(self, chars: str) -> int:
+        if not chars:
             return 0
-        n = self.plain(m[1], "" if feed else self.space) + (len(self.model.tokenize(self.feed)) if feed else 0)
-        if m[2]:
-            n += len(self.model.tokenize(m[2]))
-        if len(key) <= MEMO_LENGTH:
-            self[key] = n
+        n = self.marks.get(chars)
+        if n is None:
+            n = len(self.model.tokenize(chars))
+            if len(chars) < 4:
+                self.marks[chars] = n
         return n
 
+    def make(self, key: str) -> int | None:
+        feed = key[:1] == "\n"
+        found = self.parts(key[1:] if feed else key)
+        if found is None:
+            self.pending.append((self.at, key if feed else " " + key))
+            return None
+        if feed:
+            return len(self.model.tokenize(self.feed)) + len(self.tokens(found[0])) + self.mark(found[1])
+        if found[1]:
+            return self.known[found[0]] + self.mark(found[1])
+        word = key if key.isascii() else key.encode().decode("latin-1").translate(self.table)
+        return len(self.model.tokenize(self.space + word))
+
     def of_batch(self, pieces: list[str]) -> list[int]:
         """Numbers of ids of texts; what is not plain is encoded in one batch of distinct chunks."""
         self.age()
-        self.pending, get, out = [], self.__getitem__, []
+        self.pending, get, out = [], self.known.__getitem__, []
         for self.at, t in enumerate(pieces):
             if not t:
                 out.append(0)
@@ -109,39 +141,40 @@ class ChunkLengths(_Memo):
         return out
 
 
-class ChunkIds(_Memo):
+class ChunkIds(_Coder):
     """Ids of a chunk as little-endian 32-bit bytes, for a vocabulary that drops white space."""
 
-    def __init__(self, path: str):
-        super().__init__()
-        self.tok = Tokenizer.from_file(path)
-        self.model, self.table = self.tok.model, _byte_table()
-
-    def __missing__(self, key: str) -> bytes:
-        out = self.older.get(key)
-        if out is not None:
-            self[key] = out
-            return out
-        m = _LOWER.fullmatch(key)
-        if m is None:
-            ids = self.tok.encode(key, add_special_tokens=False).ids
-        else:
-            ids = [t.id for t in self.model.tokenize(m[1].encode().decode("latin-1").translate(self.table))]
-            if m[2]:
-                ids += [t.id for t in self.model.tokenize(m[2])]
-        out = np.array(ids, "<u4").tobytes()
-        if len(key) <= MEMO_LENGTH:
-            self[key] = out
-        return out
+    def mark(self, chars: str) -> bytes:
+        ids = self.marks.get(chars)
+        if ids is None:
+            ids = _packed([t.id for t in self.model.tokenize(chars)])
+            if len(chars) < 4:
+                self.marks[chars] = ids
+        return ids
+
+    def make(self, key: str) -> bytes:
+        found = self.parts(key) if key.islower() else None
+        if found is None:
+            return _packed(self.tok.encode(key, add_special_tokens=False).ids)
+        if found[1]:
+            return self.known[found[0]] + self.mark(found[1])
+        return _packed([t.id for t in self.tokens(key)])
 
     def of(self, text: str) -> bytes:
-        self.age()
         if not _WIDE.search(text):
             text = text.lower()
-        return b"".join(map(self.__getitem__, text.replace("\n", " ").split(" ")))
+        chunks, out = text.replace("\n", " ").split(" "), []
+        for lo in range(0, len(chunks), 1 << 16):
+            self.age()
+            out.append(b"".join(map(self.known.__getitem__, chunks[lo:lo + (1 << 16)])))
+        return out[0] if len(out) == 1 else b"".join(out)
+
+
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
-_made: dict[tuple[type, str], dict] = {}
+_made: dict[tuple[type, str], _Coder] = {}
 
 
 def chunk_coder(kind: type, path: str):
