@@ -19,6 +19,8 @@ from veracity.llm.jaccard import jaccard_groups
 from veracity.llm.langid import identify_languages
 from veracity.llm.licenses import TELLING, scan_licenses
 from veracity.llm.line_dedup import dedup_lines
+from veracity.llm.main_text import extract_main_text
+from veracity.llm.negatives import mine_hard_negatives, whole_vectors
 from veracity.llm.packing import pack_documents
 from veracity.llm.token_counts import count_tokens
 from veracity.llm.urls import filter_urls
@@ -166,3 +168,54 @@ def op10(spark, sf_dir):
     return out.select("doc_id", "n_words", hit_words().alias("n_hit"), F.size("items").cast("long").alias("n_items"),
                       F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),
                       contaminated().alias("contaminated"))
+
+
+MAIN_TEXT_SQL = r"""
+WITH a AS (
+  SELECT page_id, url, unnest([0] || generate_series(1, len(x))) AS no, unnest([''] || x) AS block
+  FROM (SELECT page_id, url, regexp_split_to_array(regexp_extract(coalesce(html, ''), '<article>(.*)</article>', 1, 's'),
+                                                   '</?(?:p|h1)[^>]*>') AS x FROM pages)),
+t AS (
+  SELECT *, trim(regexp_replace(
+    replace(replace(replace(replace(regexp_replace(regexp_replace(regexp_replace(block, '<br[^>]*>', ' ', 'g'), '<[^>]*>', '', 'g'),
+            '&(quot|#34);', '"', 'g'), '&lt;', '<'), '&gt;', '>'), '&#x27;', ''''), '&#39;', ''''), '[\s\x0B\x85\xA0]+', ' ', 'g')) AS s FROM a),
+g AS (SELECT page_id, url, no, regexp_replace(s, '&amp;?', '&', 'g') AS s FROM t)
+SELECT page_id, url, coalesce(string_agg(s, chr(10) ORDER BY no) FILTER (s <> ''), '') AS text,
+       length(coalesce(string_agg(s, chr(10) ORDER BY no) FILTER (s <> ''), ''))::BIGINT AS n_chars
+FROM g GROUP BY page_id, url"""
+
+
+@register("op11_html_extraction", MAIN_TEXT_SQL)
+def op11(spark, sf_dir):
+    out = extract_main_text(read_table(spark, sf_dir, "pages"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
+NEGATIVES_SQL = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, v.vec_id AS other, a.label = v.label AS same,
+         list_sum(list_transform(list_zip(a.q, v.q), lambda z: z[1] * z[2]))::BIGINT AS score
+  FROM v a, v WHERE a.vec_id % 100 = 0 AND a.vec_id <> v.vec_id),
+p AS (
+  SELECT * FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other) <= 5),
+n AS (
+  SELECT p.anchor_id, p.other AS positive_id, s.other AS negative_id, p.score AS positive_score, s.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.other ORDER BY s.score DESC, s.other)::INTEGER AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same
+       AND 80 * p.score <= 100 * s.score AND 100 * s.score <= 100 * p.score)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5"""
+
+
+@register("op12_hard_negatives", NEGATIVES_SQL)
+def op12(spark, sf_dir):
+    rows = read_table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = whole_vectors(rows, "vec_id", label, "embedding", 256.0)
+    return mine_hard_negatives(vectors, vectors.where(F.col("id") % 100 == 0))
