@@ -22,6 +22,7 @@ from veracity.llm.line_dedup import dedup_lines
 from veracity.llm.main_text import extract_main_text
 from veracity.llm.negatives import mine_hard_negatives, whole_vectors
 from veracity.llm.packing import pack_documents
+from veracity.llm.prefix_trie import prefix_trie, turn_sequences
 from veracity.llm.token_counts import count_tokens
 from veracity.llm.urls import filter_urls
 from veracity.sources.tables import read_table
@@ -219,3 +220,56 @@ def op12(spark, sf_dir):
     label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
     vectors = whole_vectors(rows, "vec_id", label, "embedding", 256.0)
     return mine_hard_negatives(vectors, vectors.where(F.col("id") % 100 == 0))
+
+
+TRIE_SQL = r"""
+WITH t AS (
+  SELECT conv_id, list({'r': coalesce(role, ''), 't': coalesce(text, '')}
+                       ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS turns
+  FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+c AS (
+  SELECT *, list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(conv_id::VARCHAR, ''),
+              lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1])),
+              lambda acc, v: CASE WHEN v >= 0 THEN xor(acc, v)
+                                  WHEN acc & 1 = 1 THEN xor(acc >> 1, 3988292384) ELSE acc >> 1 END) AS crc
+  FROM t),
+r AS (
+  SELECT c.conv_id, coalesce(b.turns, [])[1:h] || c.turns[h + 1:] AS turns
+  FROM (SELECT *, xor(crc, 4294967295) % 4 AS h FROM c) c LEFT JOIN t b ON b.conv_id = c.conv_id - c.conv_id % 20),
+m AS (SELECT conv_id, len(turns) AS n, unnest(generate_series(0, len(turns))) AS d, turns FROM r),
+v AS (
+  SELECT d, turns[1:d] AS path, min(conv_id) AS conv_id, count(*) AS n_convs,
+         string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (n = d) AS ends
+  FROM m GROUP BY d, turns[1:d]),
+w AS (
+  SELECT v.*, p.conv_id AS parent, (SELECT count(*) FROM v k WHERE k.d = v.d + 1 AND k.path[1:v.d] = v.path) AS children,
+         CASE WHEN v.d = 0 THEN 0 ELSE (v.n_convs - 1) * len(list_filter(
+           regexp_split_to_array(v.path[v.d].t, '[\x20\x09-\x0D]+'), lambda x: x <> '')) END AS cost
+  FROM v LEFT JOIN v p ON p.d = v.d - 1 AND p.path = v.path[1:v.d - 1]),
+a AS (SELECT cost, children, path, unnest(generate_series(0, d)) AS up FROM w),
+s AS (
+  SELECT up AS d, path[1:up] AS path, sum(cost)::BIGINT AS saved_tokens, count(*) FILTER (children = 0) AS n_leaves
+  FROM a GROUP BY up, path[1:up])
+SELECT w.conv_id, w.d::BIGINT AS depth, w.parent AS parent_conv_id, w.n_convs, w.children AS n_children, s.n_leaves,
+       s.saved_tokens, sha256(coalesce(w.ends, '')) AS ends_sha256
+FROM w JOIN s USING (d, path)"""
+
+
+def rebuilt(turns: DataFrame, group: int = 20, most: int = 4) -> DataFrame:
+    """``turns(conv, tokens)`` with the first crc32(conv) % most tokens taken from the first of its group."""
+    heads = turns.where(F.col("conv") % group == 0).select(
+        F.col("conv").alias("base"), F.slice("tokens", 1, most - 1).alias("head"))
+    h = (F.crc32(F.col("conv").cast("string").cast("binary")) % most).cast("int")
+    rows = turns.select("conv", "tokens", h.alias("h"), (F.col("conv") - F.col("conv") % group).alias("base"))
+    rows = rows.join(heads, "base", "left")
+    head = F.coalesce(F.slice("head", 1, F.col("h")), F.slice("tokens", 1, 0))
+    return rows.select("conv", F.concat(head, F.slice("tokens", F.col("h") + 1, F.size("tokens"))).alias("tokens"))
+
+
+@register("op13_conversation_prefix_trie", TRIE_SQL)
+def op13(spark, sf_dir):
+    turns = rebuilt(turn_sequences(read_table(spark, sf_dir, "conversations")))
+    out = prefix_trie(turns, "conv", "tokens")
+    return out.select(
+        F.col("id").alias("conv_id"), "depth", F.col("parent_id").alias("parent_conv_id"), F.col("n_members").alias("n_convs"),
+        "n_children", "n_leaves", F.col("saved").alias("saved_tokens"), "ends_sha256")
