@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 
 def test_one_query_per_operator():
     assert sorted(QUERIES, key=lambda q: int(q[2:].split("_")[0])) and {
-        int(q[2:].split("_")[0]) for q in QUERIES} == set(range(1, 11))
+        int(q[2:].split("_")[0]) for q in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("key", sorted(ORACLE))
