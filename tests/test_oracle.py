@@ -25,7 +25,7 @@ def test_query_matches_oracle(spark, con, key):
     assert r["exact"], r
 
 
-ROWS_ONLY = {"model_scores", "hashed_features", "vocab_features", "oversampled_labels"}
+ROWS_ONLY = {"model_scores", "model_metrics", "feature_importances", "gbt_grid_scores", "hashed_features", "vocab_features"}
 
 
 def test_every_query_has_an_oracle_or_is_listed():

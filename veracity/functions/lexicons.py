@@ -59,3 +59,17 @@ DATE_PREFIX = "Reviewed in the United States on "
 REVIEW_DATE_PATTERN = "MMMM d, yyyy"
 UNKNOWN_ID = "UNKNOWN"
 ANONYMOUS = "Anonymous"
+
+# --- FIXED VALUES: English stop words of the text features -----------------
+# The default English list of Spark's StopWordsRemover, as far as its words are terms (two letters or
+# more, no apostrophe).
+STOP_WORDS = [
+    "me", "my", "myself", "we", "our", "ours", "ourselves", "you", "your", "yours", "yourself", "yourselves", "he", "him",
+    "his", "himself", "she", "her", "hers", "herself", "it", "its", "itself", "they", "them", "their", "theirs",
+    "themselves", "what", "which", "who", "whom", "this", "that", "these", "those", "am", "is", "are", "was", "were", "be",
+    "been", "being", "have", "has", "had", "having", "do", "does", "did", "doing", "an", "the", "and", "but", "if", "or",
+    "because", "as", "until", "while", "of", "at", "by", "for", "with", "about", "against", "between", "into", "through",
+    "during", "before", "after", "above", "below", "to", "from", "up", "down", "in", "out", "on", "off", "over", "under",
+    "again", "further", "then", "once", "here", "there", "when", "where", "why", "how", "all", "any", "both", "each", "few",
+    "more", "most", "other", "some", "such", "no", "nor", "not", "only", "own", "same", "so", "than", "too", "very", "can",
+    "will", "just", "don", "should", "now", "cannot", "could", "ought", "would"]

@@ -10,7 +10,7 @@ join whose skewed partitions AQE splits.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from veracity.functions import dates as dt
@@ -66,6 +66,35 @@ def reviewer_bursts(df: DataFrame, k: int = 5, hours: int = 24) -> DataFrame:
     return bursts_from_days(reviewer_days(df), k=k, hours=hours)
 
 
+def reviewer_bursts_ts(df: DataFrame, k: int = 5, hours: int = 24, time_col: str = "scraped_at") -> DataFrame:
+    """Burst flag per reviewer over real timestamps: ``reviewer_id, burst_activity, burst_starts``.
+
+    Burst: some ``k`` reviews of the reviewer lie within ``hours`` hours, inclusive; ``burst_starts`` counts
+    the reviews whose (k-1)-th successor lies that near, up to ``k`` of each cell.
+
+    Time is cut into cells of ``hours`` hours. The first ``k`` reviews of a cell decide it (as many in one
+    cell are a burst), so only these are kept, task by task before the shuffle. A review then meets
+    those of its own cell and of the next: its successors within the span lie in these two. A reviewer
+    is therefore never one window partition, however many reviews it has, nor is a cell. Reviews without
+    a time do not count; a reviewer with none has no burst, and a null reviewer is ``UNKNOWN``.
+    """
+    rows = df.select(F.coalesce("reviewer_id", F.lit("UNKNOWN")).alias("reviewer_id"),
+                     F.unix_micros(F.col(time_col).cast("timestamp")).alias("ts"))
+    span = hours * 3_600_000_000
+    cell = F.floor(F.col("ts") / F.lit(span)).cast("long")
+    first = Window.partitionBy("reviewer_id", "cell").orderBy("ts")
+    kept = (rows.where(F.col("ts").isNotNull()).withColumn("cell", cell)
+            .withColumn("no", F.row_number().over(first)).where(F.col("no") <= k))
+    pairs = kept.select("reviewer_id", "ts", "cell", F.explode(F.array(F.col("cell"), F.col("cell") - 1)).alias("group"))
+    order = Window.partitionBy("reviewer_id", "group").orderBy("ts", "cell")
+    near = pairs.withColumn("last", F.lead("ts", k - 1).over(order)).where(
+        (F.col("cell") == F.col("group")) & (F.col("last") - F.col("ts") <= span))
+    starts = near.groupBy("reviewer_id").agg(F.count(F.lit(1)).alias("burst_starts"))
+    return (rows.select("reviewer_id").distinct().join(starts, "reviewer_id", "left")
+            .select("reviewer_id", F.col("burst_starts").isNotNull().alias("burst_activity"),
+                    F.coalesce("burst_starts", F.lit(0)).alias("burst_starts")))
+
+
 def reviewer_flags(df: DataFrame, k: int = 5, hours: int = 24, clean_keys: bool = False) -> DataFrame:
     """One row per reviewer: the scoring job's reviewer flags.
 

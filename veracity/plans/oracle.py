@@ -534,3 +534,48 @@ SELECT page_id, url, block_no,
   CAST(len(regexp_extract_all(block, '<p[ >]')) AS INTEGER) AS n_paragraphs
 FROM (SELECT page_id, url, unnest(bl) AS block, CAST(unnest(range(0, len(bl))) AS INTEGER) AS block_no
       FROM (SELECT page_id, url, regexp_extract_all(html, '(?s)<article[^>]*>(.*?)</article>', 1) AS bl FROM pages))"""
+
+_UNIFORM = "('0x' || left(md5(review_id || '42/{draw}'), 13))::BIGINT / 4503599627370496.0e0"
+
+ORACLE["random_split"] = _scored(f"""
+SELECT review_id, label, CASE WHEN {_UNIFORM.format(draw='split')} >= 0.8e0 THEN 1 ELSE 0 END AS part FROM ({PROXY_SQL})""")
+
+# Copies: how many values of the Poisson distribution function lie at or below the row's uniform number.
+ORACLE["oversampled_labels"] = _scored(f"""
+SELECT review_id, label, unnest(range(copies)) AS copy_no
+FROM (SELECT p.review_id, p.label, CASE WHEN p.label = 1.0e0 THEN count(c.cdf) ELSE 1 END AS copies
+      FROM (SELECT *, {_UNIFORM.format(draw='oversample')} AS u FROM pl) p
+      LEFT JOIN cdfs c ON p.label = 1.0e0 AND c.cdf <= p.u GROUP BY p.review_id, p.label)""",
+    f"""pl AS ({PROXY_SQL}),
+rate AS (SELECT least(count(*) FILTER (WHERE label <> 1.0e0) / greatest(count(*) FILTER (WHERE label = 1.0e0), 1)::DOUBLE,
+                      5.0e0) AS r FROM pl),
+steps AS (SELECT r, generate_series(1, 51) AS ks FROM rate),
+cdfs AS (SELECT sum(p) OVER (ORDER BY k) AS cdf FROM (
+  SELECT 0 AS k, exp(-r) AS p FROM rate
+  UNION ALL SELECT k, exp(-r) * list_product(list_transform(range(1, k + 1), lambda j: r / j)) FROM (
+    SELECT r, unnest(ks) AS k FROM steps)))""")
+
+ORACLE["cv_folds"] = _scored("""
+SELECT review_id, label,
+  ((row_number() OVER (PARTITION BY label ORDER BY md5(review_id || '42'), review_id) - 1) % 5)::INTEGER AS fold
+FROM ft""", FT_CTE)
+
+ORACLE["reviewer_bursts_ts"] = with_reviews("""
+SELECT reviewer_id, coalesce(bool_or(last - scraped_at <= INTERVAL 24 HOURS), false) AS burst_activity
+FROM (SELECT coalesce(reviewer_id, 'UNKNOWN') AS reviewer_id, scraped_at,
+             CASE WHEN scraped_at IS NOT NULL THEN lead(scraped_at, 4) OVER (
+               PARTITION BY coalesce(reviewer_id, 'UNKNOWN') ORDER BY scraped_at NULLS LAST) END AS last FROM reviews)
+GROUP BY reviewer_id""")
+
+_STOP = ", ".join(f"'{w}'" for w in lx.STOP_WORDS)
+ORACLE["tfidf_weights"] = with_reviews("").rstrip() + r""",
+tk AS (SELECT review_id, list_filter(regexp_extract_all(lower(coalesce(body, '')), '[\p{L}\p{N}_]{2,}'),
+                                     lambda x: x NOT IN (""" + _STOP + r""")) AS t FROM reviews),
+terms AS (
+  SELECT review_id, unnest(list_concat(t, list_transform(range(1, len(t)), lambda i: t[i] || ' ' || t[i + 1]))) AS term
+  FROM tk),
+tf AS (SELECT review_id, term, count(*) AS n FROM terms GROUP BY ALL),
+vocab AS (SELECT term, sum(n) AS term_freq, count(*) AS df FROM tf GROUP BY term HAVING count(*) >= 2
+          ORDER BY term_freq DESC, term LIMIT 300),
+w AS (SELECT review_id, term, n * ln(((SELECT count(*) FROM reviews) + 1.0e0) / (df + 1.0e0)) AS x FROM tf JOIN vocab USING (term))
+SELECT review_id, term, round(x / sqrt(sum(x * x) OVER (PARTITION BY review_id)), 6) AS weight FROM w WHERE x <> 0"""

@@ -333,16 +333,36 @@ def q_extract_page_records(spark, sf_dir):
     return pg.extract_page_records(pages, layout="article")
 
 
+@register("tfidf_weights")
+def q_tfidf_weights(spark, sf_dir):
+    """The local trainer's TF-IDF matrix as rows."""
+    rows = mf.tfidf_weights(reviews(spark, sf_dir).select("review_id", "body"))
+    return rows.select("review_id", "term", F.round("weight", 6).alias("weight"))
+
+
+_FITTED: dict = {}
+
+
+def fitted_models(spark: SparkSession, sf_dir: str):
+    """Both local models (reference settings, five-fold cross-validation), fitted once a session for the
+    queries that read them: models by name, their metrics, the held-out part."""
+    from veracity.ml import train as tr
+    key = (spark.sparkContext.applicationId, sf_dir, tr.local_models)
+    if key not in _FITTED:
+        _FITTED.clear()
+        _FITTED[key] = tr.fit_local(features(spark, sf_dir), cv_folds=5)
+    return _FITTED[key]
+
+
 @register("model_scores")
 def q_model_scores(spark, sf_dir):
-    """Train both local models (reference settings, five-fold cross-validation) and score the
-    held-out part: a row per review and model, with the model's metrics.
+    """Train both local models and score the held-out part: a row per review and model, with the
+    model's metrics.
 
     Rows-only check: no SQL statement can express the trained models.
     """
-    from veracity.ml import train as tr
     from veracity.ml.score import score_reviews
-    fitted, metrics, test = tr.fit_local(features(spark, sf_dir), cv_folds=5)
+    fitted, metrics, test = fitted_models(spark, sf_dir)
     scored = None
     for name, model in fitted.items():
         one = score_reviews(test, model).select(F.lit(name).alias("model"), "review_id", "label", "prediction",
@@ -351,14 +371,40 @@ def q_model_scores(spark, sf_dir):
     return scored.join(F.broadcast(metrics), "model")             # one row a model
 
 
+@register("model_metrics")
+def q_model_metrics(spark, sf_dir):
+    """Metrics of both local models and which one is best by AUC. Rows-only check (trained)."""
+    _, metrics, _ = fitted_models(spark, sf_dir)
+    best = ev.best_model(metrics).select("model", F.lit(True).alias("best"))
+    return metrics.join(F.broadcast(best), "model", "left").fillna({"best": False})
+
+
+@register("feature_importances")
+def q_feature_importances(spark, sf_dir):
+    """Every feature's importance in each local model, named by the model itself. Rows-only check."""
+    fitted, _, test = fitted_models(spark, sf_dir)
+    out = None
+    for name, model in fitted.items():
+        one = ev.feature_importances(model.stages[-1], mf.feature_names(model, test), spark, n=None)
+        one = one.select(F.lit(name).alias("model"), "feature", "importance")
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@register("gbt_grid_scores")
+def q_gbt_grid_scores(spark, sf_dir):
+    """Cluster trainer's grid: mean AUC over the folds per setting. Rows-only check (trained)."""
+    from veracity.ml import train as tr
+    return tr.gbt_grid(processed(spark, sf_dir))[2]
+
+
 @register("hashed_features")
 def q_hashed_features(spark, sf_dir):
     """Cluster text features: tokenise, stop words, hashed TF (5000), IDF, assemble, scale.
 
     Rows-only check (vectors): one row per review with the vector size and non-zeros.
     """
-    p = reused(mf.proxy_labels(processed(spark, sf_dir)).select(
-        "review_id", "label", "body", *mf.CLUSTER_NUMERIC_FEATURES))
+    p = mf.proxy_labels(processed(spark, sf_dir)).select("review_id", "label", "body", *mf.CLUSTER_NUMERIC_FEATURES)
     _, out = mf.fit_hashed_text_features(p)
     arr = vector_to_array("features")
     return out.select("review_id", "label", F.size(arr).alias("n_features"),
@@ -369,17 +415,36 @@ def q_hashed_features(spark, sf_dir):
 def q_vocab_features(spark, sf_dir):
     """Local text features: uni+bigram counts over a 300-term vocabulary, IDF, L2, + 14 numerics.
 
-    Rows-only check (vectors).
+    Rows-only check (vectors); ``tfidf_weights`` compares the text part's values.
     """
-    ft = reused(features(spark, sf_dir))
-    _, out = mf.fit_vocab_text_features(ft)
+    _, out = mf.fit_vocab_text_features(features(spark, sf_dir), texts=reviews(spark, sf_dir).select("body"))
     arr = vector_to_array("features")
     return out.select("review_id", "label", F.size(arr).alias("n_features"),
                       F.size(F.filter(arr, lambda x: x != 0.0)).alias("n_nonzero"))
 
 
+def proxy_labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mf.proxy_labels(processed(spark, sf_dir)).select("review_id", "label")
+
+
 @register("oversampled_labels")
 def q_oversampled_labels(spark, sf_dir):
-    """Cluster trainer's oversampling of the proxy-positive class (random, seeded): rows-only."""
-    return sm.oversample(reused(mf.proxy_labels(processed(spark, sf_dir)).select("review_id", "label")),
-                         cap=5.0, seed=42)
+    """Cluster trainer's oversampling of the proxy-positive class: Poisson copies by seeded hash."""
+    return sm.oversample(reused(proxy_labelled(spark, sf_dir)), cap=5.0, seed=42)
+
+
+@register("random_split")
+def q_random_split(spark, sf_dir):
+    """Cluster trainer's 80/20 split."""
+    return sm.random_split(proxy_labelled(spark, sf_dir), [0.8, 0.2], seed=42)
+
+
+@register("cv_folds")
+def q_cv_folds(spark, sf_dir):
+    return sm.stratified_folds(reused(labelled(spark, sf_dir)), folds=5, seed=42)
+
+
+@register("reviewer_bursts_ts")
+def q_reviewer_bursts_ts(spark, sf_dir):
+    return rv.reviewer_bursts_ts(reviews(spark, sf_dir), k=5, hours=24, time_col="scraped_at").select(
+        "reviewer_id", "burst_activity")
