@@ -178,8 +178,8 @@ def brute_hits(t, items):
     return len(w), len(hit), sorted(found), len(hit) > 0 and 20 * len(hit) >= len(w)
 
 
-@pytest.mark.parametrize("block_words", [2_000_000, 40])
-def test_benchmark_hits(spark, docs, no_docs, base_words, block_words):
+@pytest.mark.parametrize("block_bytes", [4 << 20, 200])
+def test_benchmark_hits(spark, docs, no_docs, base_words, block_bytes):
     rng = random.Random(12)
     items = [(k, " ".join(rng.choice(base_words[:60]) for _ in range(rng.choice([1, 3, 5, 13, 20, 40])))) for k in range(25)]
     items += [(50, None), (51, ""), (None, items[7][1] + " tail"), (7, items[7][1]), (52, "la la la la la la la la la la la la la la")]
@@ -195,7 +195,7 @@ def test_benchmark_hits(spark, docs, no_docs, base_words, block_words):
     rows = [(r.doc_id, r.text) for r in docs.collect()] + [(100 + k, t) for k, t in enumerate(texts)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
     bench = spark.createDataFrame(items, "item_id long, text string")
-    got = benchmark_hits(df, bench, keep=("text",), block_words=block_words).select(
+    got = benchmark_hits(df, bench, keep=("text",), block_bytes=block_bytes).select(
         "doc_id", "n_words", hit_words().alias("h"), "items", contaminated().alias("c")).collect()
     want = [str((d, *brute_hits(t, items))) for d, t in rows]
     assert sorted(str((r.doc_id, r.n_words, r.h, list(r["items"]), r.c)) for r in got) == sorted(want)
@@ -302,3 +302,79 @@ def test_template_tree(spark):
     n, k = 220, 110
     prior = k / n                                            # all labels are of one host: its share is the prior
     assert out["h", "spam/item-#.html"].purity == pytest.approx((60 + 10 * prior) / 70)
+
+
+def brute_tree(rows, z=2.0, least=5, weight=10.0, reject=0.6):
+    """(host, shape, label) rows -> {(host, shape): (template, blocked)}, a level at a time."""
+    count = {}
+    for h, s, label in rows:
+        c = count.setdefault((h, tuple(s)), [0, 0])
+        c[0] += label is not None
+        c[1] += label == "block"
+    template = {key: key[1] for key in count}
+    for level in range(max((len(s) for _, s in count), default=0), 0, -1):
+        kids = {}
+        for (h, s), t in template.items():
+            if len(t) >= level:
+                node = kids.setdefault((h, t[:level - 1]), {}).setdefault(t[level - 1], [0, 0])
+                node[0] += count[h, s][0]
+                node[1] += count[h, s][1]
+        star = set()
+        for parent, branches in kids.items():
+            pn, pk = (sum(v[i] for v in branches.values()) for i in (0, 1))
+            alike = []
+            for child, (n, k) in branches.items():
+                rest, share = pn - n, pk / pn if pn else 0
+                alone = False
+                if n >= least and rest:
+                    alone = abs(k / n - (pk - k) / rest) > z * (share * (1 - share) * (1 / n + 1 / rest)) ** 0.5
+                if not alone:
+                    alike.append(child)
+            if len(alike) > 1:
+                star |= {(parent, c) for c in alike}
+        for (h, s), t in template.items():
+            if len(t) >= level and ((h, t[:level - 1]), t[level - 1]) in star:
+                template[h, s] = t[:level - 1] + ("*",) + t[level:]
+    by, host = {}, {}
+    for (h, s), (n, k) in count.items():
+        for store, key in ((by, (h, template[h, s])), (host, h)):
+            v = store.setdefault(key, [0, 0])
+            v[0] += n
+            v[1] += k
+    total = [sum(v[i] for v in host.values()) for i in (0, 1)]
+    prior = total[1] / total[0] if total[0] else 0.0
+    out = {}
+    for (h, s), t in template.items():
+        share = (host[h][1] + weight * prior) / (host[h][0] + weight)
+        purity = (by[h, t][1] + weight * share) / (by[h, t][0] + weight)
+        out[h, s] = ("/" + "/".join(t), purity >= reject)
+    return out
+
+
+def test_tree_by_brute_force(spark):
+    rng = random.Random(4)
+    rows = []
+    for h in ("a", "b", "c"):
+        bad = {rng.randrange(30) for _ in range(4)}
+        for _ in range(900):
+            sec = rng.randrange(30)
+            label = None if rng.random() < 0.4 else "block" if (sec in bad) == (rng.random() < 0.95) else "allow"
+            path = [f"s{chr(97 + sec % 26)}{sec // 26}", *[rng.choice(("x", "y", "zz", f"n{rng.randrange(40)}")) for _ in range(rng.randrange(3))]]
+            rows.append((h, path, label))
+    rows += [("d", [], None), ("", ["x"], "block"), ("e", ["only"], None)]
+    df = spark.createDataFrame(rows, "host string, shape array<string>, label string").repartition(5)
+    got = {(r.host, tuple(r["shape"])): (r.template, r.blocked) for r in U.template_verdicts(df).collect()}
+    assert got == brute_tree(rows)
+
+
+def test_a_blocked_section_stays_among_many(spark):
+    """As many quiet siblings as there are: the section's own labels decide."""
+    for quiet in (3, 19, 20, 60):
+        rows = [("h", ["bad", "#"], "block")] * 100 + [("h", [f"sec{chr(97 + k % 26)}{chr(97 + k // 26)}", "#"], "allow")
+                                                       for k in range(quiet) for _ in range(8)]
+        rows += [("h", ["de", "#"], None), ("h", ["fr", "#"], "allow")]
+        df = spark.createDataFrame(rows, "host string, shape array<string>, label string")
+        out = {r["shape"][0]: r for r in U.template_verdicts(df).collect()}
+        assert out["bad"].blocked and out["bad"].template == "/bad/#"
+        assert out["de"].template == out["fr"].template == "/*/#"
+        assert quiet == 3 or not out["de"].blocked           # with three, most of the host's labels are blocks

@@ -5,12 +5,13 @@ with the rule's; the longest one wins. The urls that a rule decides are the labe
 
 The method judges the rest. Per host, paths form a tree of segments:
 
-* generalise: digits become ``#`` and long mixed identifiers ``{id}``; then, level by level from the
-  root, the children of a node with at least ``fanout`` different ones become one wildcard ``*``.
-  Levels beyond ``depth`` are one ``**``.
-* merge: a template whose share of blocked labels differs from that of its siblings together by
-  no more than chance (a two-proportion z-test at ``z``), or that has no labels, joins its siblings
-  under the parent's wildcard.
+* generalise: digits become ``#``, long mixed identifiers ``{id}``, and what lies beyond ``depth``
+  segments one ``**``.
+* merge: level by level from the leaves to the root, the branches under one parent are compared by their
+  labels. A branch with at least ``least`` labels whose blocked share differs from that of its
+  siblings together by more than chance (a two-proportion z-test at ``z``) stays itself, however many
+  siblings it has; the others, unlabelled ones included, become one wildcard ``*`` where there are two or
+  more. Their sub-branches of the same form are then one branch, so ``/de/#`` and ``/fr/#`` meet as ``/*/#``.
 * judge: the blocked share of the merged template is smoothed by that of its host, and the host's by
   that of all labels (``weight`` pseudo-labels each); from ``reject`` on, its urls are blocked.
 
@@ -62,50 +63,46 @@ def path_shape(path: str, depth: int) -> Column:
     return F.when(F.size(whole) > depth, F.concat(F.slice(whole, 1, depth), F.array(F.lit("**")))).otherwise(whole)
 
 
-def _generalised(shapes: DataFrame, depth: int, fanout: int) -> DataFrame:
-    """Adds ``template``: the shape with the children of crowded nodes replaced by ``*``."""
+def _merged(shapes: DataFrame, depth: int, z: float, least: int) -> DataFrame:
+    """Adds ``template``: the shape with similar branches of each level merged, leaves first."""
     shapes = shapes.withColumn("template", F.col("shape"))
-    for level in range(depth):
-        node = F.slice("template", 1, level)
-        here = shapes.where(F.size("template") > level).select("host", node.alias("node"), F.col("template")[level].alias("child"))
-        crowded = (here.groupBy("host", "node", "child").agg(F.lit(1).alias("x")).groupBy("host", "node")
-                   .agg(F.count(F.lit(1)).alias("children")).where(F.col("children") >= fanout)
-                   .select("host", "node", F.lit(True).alias("crowded")))
-        open_ = F.concat(node, F.array(F.lit("*")), F.slice("template", level + 2, depth + 1))
-        shapes = shapes.withColumn("node", node).join(crowded, ["host", "node"], "left").withColumn(
-            "template", F.when(F.col("crowded") & (F.size("template") > level), open_).otherwise(F.col("template"))
-        ).drop("node", "crowded")
+    parent_key = ["host", "parent"]
+    for level in range(depth, 0, -1):
+        reaches = F.size("template") >= level
+        shapes = shapes.withColumn("parent", F.slice("template", 1, level - 1)).withColumn(
+            "child", F.when(reaches, F.get("template", F.lit(level - 1))))
+        kids = shapes.where(reaches).groupBy(*parent_key, "child").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
+        above = kids.groupBy(*parent_key).agg(F.sum("n").alias("pn"), F.sum("k").alias("pk"))
+        rest, pooled = F.col("pn") - F.col("n"), F.col("pk") / F.col("pn")
+        spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("n") + 1 / rest))
+        gap = F.abs(F.col("k") / F.col("n") - (F.col("pk") - F.col("k")) / rest)
+        alone = F.when((F.col("n") < least) | (F.col("n") == 0) | (rest == 0), False).otherwise(gap > z * spread)
+        alike = kids.join(above, parent_key).where(~alone).select(*parent_key, "child")
+        several = alike.groupBy(*parent_key).agg(F.count(F.lit(1)).alias("c")).where("c > 1").drop("c")
+        star = alike.join(several, parent_key).withColumn("star", F.lit(True))
+        open_ = F.concat("parent", F.array(F.lit("*")), F.slice("template", level + 1, depth + 1))
+        shapes = shapes.join(star, [*parent_key, "child"], "left").withColumn(
+            "template", F.when(F.col("star"), open_).otherwise(F.col("template"))).drop("star", "parent", "child")
         shapes = cut_lineage(shapes)
     return shapes
 
 
-def template_verdicts(pages: DataFrame, depth: int = 6, fanout: int = 20, z: float = 2.0, weight: float = 10.0,
+def template_verdicts(pages: DataFrame, depth: int = 6, z: float = 2.0, least: int = 5, weight: float = 10.0,
                       reject: float = 0.6) -> DataFrame:
     """``pages(host, shape, label)`` (label: block, allow or null) -> ``(host, shape, template, purity,
     blocked)`` for each distinct host and shape."""
     block = F.count_if(F.col("label") == "block")
     shapes = cut_lineage(pages.groupBy("host", "shape").agg(F.count("label").alias("n"), block.alias("k")))
     deepest = shapes.agg(F.max(F.size("shape"))).first()[0] or 0         # at most depth + 1
-    shapes = _generalised(shapes, min(depth, deepest), fanout)
-    shapes = shapes.withColumn("parent", F.slice("template", 1, F.greatest(F.size("template") - 1, F.lit(0))))
-    leaf = shapes.groupBy("host", "parent", "template").agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
-    above = leaf.groupBy("host", "parent").agg(F.sum("n").alias("pn"), F.sum("k").alias("pk"))
-    leaf = leaf.join(above, ["host", "parent"])
-    rest, pooled = F.col("pn") - F.col("n"), F.col("pk") / F.col("pn")
-    spread = F.sqrt(pooled * (1 - pooled) * (1 / F.col("n") + 1 / rest))
-    gap = F.abs(F.col("k") / F.col("n") - (F.col("pk") - F.col("k")) / rest)
-    alone = F.when((F.col("n") == 0) | (rest == 0), False).otherwise(gap > z * spread)
-    leaf = leaf.withColumn("merged", F.when(alone, F.col("template")).otherwise(
-        F.concat("parent", F.array(F.lit("*")))))
-    total = leaf.groupBy("host", "merged").agg(F.sum("n").alias("mn"), F.sum("k").alias("mk"))
+    shapes = _merged(shapes, deepest, z, least)
+    leaf = shapes.groupBy("host", F.col("template").alias("merged")).agg(F.sum("n").alias("n"), F.sum("k").alias("k"))
     hosts = leaf.groupBy("host").agg(F.sum("n").alias("hn"), F.sum("k").alias("hk"))
     every = leaf.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.coalesce(F.sum("k"), F.lit(0)).alias("k")).first()
     prior = every["k"] / every["n"] if every["n"] else 0.0
     host_share = (F.col("hk") + weight * prior) / (F.col("hn") + weight)
-    purity = (F.col("mk") + weight * host_share) / (F.col("mn") + weight)
-    judged = total.join(hosts, "host").select("host", "merged", purity.alias("purity"))
-    return (shapes.join(leaf.select("host", "template", "merged"), ["host", "template"])
-            .join(judged, ["host", "merged"])
+    purity = (F.col("k") + weight * host_share) / (F.col("n") + weight)
+    judged = leaf.join(hosts, "host").select("host", "merged", purity.alias("purity"))
+    return (shapes.withColumnRenamed("template", "merged").join(judged, ["host", "merged"])
             .select("host", "shape", F.concat(F.lit("/"), F.array_join("merged", "/")).alias("template"), "purity",
                     (F.col("purity") >= reject).alias("blocked")))
 
