@@ -91,25 +91,25 @@ def snapshot_sections(scored: DataFrame, k: int = 50, threshold: int = 5) -> dic
 
 def snapshot(scored: DataFrame, k: int = 50, threshold: int = 5,
              generated_at: str | None = None) -> DataFrame:
-    """One long table with every snapshot row: section, key, metric, count.
+    """One long table with every snapshot row: section, key, metric, count, and every column of the three
+    analyses (null in the sections that lack it).
 
     ``generated_at`` (ISO text) stamps every row of one snapshot; by default
     the query's current timestamp.
     """
     s = snapshot_sections(scored, k=k, threshold=threshold)
     stamp = F.lit(generated_at).cast("timestamp") if generated_at else F.current_timestamp()
-    freq = s["reviewer_frequency"].select(
-        F.lit("reviewer_frequency").alias("section"), F.col("reviewer_id").alias("item_key"),
-        F.col("fake_ratio").cast("double").alias("metric"), F.col("total_reviews").cast("long").alias("item_count"))
-    bursts = s["burst_events"].select(
-        F.lit("burst_events").alias("section"),
-        F.concat_ws("|", "product_asin", "hour").alias("item_key"),
-        F.col("avg_rating").cast("double").alias("metric"), F.col("review_count").cast("long").alias("item_count"))
-    dev = s["rating_deviations"].select(
-        F.lit("rating_deviations").alias("section"), F.col("product_asin").alias("item_key"),
-        F.col("rating_inflation").cast("double").alias("metric"),
-        F.col("total_reviews").cast("long").alias("item_count"))
-    return freq.unionByName(bursts).unionByName(dev).withColumn("generated_at", stamp)
+
+    def rows(section: str, key, metric: str, count: str) -> DataFrame:
+        return s[section].select(F.lit(section).alias("section"), key.alias("item_key"),
+                                 F.col(metric).cast("double").alias("metric"),
+                                 F.col(count).cast("long").alias("item_count"), "*")
+
+    freq = rows("reviewer_frequency", F.col("reviewer_id"), "fake_ratio", "total_reviews")
+    bursts = rows("burst_events", F.concat_ws("|", "product_asin", "hour"), "avg_rating", "review_count")
+    dev = rows("rating_deviations", F.col("product_asin"), "rating_inflation", "total_reviews")
+    return (freq.unionByName(bursts, allowMissingColumns=True).unionByName(dev, allowMissingColumns=True)
+            .withColumn("generated_at", stamp))
 
 
 __all__ = ["overall_summary", "rating_distribution", "class_balance", "top_suspicious_reviews",

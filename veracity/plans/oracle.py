@@ -268,14 +268,15 @@ ORACLE["rating_inflation_report"] = _scored(_deviation("score_tenths >= 5", Fals
 ORACLE["analytics_snapshot"] = _scored(f"""
 SELECT * FROM (
   SELECT 'reviewer_frequency' AS section, reviewer_id AS item_key, CAST(fake_ratio AS DOUBLE) AS metric,
-         CAST(total_reviews AS BIGINT) AS item_count
+         CAST(total_reviews AS BIGINT) AS item_count, *
   FROM ({FREQ_SQL}) ORDER BY fake_ratio DESC, reviewer_id LIMIT 50)
-UNION ALL
-SELECT 'burst_events', concat_ws('|', product_asin, hour), CAST(avg_rating AS DOUBLE),
-       CAST(review_count AS BIGINT) FROM ({HOURLY_SQL})
-UNION ALL
+UNION ALL BY NAME
+SELECT 'burst_events' AS section, concat_ws('|', product_asin, hour) AS item_key, CAST(avg_rating AS DOUBLE) AS metric,
+       CAST(review_count AS BIGINT) AS item_count, * FROM ({HOURLY_SQL})
+UNION ALL BY NAME
 SELECT * FROM (
-  SELECT 'rating_deviations', product_asin, CAST(rating_inflation AS DOUBLE), CAST(total_reviews AS BIGINT)
+  SELECT 'rating_deviations' AS section, product_asin AS item_key, CAST(rating_inflation AS DOUBLE) AS metric,
+         CAST(total_reviews AS BIGINT) AS item_count, *
   FROM ({DEVIATION_SQL}) ORDER BY abs(rating_inflation) DESC, product_asin LIMIT 50)""")
 
 ORACLE["overall_summary"] = _scored(f"""
@@ -579,3 +580,15 @@ vocab AS (SELECT term, sum(n) AS term_freq, count(*) AS df FROM tf GROUP BY term
           ORDER BY term_freq DESC, term LIMIT 300),
 w AS (SELECT review_id, term, n * ln(((SELECT count(*) FROM reviews) + 1.0e0) / (df + 1.0e0)) AS x FROM tf JOIN vocab USING (term))
 SELECT review_id, term, round(x / sqrt(sum(x * x) OVER (PARTITION BY review_id)), 6) AS weight FROM w WHERE x <> 0"""
+
+# Expected records of the pages that ``fixture.review_pages_from_tables`` writes, from the values written.
+ORACLE["extract_review_records"] = r"""
+WITH t AS (SELECT page_id, trim(regexp_extract(coalesce(html, ''), '<title>([^<&]*)', 1)) AS title
+           FROM pages)
+SELECT page_id, 0 AS block_no, 'R' || page_id AS review_id, 'B' || page_id % 7 AS product_asin,
+       'A' || page_id AS reviewer_id, 'Name & ' || page_id AS reviewer_name, (page_id % 5 + 1)::DOUBLE AS rating,
+       'Title ' || page_id AS title, title AS body, 'Reviewed in the United States on January 1, 2024' AS date,
+       page_id % 2 = 0 AS verified_purchase, (page_id % 9)::INTEGER AS helpful_votes FROM t
+UNION ALL
+SELECT page_id, 1, CASE WHEN page_id % 4 > 0 THEN 'S' || page_id END, 'B' || page_id % 7, 'UNKNOWN', '', 0, '', title, '', false, 0
+FROM t"""

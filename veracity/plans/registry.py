@@ -26,7 +26,7 @@ from veracity.operators import reviewers as rv
 from veracity.operators import sampling as sm
 from veracity.operators import signals as sg
 from veracity.sources import pages as pg
-from veracity.sources.fixture import review_source_from_tables, reviews_from_tables
+from veracity.sources.fixture import review_pages_from_tables, review_source_from_tables, reviews_from_tables
 from veracity.sources.tables import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -333,6 +333,12 @@ def q_extract_page_records(spark, sf_dir):
     return pg.extract_page_records(pages, layout="article")
 
 
+@register("extract_review_records")
+def q_extract_review_records(spark, sf_dir):
+    """The review layout over every page (wrapped into it by the fixture)."""
+    return pg.extract_page_records(review_pages_from_tables(spark, sf_dir), layout="review").drop("scraped_at")
+
+
 @register("tfidf_weights")
 def q_tfidf_weights(spark, sf_dir):
     """The local trainer's TF-IDF matrix as rows."""

@@ -208,3 +208,27 @@ FROM (SELECT ev.*, ev.event_id % n.n_docs AS doc_key
       FROM events ev CROSS JOIN (SELECT count(*) AS n_docs FROM documents) n) e
 JOIN documents d ON d.doc_id = e.doc_key
 """
+
+
+def review_pages_from_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every ``pages`` row as a page in the review layout: a whole review, one without date, profile, badge,
+    rating and votes (and for every fourth page without an id), nested blocks, then a footer and the original
+    page, whose marks belong to no review."""
+    p = read_table(spark, sf_dir, "pages")
+    k = F.col("page_id").cast("string")
+    text = F.regexp_extract(F.coalesce("html", F.lit("")), "<title>([^<&]*)", 1)
+    badge = F.when(F.col("page_id") % 2 == 0, '<span data-hook="avp-badge">Verified</span>').otherwise("")
+    own_id = F.when(F.col("page_id") % 4 > 0, F.concat(F.lit(' id="S'), k, F.lit('"'))).otherwise("")
+    whole = F.concat(
+        F.lit('<div id="list"><div id="R'), k, F.lit('" data-id="WRONG" data-hook="review" class="review"><div><a href="/profile/A'), k,
+        F.lit('"><span class="a-profile-name">Name &amp; '), k, F.lit('</span></a></div><i data-hook="review-star-rating"><span>'),
+        (F.col("page_id") % 5 + 1).cast("string"), F.lit('.0 out of 5 stars</span></i><a data-hook="review-title"><i></i><span>Title '), k,
+        F.lit('</span></a><span data-hook="review-date">Reviewed in the United States on January 1, 2024</span>'), badge,
+        F.lit('<div><span data-hook="review-body"><span>'), text, F.lit('</span></span></div><span data-hook="helpful-vote-statement">'),
+        (F.col("page_id") % 9).cast("string"), F.lit(' people found this helpful</span></div>'))
+    bare = F.concat(F.lit("<div"), own_id, F.lit(' data-id="WRONG" data-hook="review"><div><div></div><span data-hook="review-body"><span>'),
+                    text, F.lit("</span></span></div></div>"))
+    footer = F.lit('<div id="foot"><span data-hook="review-date">on May 5, 2020</span><a href="/profile/ZZZ">x</a>'
+                   '<span data-hook="avp-badge">v</span></div></div>')
+    return p.select("page_id", F.concat(F.lit("https://shop.example/product-reviews/B"), (F.col("page_id") % 7).cast("string")).alias("url"),
+                    F.concat(whole, bare, footer, F.coalesce("html", F.lit(""))).alias("html"))

@@ -8,7 +8,7 @@ pattern per field), applied with ``regexp_extract_all`` + ``explode`` and
 is a narrow map over the page table.
 
 Layouts:
-- ``review``: blocks ``<div ... data-hook="review" ...>``; fields and
+- ``review``: elements ``<div ... data-hook="review" ...>`` up to their own end tags; fields and
   defaults as the crawler had them (rating 0, helpful 0, reviewer
   'UNKNOWN', blank strings).
 - ``article``: one block per ``<article>``; title is the ``<h1>`` text and
@@ -24,13 +24,15 @@ from veracity.functions import lexicons as lx
 
 Q = "[\"']"  # attribute quote
 
-# Block patterns: group 1 is the block content.
-REVIEW_BLOCK = rf"(?s)(<div[^>]*data-hook={Q}review{Q}.*?)(?=<div[^>]*data-hook={Q}review{Q}|$)"
+# A review's block: a div element with this start tag, up to its own end tag.
+REVIEW_START = rf"^<div(?=\s)[^>]*\sdata-hook={Q}review{Q}"
+DIV_TAG = r"(?=<div[\s>]|</div\s*>)"
+# Block pattern: group 1 is the block content.
 ARTICLE_BLOCK = r"(?s)<article[^>]*>(.*?)</article>"
 
 # Field patterns of the review layout (group 1 is the value).
 REVIEW_FIELDS = {
-    "review_id": rf"^<div[^>]*\bid={Q}([^\"']*){Q}",
+    "review_id": rf"^<div(?:[^>]*\s)?id={Q}([^\"']*){Q}",
     "reviewer_id": r"/profile/([A-Z0-9]+)",
     "reviewer_name": rf"(?s)<span[^>]*class={Q}a-profile-name{Q}[^>]*>([^<]*)",
     "rating_text": rf"(?s)data-hook={Q}review-star-rating{Q}[^>]*>\s*<span[^>]*>([^<]*)",
@@ -64,14 +66,35 @@ def _clean_text(col: Column) -> Column:
     return F.trim(F.regexp_replace(no_tags, SPACE_RUN, " "))
 
 
+def elements(html: str, start: str) -> tuple[Column, Column]:
+    """The div elements whose start tag matches ``start``: a column ``c`` to select first, and over it the
+    array of the elements' whole texts.
+
+    The page is cut before every div tag; the running number of open divs at each cut tells where an
+    element's own end tag is. An element that is never closed runs to the end of the page.
+    """
+    cuts = F.split(F.coalesce(F.col(html), F.lit("")), DIV_TAG)
+    depth = F.aggregate(
+        F.transform(cuts, lambda c: F.when(F.startswith(c, F.lit("</div")), -1).when(c.rlike(r"^<div[\s>]"), 1).otherwise(0)),
+        F.array().cast("array<int>"), lambda d, x: F.concat(d, F.array(F.coalesce(F.try_element_at(d, F.lit(-1)), F.lit(0)) + x)))
+    at = F.filter(F.sequence(F.lit(1), F.size("c.cuts")), lambda i: F.element_at("c.cuts", i).rlike(start))
+
+    def whole(i: Column) -> Column:
+        left = F.size("c.cuts") - i
+        end = F.array_position(F.slice("c.depth", i + 1, left), F.element_at("c.depth", i) - 1)
+        return F.array_join(F.slice("c.cuts", i, F.when(end > 0, end).otherwise(left + 1).cast("int")), "")
+
+    return F.struct(cuts.alias("cuts"), depth.alias("depth")).alias("c"), F.transform(at, whole)
+
+
 def extract_review_blocks(pages: DataFrame, scraped_at: Column | None = None) -> DataFrame:
     """Raw-review rows from pages in the review layout (one row per block).
 
     A field is its element's first text node, entities decoded. ``scraped_at``
     defaults to the current timestamp.
     """
-    blocks = pages.select("page_id", "url", F.posexplode(F.regexp_extract_all("html", F.lit(REVIEW_BLOCK), 1))
-                          .alias("block_no", "block"))
+    cut, found = elements("html", REVIEW_START)
+    blocks = pages.select("page_id", "url", cut).select("page_id", "url", F.posexplode(found).alias("block_no", "block"))
     b = F.col("block")
     rid = _ex(b, REVIEW_FIELDS["review_id"])
     rating_tok = F.split(F.trim(_ex(b, REVIEW_FIELDS["rating_text"])), " ").getItem(0)

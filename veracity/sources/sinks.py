@@ -33,6 +33,15 @@ def append_table(df: DataFrame, path: str, fmt: str = "parquet", options: dict |
     w.save(path)
 
 
+def append_run(df: DataFrame, path: str, run_id: str, fmt: str = "parquet") -> None:
+    """Append the rows of one run, so that running it again leaves one copy.
+
+    The run is a partition (column ``run_id``) and only that partition is replaced; a run without rows
+    clears nothing, since it writes to no partition."""
+    (df.withColumn("run_id", F.lit(run_id)).write.mode("overwrite").format(fmt)
+     .option("partitionOverwriteMode", "dynamic").partitionBy("run_id").save(path))
+
+
 def save_as_table(df: DataFrame, name: str, if_exists: str = "replace", path: str | None = None) -> None:
     """Materialise a named table: ``replace`` (drop and create) or ``keep`` (create if absent).
 
@@ -51,18 +60,24 @@ def export_csv(df: DataFrame, path: str, single_file: bool = False) -> None:
     out.write.mode("overwrite").option("header", True).csv(path)
 
 
-def append_summary(processed: DataFrame, path: str, threshold: float = 0.5, fmt: str = "parquet") -> None:
-    """Append one summary row (generated_at, totals, fake %) to a snapshot table."""
+def append_summary(processed: DataFrame, path: str, threshold: float = 0.5, fmt: str = "parquet",
+                   run_id: str | None = None) -> None:
+    """Append one summary row (generated_at, totals, fake %) to a snapshot table; once per ``run_id`` if given."""
     from veracity.operators.reports import overall_summary
-    overall_summary(processed, threshold).withColumn("generated_at", F.current_timestamp()) \
-        .write.mode("append").format(fmt).save(path)
+    out = overall_summary(processed, threshold).withColumn("generated_at", F.current_timestamp())
+    if run_id is not None:
+        return append_run(out, path, run_id, fmt)
+    out.write.mode("append").format(fmt).save(path)
 
 
-def append_snapshot(scored: DataFrame, path: str, k: int = 50, fmt: str = "parquet") -> None:
-    """Append one analytics snapshot (all its rows share one generated_at)."""
+def append_snapshot(scored: DataFrame, path: str, k: int = 50, fmt: str = "parquet", run_id: str | None = None) -> None:
+    """Append one analytics snapshot (all its rows share one generated_at); once per ``run_id`` if given."""
     from veracity.operators.reports import snapshot
     stamp = scored.sparkSession.sql("SELECT current_timestamp() AS t").first()["t"].isoformat()
-    snapshot(scored, k=k, generated_at=stamp).write.mode("append").format(fmt).save(path)
+    out = snapshot(scored, k=k, generated_at=stamp)
+    if run_id is not None:
+        return append_run(out, path, run_id, fmt)
+    out.write.mode("append").format(fmt).save(path)
 
 
 def save_bucketed(df: DataFrame, name: str, key: str = "reviewer_id", buckets: int = 512,
