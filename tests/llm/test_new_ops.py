@@ -162,3 +162,8 @@ def test_conversations(spark):
 def test_turnless_only(spark):
     df = spark.createDataFrame([(3, []), (4, [])], "conv long, tokens array<struct<a:long,b:long,w:long>>")
     assert trie_rows(prefix_trie(df, "conv", "tokens")) == brute_trie({3: [], 4: []})
+
+
+def test_letters_are_of_category_l():
+    from veracity.llm.langid import _LETTER
+    assert not any(_LETTER.search(t) for t in ("½ ½", "²", "Ⅷ", "①", "12 _ !", "")) and all(map(_LETTER.search, ("é", "日", "ß 1")))
