@@ -6,14 +6,20 @@ types from a sample and malformed input cannot change the schema.
 
 from __future__ import annotations
 
+import csv
+import re
 import warnings
-from collections.abc import Iterable
+from collections.abc import Iterable, Iterator
+from urllib.parse import unquote
 
+import pyarrow as pa
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from veracity.sources.arrays import fixed_splits, read_array
+
 RAW_REVIEW = T.StructType([
     T.StructField("review_id", T.StringType()),
     T.StructField("product_asin", T.StringType()),
@@ -75,29 +81,82 @@ DECLARED_TABLE = T.StructType([
 def read_review_csv(spark: SparkSession, paths: Iterable[str]) -> DataFrame:
     """Read CSV exports with a header and stack them by column name.
 
-    Paths are de-duplicated (overlapping globs listed files twice); columns
-    missing from a file become NULL. All values are read as strings; quoted
-    fields may span lines. A path that cannot be opened is skipped with a
-    warning; if none can, the read fails.
+    One job reads the first record of every file; files are grouped by header, and each header is one
+    scan with a declared schema, however many files have it. Overlapping globs give a file once; columns
+    missing from a file become NULL. All values are read as strings; quoted fields may span lines. A
+    path that cannot be found is skipped with a warning, an empty file has no rows; if no file has a
+    header, the read fails.
     """
     unique = list(dict.fromkeys(paths))
     out = None
-    for p in unique:
-        try:
-            df = (spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-                  .option("mode", "PERMISSIVE").csv(p))
-        except AnalysisException as e:
-            warnings.warn(f"skipping unreadable CSV {p}: {e}")
-            continue
+    for group in sorted(csv_headers(spark, unique).collect()):          # one row a header
+        schema = T.StructType([T.StructField(c, T.StringType()) for c in header_names(group["header"])])
+        df = (spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"')
+              .option("mode", "PERMISSIVE").csv([_GLOB.sub(r"\\\g<0>", f) for f in map(unquote, group["files"])]))
         out = df if out is None else out.unionByName(df, allowMissingColumns=True)
     if out is None:
         raise ValueError(f"no readable CSV among {unique}")
     return out
 
 
+HEADER_LINES = 1024
+_GLOB = re.compile(r"[\\{}\[\]*?]")
+
+
+def csv_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """``header, files``: the files under ``paths`` by their first record. A task opens one file and
+    stops after its first lines (a header record of up to HEADER_LINES lines is seen whole)."""
+    probe = fixed_splits(spark, 1 << 40)                                 # a file a task
+    probe.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(HEADER_LINES))
+    lines = _text_of(probe, paths)
+    if lines is None:
+        return spark.createDataFrame([], "header array<string>, files array<string>")
+    return (lines.select("_metadata.file_path", "_metadata.file_block_start", "value")
+            .mapInArrow(_first_record, "file string, header array<string>")
+            .groupBy("header").agg(F.sort_array(F.collect_set("file")).alias("files")))
+
+
+def header_names(header: list[str]) -> list[str]:
+    """Column names of a header record: an unnamed column is called by its place, and names that
+    repeat (in any case) get their place appended."""
+    low = [c.lower() for c in header]
+    return [f"_c{k}" if not c else f"{c}{k}" if low.count(low[k]) > 1 else c for k, c in enumerate(header)]
+
+
+def _text_of(spark: SparkSession, paths: list[str]) -> DataFrame | None:
+    """The lines of all paths that exist, with a warning for each that does not."""
+    left = list(paths)
+    while left:
+        try:
+            return spark.read.text(left)
+        except AnalysisException as e:
+            lost = (e.getMessageParameters() or {}).get("path", "")
+            gone = [p for p in left if lost.endswith(p.split(":", 1)[-1].lstrip("/"))]
+            if e.getCondition() != "PATH_NOT_FOUND" or not gone:
+                raise
+            warnings.warn(f"skipping unreadable CSV {gone[0]}: {e}")
+            left.remove(gone[0])
+    return None
+
+
+def _first_record(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in batches:
+        if not b.num_rows or b.column(1)[0].as_py():                     # of a cut file, the first split alone
+            return
+        lines = [line or "" for line in b.column(2).to_pylist()]
+        lines[0] = lines[0].removeprefix("\ufeff")
+        record = next((r for r in csv.reader(line + "\n" for line in lines) if r), None)
+        if record:
+            yield pa.RecordBatch.from_arrays([pa.array([b.column(0)[0].as_py()]), pa.array([record], pa.list_(pa.string()))],
+                                             ["file", "header"])
+        if b.num_rows < HEADER_LINES:
+            next(batches, None)                                          # read to its end, the worker is used again
+        return                                                           # the rest of a longer file stays unread
+
+
 def read_review_array(spark: SparkSession, path: str, schema: T.StructType = RAW_REVIEW) -> DataFrame:
-    """A file holding one JSON array of review objects (possibly indented)."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+    """Files holding one JSON array of review objects each (indented or not), read by byte ranges."""
+    return read_array(spark, path, schema)
 
 
 def read_review_lines(spark: SparkSession, path: str, schema: T.StructType = PROCESSED_REVIEW) -> DataFrame:
