@@ -11,7 +11,7 @@ from veracity.llm import urls as U
 from veracity.llm.chat import escaped, format_conversations, loss_text, parsed, unescaped
 from veracity.llm.decontam import benchmark_hits, contaminated, hit_words
 from veracity.llm.langid import BiGRU, UNKNOWN, identify_languages, predict_language, train_language_model
-from veracity.llm.licenses import NOTICES, PHRASES, TELLING, scan_licenses
+from veracity.llm.licenses import NOTICES, PHRASES, scan_licenses
 
 from .conftest import lower
 
@@ -64,42 +64,66 @@ def test_escape_is_reversible(spark):
 
 # -- licenses ----------------------------------------------------------------------------------
 
+def names_notice(label, block, before):
+    """Whether a block, ``before`` being the word ahead of it, says what tells its notice from the others."""
+    held, b = set(block) & {w for t in NOTICES.values() for w in t.split()}, [before, *block]
+    ahead = [b[i - 1] for i in range(1, len(b)) if b[i] == "general"]
+    if label in ("agpl", "apache"):
+        return {"agpl": "affero", "apache": "apache"}[label] in held
+    if label in ("cc-by-nc", "cc-by-sa"):
+        own = label[-2:]
+        return any(b[i] == own and {"cc", "by"} & set(b[max(i - 3, 0):i]) for i in range(1, len(b)))
+    if label == "gpl":
+        return not ahead or any(w not in ("affero", "lesser", "library") for w in ahead)
+    if label == "lgpl":
+        return "lesser" in held or "library" in held and "library" in ahead
+    return True
+
+
 def brute_license(t):
-    w, places, base, more, best = words(t), [], set(), set(), 0.0
+    w, places, base = words(t), [], set()
     for phrase, label in PHRASES.items():
         p = phrase.split()
         at = [i for i in range(len(w) - len(p) + 1) if w[i:i + len(p)] == p]
         places += at
         base |= {label} if at else set()
-    for line in (t or "").split("\n"):
-        lw = words(line)
-        for b in [lw] if len(lw) <= 64 else [lw[a:a + 64] for a in range(0, len(lw) - 32, 32)]:
+    named, near = {}, {}
+    lines = (t or "").split("\n")
+    for lw in map(words, lines if len(lines) == 1 else [*lines, t]):
+        for a in [0] if len(lw) <= 64 else range(0, len(lw) - 32, 32):
+            b = lw[a:a + 64]
             for label, notice in NOTICES.items():
                 n = set(notice.split())
+                share = len(n & set(b)) / len(n)
                 if 100 * len(n & set(b)) >= 80 * len(n):
-                    more.add(label)
-                    best = max(best, len(n & set(b)) / len(n))
+                    near[label] = max(near.get(label, 0.0), share)
+                    if names_notice(label, b, lw[a - 1] if a else ""):
+                        named[label] = max(named.get(label, 0.0), share)
     return (len(w), len(places), min(places, default=None), max(places, default=None), ",".join(sorted(base)),
-            ",".join(sorted(base | more)), 1.0 if places else best)
+            ",".join(sorted(base | set(named))), 1.0 if places else max(named.values(), default=0.0),
+            ",".join(sorted(near)), max(near.values(), default=0.0))
 
 
 def test_license_scan(spark, docs, no_docs, base_words):
     rng, extra = random.Random(9), []
-    for k in range(120):
+    for k in range(160):
         notice = rng.choice(list(NOTICES.values())).split()
         for _ in range(rng.choice([0, 1, 2, 3, 5])):
-            notice[rng.randrange(len(notice))] = rng.choice(base_words)
+            notice[rng.randrange(len(notice))] = rng.choice([*base_words[:9], "general", "library", "nc", "sa", "by", "affero"])
+        if k % 4 == 0:                                                   # wrapped over lines
+            notice.insert(rng.randrange(len(notice)), "\n")
         before = [rng.choice(base_words) for _ in range(rng.choice([0, 3, 40, 90]))]
         extra.append(" ".join(before) + rng.choice(["\n", " "]) + " ".join(notice).upper())
     extra += ["cc by cc by mit license, MIT License", "gnu general public license" * 2, "apache\nlicense", "cc-by cc  by"]
+    extra += [t for t, _ in NEAR] + [t for t, _ in WRAPPED] + [None, "", "\n\n"]
     rows = [(r.doc_id, r.text) for r in docs.collect()] + [(1000 + k, t) for k, t in enumerate(extra)]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
-    got = sorted(str((r.doc_id, (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score)))
-                 for r in scan_licenses(df).collect())
+    got = sorted(str((r.doc_id, (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, r.score,
+                                 r.notices, r.notice_score))) for r in scan_licenses(df).collect())
     assert got == sorted(str((d, brute_license(t))) for d, t in rows)
     assert scan_licenses(no_docs).count() == 0
-    none = spark.createDataFrame([(1, "nothing here")], "doc_id long, text string")
-    assert scan_licenses(none).first().labels == ""
+    none = spark.createDataFrame([(1, "nothing here")], "w long, places string")
+    assert scan_licenses(none, "w", "places").first().labels == ""
 
 
 GNU = ("This {0} is free software: you can redistribute it and/or modify it under the terms of the GNU {1}General "
@@ -123,7 +147,7 @@ NEAR = [
 
 def test_near_identical_notices(spark):
     df = spark.createDataFrame([(k, t) for k, (t, _) in enumerate(NEAR)], "doc_id long, text string")
-    got = {NEAR[r.doc_id][0]: r.labels for r in scan_licenses(df, telling=TELLING).collect()}
+    got = {NEAR[r.doc_id][0]: r.labels for r in scan_licenses(df).collect()}
     assert got == dict(NEAR)
 
 
@@ -159,7 +183,7 @@ def test_wrapped_notices(spark, base_words):
             around = [" ".join(rng.choice(base_words) for _ in range(n)) for _ in "ab"]
             rows.append((100 * k + len(rows), f"{around[0]}\n{t}\n{around[1]}" if n else t, label))
     df = spark.createDataFrame(rows, "doc_id long, text string, label string")
-    out = scan_licenses(df, telling=TELLING, wrapped=True).collect()
+    out = scan_licenses(df).collect()
     assert {r.doc_id: r.labels for r in out} == {k: label for k, _, label in rows}
 
 
