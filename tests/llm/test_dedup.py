@@ -61,6 +61,26 @@ def test_false_hit_is_verified():
     assert not b.add(two, 3) and b.keys[two] == [2, 2] and b.verified == 2
 
 
+def test_delete_rows_takes_the_least_id_again(spark):
+    rng = random.Random(8)
+    rows = [(k if k else None, hashlib.sha256(str(rng.choice([0, 0, rng.randint(1, 40)])).encode()).digest()) for k in range(300)]
+    live = spark.createDataFrame([(i, bytearray(d)) for i, d in rows], "id long, digest binary")
+    index = C.build_index(C.partial_groups(live), 4)
+    first = {d: i for i, d in reversed(rows) if i is not None}
+    gone = [(i, d) for i, d in rows if first.get(d) == i or rng.random() < 0.3]
+    unknown = [(5000, rows[0][1]), (1, hashlib.sha256(b"?").digest())]
+    out, stay = C.delete_rows(index, live, spark.createDataFrame(
+        [(i, bytearray(d)) for i, d in gone + unknown], "id long, digest binary"), 4)
+    want = {}
+    for i, d in rows:
+        if (i, d) not in gone:
+            want.setdefault(d, []).append(i)
+    got = {bytes(r.digest): (r.least, r.rows) for r in out.where("digest is not null").collect()}
+    assert got == {d: (min((i for i in v if i is not None), default=None), len(v)) for d, v in want.items()}
+    assert stay.count() == len(rows) - len(gone)
+    assert out.where("digest is null").count() == 4
+
+
 def test_update_index(spark):
     def change(texts, remove=False):
         rows = [(bytearray(hashlib.sha256(t.encode()).digest()), i, 1, remove) for t, i in texts]
@@ -144,6 +164,14 @@ def test_line_dedup_brute_force(line_docs):
     assert dropped > 40
 
 
+def test_line_dedup_clashing_names(spark):
+    rows = [(1, "one two three four five six", 7, "a", 2), (2, "one two three four five six\nother", 8, "b", 3)]
+    df = spark.createDataFrame(rows, ["__id", "__kept", "__th", "h.1", "__no"])
+    out = dedup_lines(df, "__id", "__kept", n_lines_col="n", n_dropped_col="lost")
+    assert out.columns == [*df.columns, "n", "lost"]
+    assert sorted(map(tuple, out.collect())) == [(*rows[0], 1, 0), (2, "other", 8, "b", 3, 2, 1)]
+
+
 def test_line_dedup_awkward(docs, no_docs, awkward_texts):
     rows = [(d, t) for d, t, *_ in doc_rows(awkward_texts)]
     same_id = [r for r in rows if r[0] == 10]

@@ -192,7 +192,7 @@ def update_index(index: DataFrame, changes: DataFrame, buckets: int) -> DataFram
 
     Buckets are cogrouped, so each task sees one bucket's keys, its filter and its changes.
     Deletions name live digests; of an unknown digest they change nothing. The least id of a
-    content that stays is kept when some of its rows go.
+    content that stays is kept when some of its rows go; ``delete_rows`` takes it again.
     """
     id_type = index.schema["least"].dataType.simpleString()
     worker_path(index.sparkSession)
@@ -222,6 +222,21 @@ def update_index(index: DataFrame, changes: DataFrame, buckets: int) -> DataFram
             .applyInPandas(apply, f"bucket int, digest binary, least {id_type}, rows long, filter binary"))
 
 
+def delete_rows(index: DataFrame, live: DataFrame, gone: DataFrame, buckets: int) -> tuple[DataFrame, DataFrame]:
+    """The index after the rows ``gone(id, digest)`` leave ``live(id, digest)``, and the rows that stay.
+
+    Rows that are not live change nothing. A content that lost rows takes its least id again from those
+    that stay, counted in salted parts, so the index never names a deleted row."""
+    same = F.col("r.id").eqNullSafe(F.col("g.id")) & (F.col("r.digest") == F.col("g.digest"))
+    lost = live.alias("r").join(gone.alias("g"), same, "left_semi")
+    stay = live.alias("r").join(gone.alias("g"), same, "left_anti")
+    out = update_index(index, partial_groups(lost).withColumn("remove", F.lit(True)), buckets)
+    again = (partial_groups(stay.join(lost.select("digest").distinct(), "digest", "left_semi"))
+             .groupBy("digest").agg(F.min("least").alias("again"), F.lit(True).alias("changed")))
+    out = out.join(again, "digest", "left").withColumn("least", F.when(F.col("changed"), F.col("again")).otherwise(F.col("least")))
+    return out.select(*index.columns), stay
+
+
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                      keys_per_bucket: int = KEYS_PER_BUCKET) -> DataFrame:
     """One row per row of ``docs``: ``id_col, keep_id, group_size, kept, text_sha256``.

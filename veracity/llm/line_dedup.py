@@ -154,6 +154,9 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 n_lines_col: str | None = None, n_dropped_col: str | None = None) -> DataFrame:
     """``docs`` with the duplicate lines taken out of ``text_col``; optionally with the number of
     lines that each document had and lost."""
+    given = docs.columns                                        # worked on by place, whatever the names
+    docs = docs.toDF(*[f"c{k}" for k in range(len(given))])
+    id_col, text_col = f"c{given.index(id_col)}", f"c{given.index(text_col)}"
     lines = _lines(docs, id_col, text_col)
     # Hashes without words, once for all that need no words: a fraction of the text.
     hashed = cut_lineage(lines.select(_ID, _TH, _NO, "n", "h1", "h2", _keys(min_words)))
@@ -178,6 +181,5 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if n_dropped_col:
         extra[n_dropped_col] = F.when(F.col(text_col).isNull(), 0).otherwise(
             F.size(split) - n_blank - F.size("__kept")).cast("long")
-    cols = [*[F.col(c) for c in docs.columns if c != text_col], stays.alias(text_col),
-            *[v.alias(k) for k, v in extra.items()]]
-    return out.select(*cols).select(*docs.columns, *extra)
+    cols = [stays.alias(c) if c == text_col else F.col(c) for c in docs.columns]
+    return out.select(*cols, *[v.alias(f"x{k}") for k, v in enumerate(extra.values())]).toDF(*given, *extra)
