@@ -16,8 +16,9 @@ line emit variants, and only for the other half's positions. Equal variants are
 earliest line of their key, never with each other, and the pair's words are compared to verify the
 distance. A key that a third of all lines share costs one row a line and is pre-aggregated.
 
-Everything is DataFrame functions. The screen's shared halves are held in a bitmap of bounded
-size (rows of 4 kB), which is broadcast; what it lets through by mistake fails the exact join.
+Everything is DataFrame functions. The screen's shared halves, and the places of the lines that
+pass it, are held in bitmaps of fixed size (one value, a scalar subquery); what they let through by
+mistake fails the exact joins. Only lines that pass are split into words again.
 
 Defined cases: null text counts as empty and stays null; line ends are line feeds; rows that
 repeat an id and its text are one document; an empty table gives no rows; a null id sorts first.
@@ -31,24 +32,32 @@ from pyspark.sql import functions as F
 
 from veracity.llm.common import cut_lineage
 
-#: Bits of the screen's bitmap (8 MB), in rows of 2**15 bits.
+#: Bits of a bitmap (8 MB, whatever the number of lines), built in rows of 2**15 bits.
 LOG2_BITS = 26
 _ROW_BITS = 15
 _ID, _TH, _NO = "__id", "__th", "__no"
 
 
 def _lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """(__id, __th, __no, w, n, h1, h2): the words of each line, and their 128-bit hash."""
+    """(__id, __th, __no, line), other white space than line feeds as spaces."""
     # The text's hash and its split stay below the generator, once a document. All generators here
     # are outer ones: for the others Spark infers a filter that works out their input once more.
-    rows = docs.select(F.col(id_col).alias(_ID), F.xxhash64(text_col).alias(_TH),
-                       F.split(text_col, "\n").alias("lines"))
-    rows = rows.select(_ID, _TH, F.posexplode_outer("lines").alias(_NO, "line"))
-    spaced = F.col("line")
+    text = F.col(text_col)
     for white in "\t\x0b\x0c\r":                                # then one plain character splits, no pattern
-        spaced = F.replace(spaced, F.lit(white), F.lit(" "))
-    rows = rows.select(_ID, _TH, _NO, F.array_remove(F.split(spaced, " "), "").alias("w"))
-    return rows.select("*", F.size("w").alias("n"), F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), "w").alias("h2"))
+        text = F.when(F.contains(F.col(text_col), F.lit(white)), F.replace(text, F.lit(white), F.lit(" "))).otherwise(text)
+    rows = docs.select(F.col(id_col).alias(_ID), F.xxhash64(text_col).alias(_TH), F.split(text, "\n").alias("lines"))
+    return rows.select(_ID, _TH, F.posexplode_outer("lines").alias(_NO, "line"))
+
+
+def _words() -> Column:
+    return F.array_remove(F.split("line", " "), "").alias("w")
+
+
+def _hashed(lines: DataFrame, min_words: int) -> DataFrame:
+    """(__id, __th, __no, n, h1, h2, keys): each line's number of words, 128-bit hash and half keys."""
+    rows = lines.select(_ID, _TH, _NO, _words())
+    rows = rows.select("*", F.size("w").alias("n"), F.xxhash64("w").alias("h1"), F.xxhash64(F.lit(1), "w").alias("h2"))
+    return rows.select(_ID, _TH, _NO, "n", "h1", "h2", _keys(min_words))
 
 
 def _half_keys() -> Column:
@@ -67,20 +76,54 @@ def _keys(min_words: int) -> Column:
     return F.when(F.col("n") >= min_words, _half_keys()).alias("keys")
 
 
-def _screened(lines: DataFrame, hashed: DataFrame, min_words: int) -> DataFrame:
-    """One row a line and shared half: (__id, __th, __no, w, n, h1, h2, side)."""
-    both = (hashed.select("h1", F.explode_outer("keys").alias("key")).groupBy("key")
-            .agg(F.min("h1").alias("lo"), F.max("h1").alias("hi")).where("key is not null and lo <> hi"))
-    at = F.shiftrightunsigned("key", 64 - LOG2_BITS)
-    bits = (both.select(at.alias("b")).groupBy(F.shiftright("b", _ROW_BITS).cast("int").alias("row"))
+def _bitmap(keys: DataFrame) -> Column:
+    """The bitmap of the hashed ``key`` as one value: 2**LOG2_BITS bits in an array of longs."""
+    # The first bit of every row is set, so that no row is missing.
+    first = keys.sparkSession.range(1 << (LOG2_BITS - _ROW_BITS)).select(F.shiftleft("id", _ROW_BITS).alias("b"))
+    rows = (keys.select(F.shiftrightunsigned("key", 64 - LOG2_BITS).alias("b")).unionAll(first)
+            .groupBy(F.shiftright("b", _ROW_BITS).alias("row"))
             .agg(F.bitmap_construct_agg(F.col("b").bitwiseAND(F.lit((1 << _ROW_BITS) - 1))).alias("bits")))
-    bits = F.broadcast(cut_lineage(bits))                       # at most 2048 rows of 4 kB
-    rows = lines.select("*", _keys(min_words)).select(
-        _ID, _TH, _NO, "w", "n", "h1", "h2", F.posexplode_outer("keys").alias("side", "key"))
-    byte = F.conv(F.hex(F.expr("substring(bits, cast(shiftright(b & 32767, 3) + 1 as int), 1)")), 16, 10).cast("int")
-    hit = F.expr("shiftright(byte, cast(b & 7 as int)) & 1") == 1
-    return (rows.withColumn("b", at).withColumn("row", F.shiftright("b", _ROW_BITS).cast("int")).join(bits, "row")
-            .withColumn("byte", byte).where(hit).select(_ID, _TH, _NO, "w", "n", "h1", "h2", "side"))
+
+    def four_bytes(at: Column) -> Column:
+        return F.conv(F.hex(F.substring("bits", at, F.lit(4))), 16, 10).cast("long")
+    longs = F.transform(F.sequence(F.lit(1), F.lit(1 << (_ROW_BITS - 3)), F.lit(8)),
+                        lambda at: F.shiftleft(four_bytes(at), 32).bitwiseOR(four_bytes(at + 4)))
+    rows = rows.select("row", longs.alias("bits")).agg(F.sort_array(F.collect_list(F.struct("row", "bits"))).alias("rows"))
+    return cut_lineage(rows.select(F.flatten("rows.bits").alias("bits"))).scalar()
+
+
+def _in_bitmap(bits: Column, key: Column) -> Column:
+    b = F.shiftrightunsigned(key, 64 - LOG2_BITS)
+    # Bytes are in order and bits of a byte from its low end, bytes of a long from its high end.
+    place = b.bitwiseAND(F.lit(63)).bitwiseXOR(F.lit(56)).cast("int")
+    word = F.get(bits, F.shiftright(b, 6).cast("int"))
+    return F.call_function("shiftrightunsigned", word, place).bitwiseAND(F.lit(1)) == 1
+
+
+def _candidates(hashed: DataFrame) -> DataFrame:
+    """First places of the lines that share a half with a different line, numbered in the order of
+    the documents: (c, __id, __th, __no, n, sides), ``sides`` with a bit for each half."""
+    halves = hashed.select(_ID, _TH, _NO, "n", "h1", "h2", F.posexplode_outer("keys").alias("side", "key"))
+    both = (halves.groupBy("key").agg(F.min("h1").alias("lo"), F.max("h1").alias("hi"))
+            .where("key is not null and lo <> hi"))
+    found = (halves.where(_in_bitmap(_bitmap(both), F.col("key"))).groupBy("h1", "h2")
+             .agg(F.min(F.struct(_ID, _TH, _NO)).alias("at"), F.first("n").alias("n"),
+                  F.bit_or(F.expr("shiftleft(1, side)")).alias("sides")))
+    # The smallest number is the earliest line.
+    return cut_lineage(found.select("at.*", "n", "sides").orderBy(_ID, _TH, _NO)
+                       .select(F.monotonically_increasing_id().alias("c"), _ID, _TH, _NO, "n", "sides"))
+
+
+def _same_place(a: str, b: str) -> list[Column]:
+    return [F.col(f"{a}.{c}").eqNullSafe(F.col(f"{b}.{c}")) for c in (_ID, _TH, _NO)]
+
+
+def _with_words(cand: DataFrame, lines: DataFrame) -> DataFrame:
+    """(c, n, sides, w): only lines at a candidate's place are split into words."""
+    at = F.xxhash64(_TH, _NO)
+    some = lines.where(_in_bitmap(_bitmap(cand.select(at.alias("key"))), at)).select(_ID, _TH, _NO, _words())
+    rows = cand.alias("c").join(some.alias("l"), _same_place("c", "l")).select("c", "n", "sides", "w")
+    return rows.dropDuplicates(["c"])                           # of rows that repeat an id and its text
 
 
 def _with_variant_keys(cand: DataFrame) -> DataFrame:
@@ -107,14 +150,14 @@ def _variants() -> Column:
     """A line's variants as hashed keys (k1 under k2): role 0 with its word i replaced (k2 = i), role 1
     the line itself as the shorter one, role 2 with its word i taken out (k2 = minus the words left)."""
     half, low, none = "cast(n div 2 as int)", "cast((n - 1) div 2 as int)", "cast(array() as array<int>)"
-    replaced = (f"concat(if(array_contains(sides, 0), sequence({half} + 1, n), {none}), "
-                f"if(array_contains(sides, 1), sequence(1, {half}), {none}))")
-    taken = (f"array_distinct(concat(if(array_contains(sides, 2), sequence({low} + 1, n), {none}), "
-             f"if(array_contains(sides, 3), sequence(1, {low} + 1), {none})))")
+    replaced = (f"concat(if(sides & 1 <> 0, sequence({half} + 1, n), {none}), "
+                f"if(sides & 2 <> 0, sequence(1, {half}), {none}))")
+    taken = (f"array_distinct(concat(if(sides & 4 <> 0, sequence({low} + 1, n), {none}), "
+             f"if(sides & 8 <> 0, sequence(1, {low} + 1), {none})))")
     own = "array(struct(whole as k1, -n as k2, 1 as role))"
     return F.expr(f"concat(transform({replaced}, i -> struct(keys[i - 1] as k1, i as k2, 0 as role)), "
                   f"transform({taken}, i -> struct(keys[i - 1] as k1, 1 - n as k2, 2 as role)), "
-                  f"if(array_contains(sides, 0) or array_contains(sides, 1), {own}, slice({own}, 1, 0)))")
+                  f"if(sides & 1 <> 0 or sides & 2 <> 0, {own}, slice({own}, 1, 0)))")
 
 
 def _one_edit(a: str, b: str) -> str:
@@ -128,14 +171,10 @@ def _one_edit(a: str, b: str) -> str:
     return f"abs(size({a}) - size({b})) <= 1 and {tail_a} = {tail_b}"
 
 
-def near_earlier_lines(lines: DataFrame, hashed: DataFrame, min_words: int = 5) -> DataFrame:
+def near_earlier_lines(lines: DataFrame, hashed: DataFrame) -> DataFrame:
     """First occurrences ``(__id, __th, __no)`` of distinct lines that have an earlier one-edit line."""
-    found = (_screened(lines, hashed, min_words).groupBy("h1", "h2")
-             .agg(F.min(F.struct(_ID, _TH, _NO)).alias("at"), F.collect_set("side").alias("sides"),
-                  F.first("w").alias("w"), F.first("n").alias("n")))
-    # Numbered in the order of the documents, so that the smallest number is the earliest line.
-    cand = cut_lineage(found.select("at.*", "sides", "w", "n").orderBy(_ID, _TH, _NO)
-                       .withColumn("c", F.monotonically_increasing_id()))
+    places = _candidates(hashed)
+    cand = cut_lineage(_with_words(places, lines))
     var = cut_lineage(_with_variant_keys(cand).select("c", F.explode_outer(_variants()).alias("v")).select("c", "v.*"))
     first = (var.groupBy("k1", "k2").agg(F.min(F.when(F.col("role") < 2, F.col("c"))).alias("a"),
                                          F.min(F.when(F.col("role") == 2, F.col("c"))).alias("z"),
@@ -147,7 +186,7 @@ def near_earlier_lines(lines: DataFrame, hashed: DataFrame, min_words: int = 5)
     words = cand.select("c", "w")
     ok = (pairs.join(words.withColumnRenamed("w", "wc"), "c").join(words.toDF("e", "we"), "e")
           .where(F.expr(_one_edit("wc", "we"))).select("c").distinct())
-    return cand.join(ok, "c", "left_semi").select(_ID, _TH, _NO)
+    return places.join(ok, "c", "left_semi").select(_ID, _TH, _NO)
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 5,
@@ -159,27 +198,26 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     id_col, text_col = f"c{given.index(id_col)}", f"c{given.index(text_col)}"
     lines = _lines(docs, id_col, text_col)
     # Hashes without words, once for all that need no words: a fraction of the text.
-    hashed = cut_lineage(lines.select(_ID, _TH, _NO, "n", "h1", "h2", _keys(min_words)))
+    hashed = cut_lineage(_hashed(lines, min_words))
     first = (hashed.groupBy("h1", "h2").agg(F.min(F.struct(_ID, _TH, _NO)).alias("at"), F.first("n").alias("n"))
              .where("n > 0").select("at.*"))
-    near = near_earlier_lines(lines, hashed, min_words)
-    on = [F.col(f"k.{c}").eqNullSafe(F.col(f"o.{c}")) for c in (_ID, _TH, _NO)]
-    kept = first.alias("k").join(near.alias("o"), on, "left_anti")
+    near = near_earlier_lines(lines, hashed)
+    kept = first.alias("k").join(near.alias("o"), _same_place("k", "o"), "left_anti")
     kept = (kept.groupBy(F.col(_ID).alias("__kid"), F.col(_TH).alias("__kth"))
             .agg(F.collect_list(_NO).alias("__kept")).hint("shuffle_hash"))
     out = docs.withColumn("__th", F.xxhash64(text_col)).join(
         kept, F.col(id_col).eqNullSafe(F.col("__kid")) & (F.col("__th") == F.col("__kth")), "left")
-    split = F.split(text_col, "\n")
-    stays = F.array_join(F.filter(
-        F.transform(split, lambda x, i: F.when(
-            F.array_contains("__kept", i) | ~x.rlike(r"[^\x20\x09-\x0D]"), x)), lambda x: x.isNotNull()), "\n")
-    out = out.withColumn("__kept", F.coalesce("__kept", F.array().cast("array<int>")))
-    n_blank = F.size(F.filter(split, lambda x: ~x.rlike(r"[^\x20\x09-\x0D]")))
+    out = out.withColumn("__lines", F.split(text_col, "\n"))
+    # Blank lines stay: nothing in them but white space (any other first character settles it).
+    blank = F.transform("__lines", lambda x, i: F.when((x < "!") & ~x.rlike(r"[^\x20\x09-\x0D]"), i))
+    out = out.withColumn("__stay", F.sort_array(F.concat(
+        F.coalesce("__kept", F.array().cast("array<int>")), F.array_compact(blank))))
+    stays = F.array_join(F.transform("__stay", lambda i: F.get("__lines", i)), "\n")
     extra = {}
     if n_lines_col:
-        extra[n_lines_col] = F.coalesce(F.size(split), F.lit(0)).cast("long")
+        extra[n_lines_col] = F.coalesce(F.size("__lines"), F.lit(0)).cast("long")
     if n_dropped_col:
         extra[n_dropped_col] = F.when(F.col(text_col).isNull(), 0).otherwise(
-            F.size(split) - n_blank - F.size("__kept")).cast("long")
+            F.size("__lines") - F.size("__stay")).cast("long")
     cols = [stays.alias(c) if c == text_col else F.col(c) for c in docs.columns]
     return out.select(*cols, *[v.alias(f"x{k}") for k, v in enumerate(extra.values())]).toDF(*given, *extra)
