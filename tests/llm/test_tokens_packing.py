@@ -114,3 +114,11 @@ def test_crc_is_unsigned_and_little_endian(spark):
     ids = np.array([2, 49407, 1 << 20], "<u4").tobytes()
     got = spark.createDataFrame([(bytearray(ids),)], "ids binary").select(F.crc32("ids")).first()[0]
     assert got == zlib.crc32(ids)
+
+
+@pytest.mark.parametrize("name, renamed", [("start", "piece_start"), ("IDS", "piece_ids")])
+def test_packing_clashing_id_names(spark, name, renamed):
+    docs = spark.createDataFrame([(7, "one two"), (8, None)], f"{name} long, text string")
+    out = pack_documents(docs, WORDS, id_col=name)
+    assert renamed in out.columns and len({c.lower() for c in out.columns}) == len(out.columns) == 7
+    assert sorted(r[0] for r in out.collect()) == [7, 8]

@@ -98,10 +98,12 @@ class LevelPacker:
 def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id", text_col: str = "text",
                    capacity: int = 4096, end_id: int = 2, max_open: int = 2048) -> DataFrame:
     """One row per piece: ``id_col, start, length, doc_tokens, sequence_id, offset`` and ``ids``
-    (little-endian 32-bit, in a binary column). Windows that are not full are padded by the reader."""
+    (little-endian 32-bit, in a binary column). Windows that are not full are padded by the reader.
+    A result column that the id column's name would clash with gets ``piece_`` before its name."""
     rows = docs.select(id_col, text_col)
-    names = ["start", "length", "doc_tokens", "sequence_id", "offset"]
-    schema = StructType([rows.schema[0], *(StructField(c, LongType()) for c in names), StructField("ids", BinaryType())])
+    *names, ids_col = [f"piece_{c}" if c == id_col.lower() else c
+                       for c in ("start", "length", "doc_tokens", "sequence_id", "offset", "ids")]
+    schema = StructType([rows.schema[0], *(StructField(c, LongType()) for c in names), StructField(ids_col, BinaryType())])
 
     def run(batches):
         coder, packer = chunk_coder(ChunkIds, tokenizer_path), LevelPacker(capacity, max_open)
@@ -119,7 +121,7 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
                 number += 1
             packer.done = []
             types = [id_type, *[pa.int64()] * 5, pa.binary()]
-            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], [id_col, *names, "ids"])
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], [id_col, *names, ids_col])
 
         id_type = None
         for b in batches:
