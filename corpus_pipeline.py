@@ -35,6 +35,9 @@ from veracity.sources.tables import read_table
 #: Less than what clean short texts get; a text that fits no learned language falls below.
 MIN_LANGUAGE_SCORE = 0.35
 
+#: Chunks that a packing worker remembers here: its executor still holds what the stages before it needed.
+PACKING_MEMO_BYTES = 32 << 20
+
 
 def _numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
     """``docs`` with neutral column names, which no operator's own columns can clash with."""
@@ -79,7 +82,7 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return packed(docs)
+    return packed(docs, memo_bytes=PACKING_MEMO_BYTES)
 
 
 STAGES = [

@@ -122,3 +122,19 @@ def test_packing_clashing_id_names(spark, name, renamed):
     out = pack_documents(docs, WORDS, id_col=name)
     assert renamed in out.columns and len({c.lower() for c in out.columns}) == len(out.columns) == 7
     assert sorted(r[0] for r in out.collect()) == [7, 8]
+
+
+def test_chunk_memory_is_bounded_and_changes_no_id(spark):
+    from veracity.llm import tokens as T
+    from veracity.llm.queries import packed, public_tokenizers
+    path = public_tokenizers.path("word_bpe_49k.json")
+    small, text = T.ChunkIds(path), " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{k // 676}" for k in range(3000))
+    small.memo_bytes = 200 * T.MEMO_ENTRY
+    got = [small.of(text[lo:lo + 500]) for lo in range(0, len(text), 500)]
+    assert len(small.known) + len(small.known.older) < 500
+    large = T.ChunkIds(path)
+    assert got == [large.of(text[lo:lo + 500]) for lo in range(0, len(text), 500)]
+    assert len(large.known) + len(large.known.older) > 2000
+    docs = spark.createDataFrame([(k, text[k * 7:]) for k in range(20)], "doc_id long, text string")
+    cols = ["doc_id", "start", "length", "ids_crc32"]
+    assert sorted(packed(docs, memo_bytes=1 << 12).select(cols).collect()) == sorted(packed(docs).select(cols).collect())

@@ -90,9 +90,9 @@ def op3(spark, sf_dir):
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256"))
 
 
-def packed(docs: DataFrame) -> DataFrame:
+def packed(docs: DataFrame, **options) -> DataFrame:
     """Pieces of the packed documents with a digest of their ids in place of the ids."""
-    out = pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"))
+    out = pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), **options)
     return out.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
 
 

@@ -62,6 +62,9 @@ class _Chunks(dict):
 
 
 class _Coder:
+    #: What this coder remembers at most; ``chunk_coder`` sets it for each task.
+    memo_bytes = MEMO_BYTES
+
     def __init__(self, path: str):
         self.tok = Tokenizer.from_file(path)
         self.model, self.table = self.tok.model, _byte_table()
@@ -69,7 +72,7 @@ class _Coder:
         self.known = _Chunks(self, {})
 
     def age(self) -> None:
-        if self.known.used * MEMO_ENTRY > MEMO_BYTES // 2:
+        if self.known.used * MEMO_ENTRY > self.memo_bytes // 2:
             self.known.older = {}
             self.known = _Chunks(self, self.known)
 
@@ -177,10 +180,11 @@ def _packed(ids: list[int]) -> bytes:
 _made: dict[tuple[type, str], _Coder] = {}
 
 
-def chunk_coder(kind: type, path: str):
+def chunk_coder(kind: type, path: str, memo_bytes: int = MEMO_BYTES):
     """One coder per worker process and vocabulary file: what it remembers serves later tasks."""
     if (kind, path) not in _made:
         _made[kind, path] = kind(path)
+    _made[kind, path].memo_bytes = memo_bytes
     return _made[kind, path]
 
 
