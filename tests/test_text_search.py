@@ -44,3 +44,14 @@ def test_counts_are_those_of_the_patterns(spark):
         n = None if r.b is None else len(r.b.split())
         assert r.n == n and [r.f5, r.f8, r.f15] == [None if n is None else n < k for k in (5, 8, 15)], r
     assert re.search(r"\\A", str(tx.fewer_words(b, 5)))
+
+
+def test_few_words_are_told_from_the_first_characters(spark):
+    b = F.col("b")
+    rows = ["word " * 40, "x" * 400 + " a b c d e", " " * 300 + "a b c d e", "x" * 119 + " " + "y" * 9, "é! 🙂! " * 30, "!", None]
+    d = spark.createDataFrame([(r,) for r in rows], "b string")
+    for r in d.select("b", tx.exclamation_count(b).alias("x"), *[tx.fewer_words(b, k).alias(f"f{k}") for k in (1, 5, 8)]).collect():
+        n = None if r.b is None else len(r.b.split())
+        assert [r.f1, r.f5, r.f8] == [None if n is None else n < k for k in (1, 5, 8)]
+        assert r.x == (None if r.b is None else r.b.count("!"))
+    assert "substr" in str(tx.fewer_words(b, 5))
