@@ -138,3 +138,12 @@ def test_chunk_memory_is_bounded_and_changes_no_id(spark):
     docs = spark.createDataFrame([(k, text[k * 7:]) for k in range(20)], "doc_id long, text string")
     cols = ["doc_id", "start", "length", "ids_crc32"]
     assert sorted(packed(docs, memo_bytes=1 << 12).select(cols).collect()) == sorted(packed(docs).select(cols).collect())
+
+
+def test_other_operators_start_without_remembered_chunks(spark):
+    from veracity.llm import common
+    common.REMEMBERED["coder"] = object()
+    common.begin_task(keeps=True)
+    assert common.REMEMBERED
+    common.begin_task(keeps=False)
+    assert not common.REMEMBERED

@@ -31,10 +31,27 @@ def worker_path(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([p for p in path if p] + [_ROOT])
 
 
-def map_arrow(df: DataFrame, fn: Callable, schema: StructType | str) -> DataFrame:
-    """``mapInArrow`` with this package on the workers' path."""
+def map_arrow(df: DataFrame, fn: Callable, schema: StructType | str, keeps: bool = False) -> DataFrame:
+    """``mapInArrow`` with this package on the workers' path. ``keeps``: ``fn`` uses what ``REMEMBERED`` holds;
+    before any other function it is dropped, and a task leaves no free memory in its worker."""
     worker_path(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+
+    def run(batches):
+        begin_task(keeps)
+        yield from fn(batches)
+        release_memory()
+
+    return df.mapInArrow(run, schema)
+
+
+#: What a worker keeps from one task to the next.
+REMEMBERED: dict = {}
+
+
+def begin_task(keeps: bool) -> None:
+    if not keeps:
+        REMEMBERED.clear()
+    release_memory()
 
 
 def release_memory() -> None:

@@ -210,7 +210,7 @@ def predict_language(docs: DataFrame, model: BiGRU | None, text_col: str = "text
         net = shared.value
         for b in batches:
             column, lang, score = b.column(n0), [UNKNOWN] * b.num_rows, [0.0] * b.num_rows
-            has = np.array([bool(v) and _LETTER.search(v) is not None for v in column.to_pylist()], bool)
+            has = np.array([bool(v) and _LETTER.search(v) is not None for v in (s.as_py() for s in column)], bool)
             if net is not None and has.any():
                 data, offsets = binary_buffers(column)
                 for lo, hi in byte_steps(offsets):

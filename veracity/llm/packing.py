@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from veracity.llm.common import map_arrow, release_memory
+from veracity.llm.common import map_arrow
 from veracity.llm.tokens import MEMO_BYTES, ChunkIds, chunk_coder
 
 
@@ -108,7 +108,6 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
     schema = StructType([rows.schema[0], *(StructField(c, LongType()) for c in names), StructField(ids_col, BinaryType())])
 
     def run(batches):
-        release_memory()
         coder, packer = chunk_coder(ChunkIds, tokenizer_path, memo_bytes), LevelPacker(capacity, max_open)
         end, number = np.array([end_id], "<u4").tobytes(), TaskContext.get().partitionId() << 33
 
@@ -142,4 +141,4 @@ def pack_documents(docs: DataFrame, tokenizer_path: str, id_col: str = "doc_id",
         if id_type is not None:
             yield drain(id_type)
 
-    return map_arrow(rows, run, schema)
+    return map_arrow(rows, run, schema, keeps=True)

@@ -55,4 +55,4 @@ def count_tokens(docs: DataFrame, tokenizer_path: str, text_col: str = "text",
     rows = docs.select(*[F.col(c).alias(k) for c, k in zip(keep, names)], F.col(text_col).alias("text"))
     schema = StructType([*(rows.schema[k] for k in range(len(keep))),
                          StructField("n_bytes", LongType()), StructField("n_tokens", LongType())])
-    return map_arrow(rows, run, schema).toDF(*keep, "n_bytes", "n_tokens")
+    return map_arrow(rows, run, schema, keeps=True).toDF(*keep, "n_bytes", "n_tokens")

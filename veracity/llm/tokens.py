@@ -15,6 +15,8 @@ import struct
 from tokenizers import Tokenizer
 from tokenizers.pre_tokenizers import ByteLevel
 
+from veracity.llm.common import REMEMBERED
+
 _CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 #: White space that makes a text need the general cut: runs, other kinds, or at an end.
 _ODD = re.compile(r"\s\s|[^\S \n]|\A\s|\s\Z")
@@ -177,15 +179,12 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
-_made: dict[tuple[type, str], _Coder] = {}
-
-
 def chunk_coder(kind: type, path: str, memo_bytes: int = MEMO_BYTES):
-    """One coder per worker process and vocabulary file: what it remembers serves later tasks."""
-    if (kind, path) not in _made:
-        _made[kind, path] = kind(path)
-    _made[kind, path].memo_bytes = memo_bytes
-    return _made[kind, path]
+    """One coder per worker process and vocabulary file: what it remembers serves later tasks of its operator."""
+    if (kind, path) not in REMEMBERED:
+        REMEMBERED[kind, path] = kind(path)
+    REMEMBERED[kind, path].memo_bytes = memo_bytes
+    return REMEMBERED[kind, path]
 
 
 def safe_pieces(text: str, limit: int) -> list[str]:
