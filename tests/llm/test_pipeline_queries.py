@@ -91,3 +91,19 @@ def test_rest_works_without_this_subpackage(tmp_path):
             "assert len(e.queries()) > 40 and not any(q.startswith('op') and q[2].isdigit() for q in e.queries())\n")
     done = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True)
     assert done.returncode == 0, done.stderr
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    """Long texts reach a worker a few MB at a time, whatever their number; no row is lost."""
+    import pyarrow as pa
+
+    from veracity.llm.common import BATCH_BYTES, map_arrow
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "size"])
+
+    rows = spark.range(0, 3000, 1, 1).selectExpr("id", "repeat('x', if(id < 2000, 8000, 10)) AS t")
+    out = map_arrow(rows, sizes, "n long, size long").collect()
+    assert sum(r["n"] for r in out) == 3000
+    assert max(r["size"] for r in out) < BATCH_BYTES + 16000

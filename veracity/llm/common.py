@@ -18,6 +18,10 @@ from veracity.session import ensure_checkpoint_dir
 #: What one vectorised step over texts takes at once (a single longer text is taken alone).
 STEP_BYTES = 1 << 18
 
+#: Most bytes of an Arrow batch that a Python worker is sent (a longer row goes alone). Spark's own bound of 64 MB is
+#: held on both sides of the pipe by each task, at times twice, beside the heap.
+BATCH_BYTES = 4 << 20
+
 
 _ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -31,10 +35,19 @@ def worker_path(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join([p for p in path if p] + [_ROOT])
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Bound the bytes of the session's Arrow batches; a smaller bound that it already has stays."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(key).removesuffix("b")
+    if not now.isdigit() or int(now) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def map_arrow(df: DataFrame, fn: Callable, schema: StructType | str, keeps: bool = False) -> DataFrame:
     """``mapInArrow`` with this package on the workers' path. ``keeps``: ``fn`` uses what ``REMEMBERED`` holds;
     before any other function it is dropped, and a task leaves no free memory in its worker."""
     worker_path(df.sparkSession)
+    small_batches(df.sparkSession)
 
     def run(batches):
         begin_task(keeps)
