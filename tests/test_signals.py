@@ -2,7 +2,7 @@
 
 from pyspark.sql import Row
 
-from veracity.operators.signals import lexicon_signals, review_signals, weak_labels
+from veracity.operators.signals import fake_label, label_points, lexicon_signals, review_signals, weak_labels
 
 
 def _sig(spark, rows):
@@ -98,3 +98,16 @@ def test_sentiment_table_body_length_filter(spark):
     sql_form = {r.review_id for r in review_sentiments(fraud_scores(df), 10, "hql").collect()}
     local_form = {r.review_id for r in review_sentiments(fraud_scores(df), None, "word").collect()}
     assert sql_form == {"b"} and local_form == {"a", "b", "c"}
+
+
+def test_fake_label_is_points_at_the_threshold(spark):
+    """The label without points is the label by points, whichever rules decide and whatever is missing."""
+    long = " plain words that say little about this thing but go on for a while anyway yes"
+    bodies = [None, "", "ok", "great best love", "free scam", "BUY NOW!!!!!", "great best love free", "AWFUL" + long.upper(),
+              "free" + long, "scam" + long, "free scam" + long, "free" + long + "!!!!!", "scam" + long + "!!!!!",
+              "FREE" + long.upper(), "PLAIN" + long.upper() + "!!!!!", "ſcam diſcount" + long, "freİe scamper" + long]
+    rows = [(b, r) for b in bodies for r in (None, 1.0, 2.0, 4.0, 5.0)]
+    d = spark.createDataFrame(rows, "body string, rating double")
+    out = d.select("body", "rating", (label_points() >= 50).cast("int").alias("by_points"), fake_label().alias("label")).collect()
+    assert [r for r in out if r["label"] != r["by_points"]] == []
+    assert {r["label"] for r in out} == {0, 1}

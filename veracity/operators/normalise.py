@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from veracity.functions import lexicons as lx
 from veracity.functions.text import strip
 from veracity.operators.sampling import sample_reviews
-from veracity.operators.signals import label_points
+from veracity.operators.signals import fake_label
 
 # FIXED VALUES: candidate source column names per logical field, in priority order.
 CANDIDATES = {
@@ -110,8 +110,7 @@ def normalise_reviews(df: DataFrame, key_col: str | None = None, sample_n: int |
         text.cast("string").alias("_label_text"),
         F.coalesce(rating_num, F.lit(3.0)).alias("_label_rating"),
     )
-    out = (staged.withColumn("is_fake_ground_truth",
-                             (label_points("_label_text", "_label_rating") >= lx.LABEL_THRESHOLD).cast("int"))
+    out = (staged.withColumn("is_fake_ground_truth", fake_label("_label_text", "_label_rating"))
            .drop("_label_text", "_label_rating"))
     if sample_n is not None:
         out = sample_reviews(out, n=sample_n, seed=seed)
